@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.decontaminate import mark_contaminated
 from quernstone.llm.line_dedup import dedup_lines
+from quernstone.llm.lm_score import held_out, score_texts
+from quernstone.llm.simhash import simhash_components
 from quernstone.llm.url_rules import judge_urls
 
 #: The rules that the query of the URL filter judges by.
@@ -17,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"), size=3)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs, min_docs=10, min_length=1, digest=True).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -33,6 +39,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_contaminated(docs, table(spark, sf_dir, "benchmark"), window=10).drop("text")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 7, 2))
+
+
 _UP, _LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
 SQL = {
@@ -76,4 +86,4 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM doc d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
 
-QUERIES = {"op5_line_dedup": op5_line_dedup, "op6_url_filter": op6_url_filter, "op9_decontamination": op9_decontamination}
+QUERIES = {"op3_simhash": op3_simhash, "op10_lm_score": op10_lm_score, "op5_line_dedup": op5_line_dedup, "op6_url_filter": op6_url_filter, "op9_decontamination": op9_decontamination}
