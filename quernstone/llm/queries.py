@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.llm.additive_quantisation import nearest_neighbours
 from quernstone.llm.decontaminate import mark_contaminated
+from quernstone.llm.licence_scan import scan_licences, scan_sql
 from quernstone.llm.line_dedup import dedup_lines
 from quernstone.llm.lm_score import held_out, score_texts
+from quernstone.llm.sentencepiece_viterbi import digest_round_trip
 from quernstone.llm.simhash import simhash_components
 from quernstone.llm.url_rules import judge_urls
 
@@ -19,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, k=10)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), size=3)
 
@@ -34,6 +41,14 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return mark_contaminated(docs, table(spark, sf_dir, "benchmark"), window=10).drop("text")
@@ -68,6 +83,7 @@ best AS (
   GROUP BY p.page_id)
 SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
 FROM page p LEFT JOIN best b USING (page_id)""",
+    "op8_licence_scan": scan_sql(),
     "op9_decontamination": rf"""
 WITH doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UP}, {_LOW}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_UP}, {_LOW}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -86,4 +102,4 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM doc d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
 
-QUERIES = {"op3_simhash": op3_simhash, "op10_lm_score": op10_lm_score, "op5_line_dedup": op5_line_dedup, "op6_url_filter": op6_url_filter, "op9_decontamination": op9_decontamination}
+QUERIES = {"op1_nearest": op1_nearest, "op7_sentencepiece": op7_sentencepiece, "op8_licence_scan": op8_licence_scan, "op3_simhash": op3_simhash, "op10_lm_score": op10_lm_score, "op5_line_dedup": op5_line_dedup, "op6_url_filter": op6_url_filter, "op9_decontamination": op9_decontamination}
