@@ -4,8 +4,8 @@ A vector is approximated by the sum of one full-dimensional codeword from each o
 Codebooks are fitted on a bounded sample: residual k-means first, then rounds of beam-search encoding
 and a least-squares update of all codewords together. Every row is encoded by beam search and stored with
 the squared norm of its approximation. A query scores a row as ``norm - 2 * sum of table lookups``, where
-its table holds the inner products with all codewords; the best ``shortlist`` of each task's rows are
-ranked again by the exact distance, in double precision, and the tasks' results are merged.
+its table holds the inner products with all codewords; of each task's rows the best ``share``, and at
+least ``shortlist``, are ranked again by the exact distance, in double precision, and the tasks' results are merged.
 
 Queries are a stated set. They are taken in blocks of at most ``query_block`` vectors, so what travels to
 the tasks is bounded; a task's memory is a bounded number of rows times a block.
@@ -100,7 +100,7 @@ class Codebooks:
         return sum(self.words[b][codes[:, b]] for b in range(self.words.shape[0]))
 
 
-def fit(x: np.ndarray, books: int = 8, size: int = 64, beam: int = 8, rounds: int = 4, seed: int = 7) -> Codebooks:
+def fit(x: np.ndarray, books: int = 16, size: int = 64, beam: int = 4, rounds: int = 3, seed: int = 7) -> Codebooks:
     """Codebooks from a sample, which is bounded by the caller."""
     rng = np.random.default_rng(seed)
     d = x.shape[1]
@@ -133,7 +133,7 @@ def sample_rows(rows: DataFrame, most: int) -> np.ndarray:
     return _matrix(part.column("v")) if part.num_rows else np.zeros((0, 1))
 
 
-def index(rows: DataFrame, found: Codebooks, beam: int = 8, chunk: int = 1024) -> DataFrame:
+def index(rows: DataFrame, found: Codebooks, beam: int = 4, chunk: int = 1024) -> DataFrame:
     """Every row with its codes and the squared norm of its approximation."""
 
     def run(parts):
@@ -148,7 +148,7 @@ def index(rows: DataFrame, found: Codebooks, beam: int = 8, chunk: int = 1024) -
     return rows.mapInArrow(run, "vec_id long, v array<double>, codes binary, norm float")
 
 
-def _nearest(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, norms: np.ndarray, found: Codebooks, queries: tuple[np.ndarray, np.ndarray], k: int, shortlist: int):
+def _nearest(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, norms: np.ndarray, found: Codebooks, queries: tuple[np.ndarray, np.ndarray], k: int, shortlist: int, share: float):
     """(query_id, vec_id, distance) of each query's k nearest among these rows."""
     query_ids, q = queries
     tables = np.einsum("qd,mkd->mqk", q.astype(np.float32), found.words, optimize=True)
@@ -156,7 +156,7 @@ def _nearest(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, norms: np.ndarra
     for b in range(codes.shape[1]):
         score -= 2 * tables[b][:, codes[:, b]]
     score[query_ids[:, None] == ids[None, :]] = np.inf
-    take = min(shortlist, len(ids))
+    take = min(max(shortlist, int(share * len(ids))), len(ids))
     # Rows are in id order, so a stable choice among equal scores prefers the smaller ids.
     best = np.argpartition(score, take - 1, axis=1)[:, :take] if take < len(ids) else np.broadcast_to(np.arange(len(ids)), score.shape)
     edge = np.take_along_axis(score, best, 1).max(1)
@@ -170,7 +170,7 @@ def _nearest(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, norms: np.ndarra
         yield query, ids[pick][order], exact[order]
 
 
-def search(indexed: DataFrame, queries: DataFrame, found: Codebooks, k: int = 10, shortlist: int = 256, query_block: int = 4096, task_rows: int = 65_536) -> DataFrame:
+def search(indexed: DataFrame, queries: DataFrame, found: Codebooks, k: int = 10, shortlist: int = 256, share: float = 1 / 16, query_block: int = 4096, task_rows: int = 65_536) -> DataFrame:
     """Each query's k nearest of the indexed rows: query_id, rank, vec_id, score."""
     books = found.words.shape[0]
     n = queries.count()
@@ -206,7 +206,7 @@ def search(indexed: DataFrame, queries: DataFrame, found: Codebooks, k: int = 10
             norms = table.column("norm").to_numpy()
             for at in range(0, len(asked[0]), 256):
                 part = (asked[0][at : at + 256], asked[1][at : at + 256])
-                rows = list(_nearest(ids[keep], x[keep], codes[keep], norms[keep], found, part, k, shortlist)) if len(keep) else []
+                rows = list(_nearest(ids[keep], x[keep], codes[keep], norms[keep], found, part, k, shortlist, share)) if len(keep) else []
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])), pa.array(np.concatenate([r[1] for r in rows])), pa.array(np.concatenate([r[2] for r in rows]))], names=["query_id", "vec_id", "score"])
 
@@ -216,7 +216,7 @@ def search(indexed: DataFrame, queries: DataFrame, found: Codebooks, k: int = 10
     return results.distinct().withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, books: int = 8, size: int = 64, beam: int = 8, shortlist: int = 256, sample: int = SAMPLE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, books: int = 16, size: int = 64, beam: int = 4, shortlist: int = 256, share: float = 1 / 16, sample: int = SAMPLE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Fit, index every row, and search the rows where ``is_query`` holds among all rows."""
     rows = stored(usable(vectors, vec_id, vector).distinct(), "vectors")
     x = sample_rows(rows, sample)
@@ -225,4 +225,4 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, books: int = 8
         return rows.sparkSession.createDataFrame([], empty)
     found = fit(x, books, size, beam)
     indexed = stored(index(rows, found, beam), "index")
-    return search(indexed, rows.filter(is_query), found, k, shortlist)
+    return search(indexed, rows.filter(is_query), found, k, shortlist, share)
