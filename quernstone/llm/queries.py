@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.llm import quality, toxicity
 from quernstone.llm.additive_quantisation import nearest_neighbours
 from quernstone.llm.decontaminate import mark_contaminated
 from quernstone.llm.licence_scan import scan_licences, scan_sql
 from quernstone.llm.line_dedup import dedup_lines
+from quernstone.llm.linear import crc_fold
 from quernstone.llm.lm_score import held_out, score_texts
 from quernstone.llm.sentencepiece_viterbi import digest_round_trip
 from quernstone.llm.simhash import simhash_components
@@ -26,10 +28,24 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, k=10)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), modulus=3, held=1)
+    held = F.coalesce(crc_fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")
+    return quality.score_quality(docs, model).select("doc_id", held, "score", "predicted")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), size=3)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), modulus=5, held=0)
+    held = F.coalesce(crc_fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out")
+    return toxicity.score_toxicity(docs, chain).withColumn("held_out", held).drop("text")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs, min_docs=10, min_length=1, digest=True).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -102,4 +118,4 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM doc d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
 
-QUERIES = {"op1_nearest": op1_nearest, "op7_sentencepiece": op7_sentencepiece, "op8_licence_scan": op8_licence_scan, "op3_simhash": op3_simhash, "op10_lm_score": op10_lm_score, "op5_line_dedup": op5_line_dedup, "op6_url_filter": op6_url_filter, "op9_decontamination": op9_decontamination}
+QUERIES = {"op2_quality": op2_quality, "op4_toxicity": op4_toxicity, "op1_nearest": op1_nearest, "op7_sentencepiece": op7_sentencepiece, "op8_licence_scan": op8_licence_scan, "op3_simhash": op3_simhash, "op10_lm_score": op10_lm_score, "op5_line_dedup": op5_line_dedup, "op6_url_filter": op6_url_filter, "op9_decontamination": op9_decontamination}
