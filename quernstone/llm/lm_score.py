@@ -40,8 +40,8 @@ from quernstone.plans.scratch import stored
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
 BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"\r"))
-BLOCK_TOKENS = 4_000_000
-SHARD_TOKENS = 2_500_000
+BLOCK_TOKENS = 2_000_000
+SHARD_TOKENS = 2_000_000
 ANSWER = "block long, kind string, shard int, codes binary, followers binary, hash long, total long"
 
 
