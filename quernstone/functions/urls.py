@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quernstone.functions import vocabulary as V
 from quernstone.functions.rules import any_in, first_case
@@ -96,7 +97,7 @@ def page_type(url: Column) -> Column:
     return first_case([(name, any_in(low, parts)) for name, parts in V.PAGE_TYPES], "unknown")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def absolute(base: pd.Series, link: pd.Series) -> pd.Series:
     """A link resolved against its page; null where it can't be."""
     from urllib.parse import urljoin

@@ -67,7 +67,8 @@ def export_quality(rules: list[tuple[str, float, Column]]) -> tuple[Column, Colu
 
 def final_score(extraction: Column, ontology: Column, quality: Column) -> Column:
     """(score, decision) of an exported entity: a fifth extraction, three tenths ontology, a half quality."""
-    score = F.round(clamped(extraction * 2.0, 0.0, 10.0) * 0.2 + ontology * 10.0 * 0.3 + quality * 0.5, 2)
+    blend = clamped(extraction * 2.0, 0.0, 10.0) * 0.2 + ontology * 10.0 * 0.3 + quality * 0.5
+    score = F.floor(blend * 100 + 0.5) / 100  # rounds the binary value, where F.round rounds its decimal spelling
     return F.struct(score.alias("score"), first_case([("promote", score >= 7.0), ("review", score >= 4.5)], "weak").alias("decision"))
 
 
