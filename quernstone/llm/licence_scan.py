@@ -53,7 +53,7 @@ SENTENCES = {
     "bsd_endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd3_under": "licensed under the bsd 3-clause license",
     "bsd2_under": "licensed under the bsd 2-clause license",
-    "mpl_subject": "this source code form is subject to the terms of the mozilla public license v. 2.0",
+    "mpl_subject": "this source code form is subject to the terms of the mozilla public license v",
     "cc_by_nc": "licensed under cc by-nc 4.0",
     "cc_by": "licensed under cc by 4.0",
     "cc_by_sa": "licensed under cc by-sa 4.0",

@@ -83,14 +83,15 @@ class Model:
         return sigmoid(z @ self.weights[:-1] + self.weights[-1])
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, margin: float = 1.0) -> float:
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1) -> float:
     """The share of positives among the unlabelled, from scores of rows the scorer was not fitted on."""
     if not len(positive) or not len(unlabelled):
         return 0.5
     cuts = np.unique(np.quantile(positive, np.linspace(0, 0.98, 197)))
     p = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
     u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
-    slack = margin * (np.sqrt(np.maximum(u * (1 - u), 0) / len(unlabelled)) + np.sqrt(np.maximum(p * (1 - p), 0) / len(positive)))
+    # The margin of error that holds for all thresholds at once, so that a rare tail's luck isn't taken.
+    slack = np.sqrt(np.log(4 / delta) / 2) * (len(unlabelled) ** -0.5 + len(positive) ** -0.5)
     best = int(np.argmin((u + slack) / np.maximum(p, 1e-9)))
     return float(np.clip(u[best] / max(p[best], 1e-9), 0.02, 0.98))
 

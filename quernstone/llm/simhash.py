@@ -132,7 +132,7 @@ def _across(nodes: DataFrame) -> DataFrame:
     flips = F.array(*[F.lit(x) for x in [0, *(1 << b for b in range(16))]])
     right = left.select("k", F.col("fp").alias("fp2"), F.col("label").alias("label2"), F.col("key").alias("key0"), F.explode(flips).alias("flip"))
     right = right.select("k", F.col("key0").bitwiseXOR(F.col("flip").cast("long")).alias("key"), "fp2", "label2")
-    diff = "fp ^ fp2"
+    diff = "(fp ^ fp2)"
     # The chain's third step: the segments at k, k + 1 and k + 2 of the ring differ in at most two bits.
     masks = [sum(0xFFFF << (16 * ((3 - k - j) % 4)) for j in range(3)) for k in range(SEGMENTS)]
     chain = " OR ".join(f"(k = {k} AND bit_count({diff} & {m - (1 << 64) if m >> 63 else m}L) <= 2)" for k, m in enumerate(masks))
