@@ -24,6 +24,12 @@ def values(batch: pa.RecordBatch, column: str) -> list:
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One row at a time as Python values, for batches of few large rows."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns that an operator is about to add, whatever case the input spells them in."""
     taken = {n.lower() for n in names}

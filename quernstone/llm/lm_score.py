@@ -33,15 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import texts, values
+from quernstone.llm.arrow import rows_of, texts, values
 from quernstone.llm.elias_fano import NgramTrie
 from quernstone.llm.text import word_pieces
 from quernstone.plans.scratch import stored
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
 BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"\r"))
-BLOCK_TOKENS = 2_000_000
-SHARD_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
+SHARD_TOKENS = 1_000_000
 ANSWER = "block long, kind string, shard int, codes binary, followers binary, hash long, total long"
 
 
@@ -157,7 +157,7 @@ def _slices(shard: np.ndarray, order: np.ndarray):
 def _ask_words(blocks: DataFrame, shards: int) -> DataFrame:
     def run(parts):
         for part in parts:
-            for row in part.to_pylist():
+            for row in rows_of(part):
                 block = _Block(row)
                 seen = np.bincount(block.tokens[block.train], minlength=len(block.hashes)).astype(np.int64)
                 shard = _shard(block.hashes, shards)
@@ -193,7 +193,7 @@ def _count_words(asked: DataFrame, hot_at: int) -> DataFrame:
 def _ask_pairs(blocks: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
     def run(parts):
         for part in parts:
-            for row in part.to_pylist():
+            for row in rows_of(part):
                 block = _Block(row)
                 context, word, inverse = block.pairs()
                 seen = np.bincount(inverse[block.train], minlength=len(context)).astype(np.uint32)
@@ -278,8 +278,7 @@ def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS,
 
     def run(parts):
         for part in parts:
-            for place in range(part.num_rows):
-                row = part.slice(place, 1).to_pylist()[0]
+            for row in rows_of(part):
                 block = _Block(row)
                 said = {(a["kind"], a["shard"]): a for a in row["answers"]}
                 n = len(block.hashes)
@@ -317,7 +316,7 @@ def _count_ends(blocks: DataFrame) -> int:
     def run(parts):
         n = 0
         for part in parts:
-            for row in part.to_pylist():
+            for row in rows_of(part):
                 docs = len(_unpack(row["lengths"], np.int32))
                 n += docs - int(np.unpackbits(np.frombuffer(row["held"], np.uint8), count=docs).sum())
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
