@@ -11,17 +11,18 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def adam(gradient, start: np.ndarray, rounds: int, rate: float) -> np.ndarray:
-    """Full-batch Adam with a rate that falls to a tenth."""
+def adam(gradient, start: np.ndarray, rounds: int, rate: float, rising: int = 0) -> np.ndarray:
+    """Full-batch Adam with a rate that falls to a tenth; the first ``rising`` weights stay at zero or above."""
     w, m, v = start.astype(np.float64), np.zeros(len(start)), np.zeros(len(start))
     for t in range(1, rounds + 1):
         g = gradient(w)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * 0.1 ** (t / rounds) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w[:rising] = np.maximum(w[:rising], 0.0)
     return w
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 200, rate: float = 0.1, weight: np.ndarray | None = None) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 200, rate: float = 0.1, weight: np.ndarray | None = None, rising: int = 0) -> np.ndarray:
     """Weights of a logistic regression; the last is the intercept, which the ridge leaves alone."""
     share = np.full(len(y), 1 / max(len(y), 1)) if weight is None else weight / weight.sum()
 
@@ -29,24 +30,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 20
         r = (sigmoid(x @ w[:-1] + w[-1]) - y) * share
         return np.append(x.T @ r + ridge * w[:-1], r.sum())
 
-    return adam(gradient, np.zeros(x.shape[1] + 1), rounds, rate)
+    return adam(gradient, np.zeros(x.shape[1] + 1), rounds, rate, rising)
 
 
 def crc_fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(modulus))
-
-
-def sampled(docs: DataFrame, marks: DataFrame, most: int, kind: str = "mark") -> DataFrame:
-    """(mark, text) of at most ``most`` documents for each mark, by the smallest hashes of the id.
-
-    ``marks`` has a doc_id and a mark, of which there are few. What is broadcast is at most ``most`` ids a mark.
-    """
-    from functools import reduce
-
-    values = sorted(r[0] for r in marks.select(kind).distinct().collect())
-    picked = [marks.filter(F.col(kind) == v).select("doc_id", kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in values]
-    if not picked:
-        return docs.select(F.lit(None).cast("int").alias(kind), "text").limit(0)
-    ids = reduce(DataFrame.unionByName, picked).dropDuplicates(["doc_id"])
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(kind, "text")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quernstone.llm.arrow import mapped, texts, without
-from quernstone.llm.linear import adam, crc_fold, logistic, sampled, sigmoid
+from quernstone.llm.linear import adam, crc_fold, logistic, sigmoid
 from quernstone.llm.text import word_pieces
 from quernstone.plans.scratch import stored
 
@@ -146,7 +146,10 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, m
     marks = labels.select("doc_id", F.col("quality").alias("q")).filter("q IS NOT NULL").groupBy("doc_id").agg(F.max("q").alias("q"))
     mark = F.when(F.col("q").isNull(), 0).when(F.col("q") == 1, 1)
     marked = stored(ids.join(marks, "doc_id", "left").select("doc_id", mark.alias("mark")).filter("mark IS NOT NULL"), "marks")
-    y, x = _features_of(sampled(docs, marked, most))
+    # What is broadcast is at most ``most`` ids of each side, those with the smallest hashes.
+    picked = [marked.filter(F.col("mark") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in (0, 1)]
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("mark", "text")
+    y, x = _features_of(rows)
     return fit(x[y == 1], x[y == 0])
 
 
