@@ -15,7 +15,7 @@ NAME = r"\p{Lu}[\p{L}'’-]*(?:\s+(?:(?:de|del|la|las|los|el|y|e|of|the)\s+){0,3
 
 def split_parts(text: Column) -> Column:
     """The parts of a listing that stand between separators."""
-    return F.filter(F.transform(F.split(text, r"\s*(?:;|·|\||\s/\s)\s*"), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(text, r"\s*(?:;|·|\||\s/\s)\s*"), lambda x: F.trim(x)), lambda p: p != "")
 
 
 def candidates(blocks: DataFrame, keys: list[str], shortest: int = 4, most_words: int = 18) -> DataFrame:

@@ -80,12 +80,23 @@ def scored_pairs(entities: DataFrame) -> DataFrame:
     return sides.select("a", "b", F.round(match_score(), 6).alias("score"))
 
 
+def one_identity(pairs: DataFrame, entities: DataFrame) -> DataFrame:
+    """The pairs (a, b, score) less those that would tie an entity without an id to a second id."""
+    known = entities.select("id", X.nz(F.col("external_id")).alias("x"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
+    sides = both.join(known.toDF("a", "xa"), "a").join(known.toDF("b", "xb"), "b").filter("xa IS NULL AND xb IS NOT NULL")
+    best = sides.groupBy("a").agg(F.max_by("xb", F.struct("score", (-F.col("b")).alias("first"))).alias("x"))
+    gone = sides.join(best, "a").filter("xb <> x").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.select("a", "b").join(gone, ["a", "b"], "left_anti")
+
+
 def merge_entities(entities: DataFrame, threshold: float = 0.75) -> DataFrame:
     """(id, group_id): entities whose chain of pairs reaches the threshold are one, named by the smallest id.
 
-    Components don't depend on the order of rows, unlike a first-fit merge.
+    Components don't depend on the order of rows, unlike a first-fit merge. An entity without an external id
+    that pairs with entities of different ones stays with the best pair's id, so that it doesn't join them.
     """
-    links = stored(scored_pairs(entities).filter(F.col("score") >= threshold).select("a", "b"), "links")
+    links = stored(one_identity(scored_pairs(entities).filter(F.col("score") >= threshold), entities), "links")
     groups = connected_components(links).withColumnsRenamed({"node": "id", "component": "group_id"})
     return entities.select("id").join(groups, "id", "left").select("id", F.coalesce("group_id", "id").alias("group_id"))
 

@@ -87,5 +87,5 @@ def parse_ntriples(lines: DataFrame, line: str = "line") -> DataFrame:
 
 def markdown_cells(line: Column) -> Column:
     """The cells of a Markdown table row; null for any other line and for the rule below a header."""
-    cells = F.transform(F.split(F.regexp_replace(F.trim(line), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim(line), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     return F.when(F.trim(line).rlike(r"^\|.*\|$") & ~F.trim(line).rlike(r"^[|\s:-]+$"), cells)
