@@ -150,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, m
     marks = marks.filter(crc_fold(F.col("doc_id"), modulus) != held).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     # Taken without regard to the label, so the sample keeps the classes' shares.
     known = F.broadcast(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    rows = stored(docs.select("doc_id", "text").join(known, "doc_id").select("mark", "text").repartition(8, F.xxhash64("text")), "sample")
+    rows = stored(docs.select("doc_id", "text").join(known, "doc_id").select("mark", "text").repartition(8), "sample")
 
     def count(parts):
         seen = np.zeros((2, 1 << BITS), np.int32)
@@ -162,7 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, m
                 n[int(mark == 1)] += 1
         yield pa.RecordBatch.from_arrays([pa.array([n[1]], pa.int64()), pa.array([n[0]], pa.int64()), pa.array([seen[1].tobytes()], pa.binary()), pa.array([seen[0].tobytes()], pa.binary())], names=["n1", "n0", "s1", "s0"])
 
-    counted = rows.mapInArrow(count, "n1 long, n0 long, s1 binary, s0 binary").toLocalIterator()
+    # Eight tasks at most, each of which sends two counters of fixed width.
+    counted = rows.coalesce(8).mapInArrow(count, "n1 long, n0 long, s1 binary, s0 binary").collect()
     totals, n1, n0 = np.zeros((2, 1 << BITS), np.int64), 0, 0
     for r in counted:
         totals[1] += np.frombuffer(r["s1"], np.int32)
