@@ -6,27 +6,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions import vocabulary as V
+from quernstone.plans.scratch import stored
 
 
 def edges(spark: SparkSession, parents: dict[str, str] | None = None) -> DataFrame:
     return spark.createDataFrame(sorted((parents or V.PARENTS).items()), "child string, parent string")
 
 
-def closure(edges: DataFrame, max_depth: int = 32) -> DataFrame:
+def closure(edges: DataFrame, max_rounds: int = 16) -> DataFrame:
     """(class, ancestor, steps), each class its own ancestor at no steps.
 
-    Joins double the reach in each round, so a taxonomy of depth d takes log d of them; a cycle ends at max_depth.
+    Each round joins the reach with itself and so doubles it; it ends when nothing is new, with cycles too.
     """
     nodes = edges.select(F.col("child").alias("class")).union(edges.select("parent")).distinct()
-    reach = nodes.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("steps")).unionByName(edges.select(F.col("child").alias("class"), F.col("parent").alias("ancestor"), F.lit(1).alias("steps")))
-    depth = 1
-    while depth < max_depth:
+    direct = edges.select(F.col("child").alias("class"), F.col("parent").alias("ancestor"), F.lit(1).alias("steps"))
+    reach = stored(nodes.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("steps")).unionByName(direct).coalesce(1), "reach")
+    known = reach.count()
+    for _ in range(max_rounds):
         far = reach.alias("a").join(reach.alias("b"), F.col("a.ancestor") == F.col("b.class")).select(F.col("a.class"), F.col("b.ancestor"), (F.col("a.steps") + F.col("b.steps")).alias("steps"))
-        reach = reach.unionByName(far).groupBy("class", "ancestor").agg(F.min("steps").alias("steps"))
-        depth *= 2
-        if depth >= 8 and max_depth <= 32:
+        reach = stored(far.groupBy("class", "ancestor").agg(F.min("steps").alias("steps")).coalesce(1), "reach")
+        before, known = known, reach.count()
+        if known == before:
             break
-    return reach.filter(F.col("steps") <= max_depth)
+    return reach
 
 
 def closure_sql(parents: dict[str, str] | None = None) -> str:
