@@ -44,6 +44,15 @@ def clamped(c: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), c))
 
 
+def let(body, **values: Column) -> Column:
+    """``body`` of a struct of the values, each of which is planned and computed once.
+
+    A Column that many rules mention would otherwise be copied into every one of them.
+    """
+    bound = F.array(F.struct(*[v.alias(n) for n, v in values.items()]))
+    return F.element_at(F.transform(bound, lambda x: body(x)), 1)
+
+
 def mapping(table: dict[str, object]) -> Column:
     """A literal map."""
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -78,7 +79,7 @@ def histogram(df: DataFrame, column: str, most: int | None = None) -> DataFrame:
 
 def class_stats(entities: DataFrame, cls: str, flags: dict[str, Column]) -> DataFrame:
     """Counts and shares by class, with the number of entities for which each flag holds."""
-    total = F.sum(F.count(F.lit(1))).over(__import__("pyspark.sql.window", fromlist=["Window"]).Window.partitionBy())
+    total = F.sum(F.count(F.lit(1))).over(Window.partitionBy())  # over classes, which are few
     marks = [F.sum(F.when(F.coalesce(c, F.lit(False)), 1).otherwise(0)).alias(n) for n, c in flags.items()]
     return entities.groupBy(cls).agg(F.count(F.lit(1)).alias("n"), F.round(100.0 * F.count(F.lit(1)) / total, 2).alias("percent"), *marks)
 

@@ -45,7 +45,7 @@ reach(class, ancestor, steps) AS (
 def distances(reach: DataFrame) -> DataFrame:
     """(source, target, distance, lca) for classes with a common ancestor; of equal ones the deepest is taken."""
     depth = reach.groupBy(F.col("class").alias("ancestor")).agg(F.max("steps").alias("depth"))
-    up = reach.join(F.broadcast(depth), "ancestor")
+    up = reach.join(depth, "ancestor")
     pairs = up.alias("a").join(up.alias("b"), F.col("a.ancestor") == F.col("b.ancestor"))
     total = F.col("a.steps") + F.col("b.steps")
     return pairs.groupBy(F.col("a.class").alias("source"), F.col("b.class").alias("target")).agg(F.min(total).cast("long").alias("distance"), F.max_by(F.col("a.ancestor"), F.col("a.depth")).alias("lca"))
@@ -61,7 +61,7 @@ def similarity(distance: Column, source: Column, target: Column, depth_gap: Colu
 
 def closed_world(entities: DataFrame, classes: DataFrame, cls: str = "class") -> DataFrame:
     """Keep a class that the ontology has and that says something; else null, with the reason."""
-    known = F.broadcast(classes.select(F.col("class").alias("__known")).distinct())
+    known = classes.select(F.col("class").alias("__known")).distinct()
     generic = F.coalesce(F.col(cls), F.lit("")).isin(V.NOT_IN_ONTOLOGY)
     joined = entities.join(known, F.col(cls) == F.col("__known"), "left")
     reason = F.when(F.coalesce(F.trim(cls), F.lit("")) == "", "missing_class").when(generic, "generic_class").when(F.col("__known").isNull(), "class_not_in_ontology")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import text as X
 from quernstone.functions import vocabulary as V
-from quernstone.functions.rules import any_in, clamped, count_in, first_case, looked_up, reasons, weighted, word_in
+from quernstone.functions.rules import any_in, clamped, count_in, first_case, let, looked_up, reasons, weighted, word_in
 
 
 def filled(c: Column) -> Column:
@@ -22,14 +22,18 @@ def n_words(c: Column) -> Column:
 
 def evidence(name: Column, context: Column, linked: Column, located: Column, pictured: Column) -> Column:
     """(score, decision): signs that a name means a place to visit."""
-    name, context = X.normalised(name), X.normalised(context)
-    both = F.concat_ws(" ", name, context)
-    rules = [(w, F.contains(name, F.lit(t))) for t, w in V.EVIDENCE_NAME.items()]
-    rules += [(w, F.contains(context, F.lit(t))) for t, w in V.EVIDENCE_CONTEXT.items()]
-    rules += [(0.7, n_words(name) >= 2), (1.5, linked), (1.2, located), (0.8, pictured), (-2.0, n_words(name) >= 6)]
-    rules += [(-2.5, F.contains(both, F.lit(t))) for t in V.EVIDENCE_AGAINST]
-    score = F.when(name == "", F.lit(-5.0)).otherwise(F.round(weighted(rules), 3))
-    return F.struct(score.alias("score"), first_case([("strong", score >= 4.0), ("medium", score >= 1.5)], "weak").alias("decision"))
+    def judged(x: Column) -> Column:
+        return F.struct(x["score"].alias("score"), first_case([("strong", x["score"] >= 4.0), ("medium", x["score"] >= 1.5)], "weak").alias("decision"))
+
+    def rules(x: Column) -> Column:
+        both = F.concat_ws(" ", x["name"], x["context"])
+        table = [(w, F.contains(x["name"], F.lit(t))) for t, w in V.EVIDENCE_NAME.items()]
+        table += [(w, F.contains(x["context"], F.lit(t))) for t, w in V.EVIDENCE_CONTEXT.items()]
+        table += [(0.7, n_words(x["name"]) >= 2), (1.5, x["linked"]), (1.2, x["located"]), (0.8, x["pictured"]), (-2.0, n_words(x["name"]) >= 6)]
+        table += [(-2.5, F.contains(both, F.lit(t))) for t in V.EVIDENCE_AGAINST]
+        return let(judged, score=F.when(x["name"] == "", F.lit(-5.0)).otherwise(F.round(weighted(table), 3)))
+
+    return let(rules, name=X.normalised(name), context=X.normalised(context), linked=linked, located=located, pictured=pictured)
 
 
 def quality_rules(name: Column, cls: Column, matched: Column, description: Column, page_type: Column, role: Column, located: Column, image: Column, merged: Column) -> list[tuple[str, float, Column]]:
@@ -78,13 +82,12 @@ def ontology_score(cls: Column, matched: Column) -> Column:
 
 def rescued_class(primary: Column, text: Column) -> Column:
     """The class of the first rule whose word a generic entity's text holds."""
-    text = X.normalised(text)
-    return F.when(primary.isin(V.GENERIC_TYPES), first_case([(cls, word_in(text, words)) for words, cls in V.RESCUE_RULES], primary)).otherwise(primary)
+    rescued = let(lambda x: first_case([(cls, word_in(x["text"], words)) for words, cls in V.RESCUE_RULES], x["primary"]), text=X.normalised(text), primary=primary)
+    return F.when(primary.isin(V.GENERIC_TYPES), rescued).otherwise(primary)
 
 
 def family(text: Column) -> Column:
-    text = X.normalised(text)
-    return first_case([(name, any_in(text, words)) for name, words in V.FAMILY_KEYWORDS.items()], "unknown")
+    return let(lambda x: first_case([(name, any_in(x["text"], words)) for name, words in V.FAMILY_KEYWORDS.items()], "unknown"), text=X.normalised(text))
 
 
 def clean_type(c: Column) -> Column:
@@ -112,32 +115,35 @@ def class_quality(label: Column) -> Column:
 
 def leading_class(name: Column) -> Column:
     """The class that a name's first word implies."""
-    plain = X.canonical_name(name)
-    return first_case([(cls, (plain == word) | F.startswith(plain, F.lit(f"{word} "))) for word, cls in V.LEADING_CLASSES.items()], "")
+    starts = lambda x, word: (x["plain"] == word) | F.startswith(x["plain"], F.lit(f"{word} "))
+    return let(lambda x: first_case([(cls, starts(x, word)) for word, cls in V.LEADING_CLASSES.items()], ""), plain=X.canonical_name(name))
 
 
 def candidate_reason(name: Column, primary: Column, page_type: Column, role: Column) -> Column:
     """Why a candidate goes: the first failing rule; ``keep`` if none fails."""
-    plain = X.normalised(name)
-    strict = page_type.isin(V.STRICT_PAGE_TYPES)
-    ends = reduce(Column.__or__, [F.endswith(plain, F.lit(t)) for t in V.TRUNCATED_TAILS])
-    starts = reduce(Column.__or__, [F.startswith(plain, F.lit(t)) for t in V.TRUNCATED_HEADS])
-    anchors = F.size(F.array_intersect(F.split(plain, " "), F.array(*[F.lit(w) for w in V.ANCHOR_WORDS])))
-    return first_case([
-        ("missing_name", plain == ""),
-        ("truncated_name_tail", ends | starts),
-        ("context_fragment_name", any_in(plain, V.CONTEXT_FRAGMENTS)),
-        ("out_of_scope_name", any_in(plain, V.OUT_OF_SCOPE)),
-        ("utility_or_navigation_page", plain.isin(V.UTILITY_NAMES)),
-        ("missing_primary_class", ~filled(primary)),
-        ("non_final_generic_class", primary.isin(V.NON_FINAL_CLASSES)),
-        ("related_entity_on_strict_page", (role == "related_entity") & strict),
-        ("implausible_cathedral_structure", (primary == "Cathedral") & ~plain.rlike("^(?:catedral |conjunto catedralicio)")),
-        ("implausible_castle_structure", (primary == "Castle") & ~plain.rlike("^castillo (?:de|del|de la|de los|de las) ")),
-        ("composite_navigation_name_on_strict_page", strict & (anchors >= 2) & ~plain.rlike("^rutas? ")),
-        ("generic_on_strict_page", strict & primary.isin("Place", "Service", "Organization") & (n_words(plain) > 6)),
-        ("name_too_long_on_strict_page", strict & (n_words(plain) > 10)),
-    ], "keep")
+    def judged(x: Column) -> Column:
+        plain, primary, page_type, role = x["plain"], x["primary"], x["page_type"], x["role"]
+        strict = page_type.isin(V.STRICT_PAGE_TYPES)
+        ends = reduce(Column.__or__, [F.endswith(plain, F.lit(t)) for t in V.TRUNCATED_TAILS])
+        starts = reduce(Column.__or__, [F.startswith(plain, F.lit(t)) for t in V.TRUNCATED_HEADS])
+        anchors = F.size(F.array_intersect(F.split(plain, " "), F.array(*[F.lit(w) for w in V.ANCHOR_WORDS])))
+        return first_case([
+            ("missing_name", plain == ""),
+            ("truncated_name_tail", ends | starts),
+            ("context_fragment_name", any_in(plain, V.CONTEXT_FRAGMENTS)),
+            ("out_of_scope_name", any_in(plain, V.OUT_OF_SCOPE)),
+            ("utility_or_navigation_page", plain.isin(V.UTILITY_NAMES)),
+            ("missing_primary_class", ~filled(primary)),
+            ("non_final_generic_class", primary.isin(V.NON_FINAL_CLASSES)),
+            ("related_entity_on_strict_page", (role == "related_entity") & strict),
+            ("implausible_cathedral_structure", (primary == "Cathedral") & ~plain.rlike("^(?:catedral |conjunto catedralicio)")),
+            ("implausible_castle_structure", (primary == "Castle") & ~plain.rlike("^castillo (?:de|del|de la|de los|de las) ")),
+            ("composite_navigation_name_on_strict_page", strict & (anchors >= 2) & ~plain.rlike("^rutas? ")),
+            ("generic_on_strict_page", strict & primary.isin("Place", "Service", "Organization") & (n_words(plain) > 6)),
+            ("name_too_long_on_strict_page", strict & (n_words(plain) > 10)),
+        ], "keep")
+
+    return let(judged, plain=X.normalised(name), primary=primary, page_type=page_type, role=role)
 
 
 # Words and address parts that tell a page's intent.
@@ -174,21 +180,23 @@ RELATIONS = [
 
 
 def relation_hint(context: Column) -> Column:
-    plain = X.strip_accents(X.normalised(context))
-    return first_case([(name, any_in(plain, words)) for name, words in RELATIONS], "")
+    return let(lambda x: first_case([(name, any_in(x["plain"], words)) for name, words in RELATIONS], ""), plain=X.strip_accents(X.normalised(context)))
 
 
 def mention_role(name: Column, subject: Column, context: Column) -> Column:
     """What a mention is to its page."""
-    own, main = X.canonical_name(name), X.canonical_name(subject)
-    related = relation_hint(context).isin("nearby", "located_in", "editorial_reference")
-    contact = X.strip_accents(X.normalised(name)).rlike(r"^(?:calle|plaza|avenida|avda|paseo|camino) |(?:^|\s)(?:s/?n|cp\s+\d{3,5}|\d{5})(?:\s|$)")
-    return first_case([
-        ("ui_noise", (own == "") | X.normalised(name).isin(V.BLOCK_SHORT_UI)),
-        ("primary_resource", (main != "") & ((own == main) | F.contains(main, own) | F.contains(own, main))),
-        ("related_entity", related),
-        ("location_context", contact),
-    ], "standalone_candidate")
+    def judged(x: Column) -> Column:
+        own, main = x["own"], x["main"]
+        related = x["hint"].isin("nearby", "located_in", "editorial_reference")
+        contact = X.strip_accents(x["low"]).rlike(r"^(?:calle|plaza|avenida|avda|paseo|camino) |(?:^|\s)(?:s/?n|cp\s+\d{3,5}|\d{5})(?:\s|$)")
+        return first_case([
+            ("ui_noise", (own == "") | x["low"].isin(V.BLOCK_SHORT_UI)),
+            ("primary_resource", (main != "") & ((own == main) | F.contains(main, own) | F.contains(own, main))),
+            ("related_entity", related),
+            ("location_context", contact),
+        ], "standalone_candidate")
+
+    return let(judged, own=X.canonical_name(name), main=X.canonical_name(subject), low=X.normalised(name), hint=relation_hint(context))
 
 
 def block_noise(text: Column, attributes: Column) -> Column:

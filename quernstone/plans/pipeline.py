@@ -23,13 +23,11 @@ def entity_candidates(pages: DataFrame) -> DataFrame:
 
 def entities_of_pages(pages: DataFrame) -> DataFrame:
     """The scored entities of each page, the best few of each."""
-    rows = entity_candidates(pages)
-    name = X.entity_name(F.col("name"))
-    page_type = U.page_type(F.col("url"))
-    primary = F.coalesce(X.nz(scoring.leading_class(name)), scoring.rescued_class(F.lit("Unknown"), name))
-    role = scoring.mention_role(name, X.heading(F.col("h1")), F.col("source_text"))
-    typed = rows.select("page_id", "url", "pos", name.alias("name"), primary.alias("primary_class"), page_type.alias("page_type"), role.alias("role"), "source_text")
-    evidence = scoring.evidence(F.col("name"), F.col("source_text"), F.lit(False), F.lit(False), F.lit(False))
-    scored = typed.withColumn("evidence", evidence["score"]).withColumn("reason", scoring.candidate_reason(F.col("name"), F.col("primary_class"), F.col("page_type"), F.col("role")))
+    named = entity_candidates(pages).withColumn("name", X.entity_name(F.col("name"))).withColumn("page_type", U.page_type(F.col("url")))
+    name, context = F.col("name"), F.col("source_text")
+    typed = named.withColumn("primary_class", F.coalesce(X.nz(scoring.leading_class(name)), scoring.rescued_class(F.lit("Unknown"), name)))
+    typed = typed.withColumn("role", scoring.mention_role(name, X.heading(F.col("h1")), context))
+    evidence = scoring.evidence(name, context, F.lit(False), F.lit(False), F.lit(False))["score"]
+    scored = typed.withColumn("evidence", evidence).withColumn("reason", scoring.candidate_reason(name, F.col("primary_class"), F.col("page_type"), F.col("role")))
     judged = scored.withColumn("listing", F.col("page_type").isin("listing_page", "category_page")).withColumn("penalty", F.when(F.col("reason") == "keep", 0).otherwise(6))
     return ranking.select_per_page(judged, "page_id", [F.desc("evidence"), F.desc(F.length("name")), F.asc("pos")], "listing", "penalty").select("page_id", "url", "name", "primary_class", "page_type", "role", "evidence", "reason", "rank")

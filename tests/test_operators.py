@@ -105,3 +105,44 @@ def test_exports(spark, tmp_path):
 def test_scores(spark):
     row = spark.range(1).select(scoring.leading_class(F.lit("El Museo del Prado")).alias("a"), scoring.leading_class(F.lit("Torre")).alias("b"), scoring.sane_types(F.array(F.lit("hotels"), F.lit("Thing"), F.lit("Hotel"))).alias("c"), scoring.class_quality(F.lit("Place")).alias("d")).first()
     assert (row.a, row.b, row.c, row.d) == ("Museum", "", ["Hotel"], "generic")
+
+
+def test_names(spark):
+    from quernstone.operators import names
+
+    rows = spark.createDataFrame([("Ver mas", None), ("Catedral de Burgos", "Cathedral"), ("por supuesto Plaza Mayor tambien", None), (None, None)], "name string, cls string")
+    got = [r.x for r in rows.select(names.name_score(F.col("name"), F.lit("texto"), F.col("cls")).alias("x")).collect()]
+    assert [g.decision for g in got] == ["reject", "keep", "keep", "reject"]
+    assert got[1].score == 1 + 3 + 2 + 1 + 2 and "instance_indicator" in got[1].reasons and got[3].reasons == ["empty_name"]
+
+
+def test_consolidation(spark):
+    from quernstone.operators import consolidate
+
+    rows = spark.createDataFrame(
+        [("La Plaza Mayor", "Place", 0.5, None, "corta", "", None, 1), ("Plaza Mayor", "Square", 0.9, "una descripción larga", "visita sevilla y más texto de portal que es muy largo pero vale menos", "1", "a@b", 2), (None, "X", 1.0, "x", "x", "x", "x", 3)],
+        "name string, class string, score double, short_description string, long_description string, phone string, email string, pos int",
+    )
+    row = consolidate.consolidated(rows).collect()
+    assert len(row) == 1 and (row[0].key, row[0]["class"], row[0].score, row[0].phone, row[0].email, row[0].n) == ("plaza mayor", "Square", 0.9, "1", "a@b", 2)
+    assert row[0].short_description == "una descripción larga" and row[0].long_description == "corta"
+    maps = spark.createDataFrame([(1, {"a": "x", "b": "long"}), (1, {"a": "xyz", "b": ""}), (2, None)], "k int, p map<string,string>")
+    assert {r.k: r.p for r in consolidate.merge_properties(maps, "k", "p").collect()} == {1: {"a": "xyz", "b": "long"}}
+    assert maps.limit(1).select(consolidate.merged_maps(F.col("p"), F.create_map(F.lit("a"), F.lit("xy"), F.lit("c"), F.lit("z"))).alias("m")).first().m == {"a": "xy", "b": "long", "c": "z"}
+    images = spark.createDataFrame([(1, "", "u.jpg"), (2, None, "v.jpg"), (3, None, "v.jpg"), (4, "w.jpg", "q.jpg"), (5, None, "logo.png"), (6, None, None)], "id int, image string, candidate string")
+    assert {r.id: r.image for r in consolidate.promoted_images(images, "id", "image", "candidate").collect()} == {1: "u.jpg", 2: None, 3: None, 4: "w.jpg", 5: None, 6: None}
+    d = spark.range(1).select(consolidate.image_decision(F.lit(4), F.lit(2), F.lit(None).cast("string")).alias("a"), consolidate.image_decision(F.lit(3), F.lit(9), F.lit(None).cast("string")).alias("b")).first()
+    assert d.a.accepted and not d.b.accepted and d.b.reason == "weak_image_affinity"
+
+
+def test_lookups(spark):
+    from quernstone.operators import consolidate
+    from quernstone.sources import crawl
+
+    wanted, cache = spark.createDataFrame([("a",), ("b",)], "k string"), spark.createDataFrame([("a", 1.0)], "k string, lat double")
+    found, missing = consolidate.from_cache(wanted, cache, "k")
+    assert [r.lat for r in found.collect()] == [1.0] and [r.k for r in missing.collect()] == ["b"]
+    links = spark.createDataFrame([("https://x.es/lugar/a#z",), ("https://x.es/b/",), ("https://x.es/en/c",), ("https://y.es/d",), ("https://x.es/seen",), (None,)], "link string")
+    seen = spark.createDataFrame([("https://x.es/seen",)], "url string")
+    assert {(r.url, r.detail) for r in crawl.next_round(links, seen, ["x.es"]).collect()} == {("https://x.es/lugar/a", True), ("https://x.es/b", False)}
+    assert crawl.next_round(links, seen, ["x.es"], most=1).first().detail
