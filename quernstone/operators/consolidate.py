@@ -27,9 +27,9 @@ def merged_maps(a: Column, b: Column) -> Column:
 
 def merge_properties(rows: DataFrame, key: str, properties: str) -> DataFrame:
     """(key, properties): each property's longest value, of equal ones the smallest, by entries rather than by rows."""
-    entries = rows.select(key, F.explode(properties).alias("k", "v")).filter(F.trim("v") != "")
-    best = entries.groupBy(key, "k").agg(F.min_by("v", F.struct(-F.length("v"), F.col("v"))).alias("v"))
-    return best.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias(properties))
+    entries = rows.select(key, F.explode(properties).alias("__k", "v")).filter(F.trim("v") != "")
+    best = entries.groupBy(key, "__k").agg(F.min_by("v", F.struct(-F.length("v"), F.col("v"))).alias("v"))
+    return best.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("__k", "v")))).alias(properties))
 
 
 def consolidated(rows: DataFrame, name: str = "name", cls: str = "class", score: str = "score", texts: tuple[str, ...] = ("short_description", "long_description"), firsts: tuple[str, ...] = ("phone", "email"), order: str = "pos") -> DataFrame:

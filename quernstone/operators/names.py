@@ -72,7 +72,7 @@ def name_score(name: Column, context: Column, cls: Column) -> Column:
         low = _folded(x["clean"])
         return let(rules, clean=x["clean"], low=low, words=X.tokens(X.strip_accents(x["clean"])), both=F.concat_ws(" || ", low, _folded(x["context"])), instance=any_in(low, INSTANCE), cls=x["cls"])
 
-    return let(folded, clean=clean_edges(name), context=context, cls=F.lower(F.coalesce(cls, F.lit(""))))
+    return let(folded, clean=clean_edges(F.coalesce(name, F.lit(""))), context=F.coalesce(context, F.lit("")), cls=F.lower(F.coalesce(cls, F.lit(""))))
 
 
 # Classes of the quality score.

@@ -110,7 +110,7 @@ def test_scores(spark):
 def test_names(spark):
     from quernstone.operators import names
 
-    rows = spark.createDataFrame([("Ver mas", None), ("Catedral de Burgos", "Cathedral"), ("por supuesto Plaza Mayor tambien", None), (None, None)], "name string, cls string")
+    rows = spark.createDataFrame([("Ver mas", None), ("Catedral de Burgos", "Cathedral"), ("por supuesto Plaza Mayor tambien", None), ("", None)], "name string, cls string")
     got = [r.x for r in rows.select(names.name_score(F.col("name"), F.lit("texto"), F.col("cls")).alias("x")).collect()]
     assert [g.decision for g in got] == ["reject", "keep", "keep", "reject"]
     assert got[1].score == 1 + 3 + 2 + 1 + 2 and "instance_indicator" in got[1].reasons and got[3].reasons == ["empty_name"]
@@ -126,8 +126,8 @@ def test_consolidation(spark):
     row = consolidate.consolidated(rows).collect()
     assert len(row) == 1 and (row[0].key, row[0]["class"], row[0].score, row[0].phone, row[0].email, row[0].n) == ("plaza mayor", "Square", 0.9, "1", "a@b", 2)
     assert row[0].short_description == "una descripción larga" and row[0].long_description == "corta"
-    maps = spark.createDataFrame([(1, {"a": "x", "b": "long"}), (1, {"a": "xyz", "b": ""}), (2, None)], "k int, p map<string,string>")
-    assert {r.k: r.p for r in consolidate.merge_properties(maps, "k", "p").collect()} == {1: {"a": "xyz", "b": "long"}}
+    maps = spark.createDataFrame([(1, {"a": "x", "b": "long"}), (1, {"a": "xyz", "b": ""}), (2, None)], "id int, p map<string,string>")
+    assert {r.id: r.p for r in consolidate.merge_properties(maps, "id", "p").collect()} == {1: {"a": "xyz", "b": "long"}}
     assert maps.limit(1).select(consolidate.merged_maps(F.col("p"), F.create_map(F.lit("a"), F.lit("xy"), F.lit("c"), F.lit("z"))).alias("m")).first().m == {"a": "xy", "b": "long", "c": "z"}
     images = spark.createDataFrame([(1, "", "u.jpg"), (2, None, "v.jpg"), (3, None, "v.jpg"), (4, "w.jpg", "q.jpg"), (5, None, "logo.png"), (6, None, None)], "id int, image string, candidate string")
     assert {r.id: r.image for r in consolidate.promoted_images(images, "id", "image", "candidate").collect()} == {1: "u.jpg", 2: None, 3: None, 4: "w.jpg", 5: None, 6: None}
