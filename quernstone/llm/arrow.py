@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,6 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+#: Rows that are worked on at once; Spark's own batches are ten thousand rows, long texts or not.
+SLICE = 512
+
+
+def frugal(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Batches in slices; freed memory goes back to the system, since Python workers outlive their tasks."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def to_bytes(value: str | None) -> bytes:
     """UTF-8; null counts as empty, and a lone surrogate is kept."""
     return b"" if value is None else value.encode("utf-8", "surrogatepass")
@@ -50,7 +68,7 @@ def mapped(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, list]], add
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in frugal(batches):
             out = make(batch)
             arrays = [batch.column(batch.schema.get_field_index(n)) for n in names]
             arrays += [x if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in wanted]

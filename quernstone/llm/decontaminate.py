@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import mapped, texts, values, without
+from quernstone.llm.arrow import frugal, mapped, texts, values, without
 
 #: Words are runs of 0-9, a-z (A-Z lower-cased) and everything beyond ASCII.
 _TABLE = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -159,7 +159,7 @@ def _count_shingles(docs: DataFrame, block: Windows) -> dict[tuple[int, int], in
 
     def run(parts):
         totals = {size: np.zeros(len(keys), np.int64) for size, keys in block.shingles.items()}
-        for part in parts:
+        for part in frugal(parts):
             for text in texts(part, "text"):
                 for size, _, found in block.meetings(word_ids(text, block.ids)):
                     np.add.at(totals[size], found, 1)

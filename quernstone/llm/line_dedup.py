@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import mapped, texts, values, without
+from quernstone.llm.arrow import frugal, mapped, texts, values, without
 from quernstone.plans.joins import heavy_light_join
 from quernstone.plans.scratch import drop_path, scratch_path, stored
 
@@ -57,7 +57,7 @@ def line_rows(docs: DataFrame, batches: int, min_length: int) -> DataFrame:
     schema = T.StructType([kind, T.StructField("batch", T.IntegerType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])
 
     def run(parts):
-        for part in parts:
+        for part in frugal(parts, 4096):
             found = [key_hashes(t, min_length) for t in texts(part, "text")]
             rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
             pairs = np.frombuffer(b"".join(h for x in found for h in x), dtype="<i8").reshape(-1, 2)

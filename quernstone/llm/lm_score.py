@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import rows_of, texts, values
+from quernstone.llm.arrow import frugal, rows_of, texts, values
 from quernstone.llm.elias_fano import NgramTrie
 from quernstone.llm.text import word_pieces
 from quernstone.plans.scratch import stored
@@ -93,7 +93,7 @@ def make_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
 
         ids, held, lengths, tokens, words = fresh()
         total, end = 0, np.zeros(1, np.int32)
-        for part in parts:
+        for part in frugal(parts):
             for doc, out, text in zip(values(part, "doc_id"), values(part, "held"), texts(part, "text"), strict=True):
                 n = 1
                 for piece in word_pieces(text):
@@ -156,7 +156,7 @@ def _slices(shard: np.ndarray, order: np.ndarray):
 
 def _ask_words(blocks: DataFrame, shards: int) -> DataFrame:
     def run(parts):
-        for part in parts:
+        for part in frugal(parts, 1):
             for row in rows_of(part):
                 block = _Block(row)
                 seen = np.bincount(block.tokens[block.train], minlength=len(block.hashes)).astype(np.int64)
@@ -192,7 +192,7 @@ def _count_words(asked: DataFrame, hot_at: int) -> DataFrame:
 
 def _ask_pairs(blocks: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
     def run(parts):
-        for part in parts:
+        for part in frugal(parts, 1):
             for row in rows_of(part):
                 block = _Block(row)
                 context, word, inverse = block.pairs()
@@ -277,7 +277,7 @@ def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS,
     floor = np.log10(train_tokens + n_known + 1)
 
     def run(parts):
-        for part in parts:
+        for part in frugal(parts, 1):
             for row in rows_of(part):
                 block = _Block(row)
                 said = {(a["kind"], a["shard"]): a for a in row["answers"]}
@@ -315,7 +315,7 @@ def _count_ends(blocks: DataFrame) -> int:
 
     def run(parts):
         n = 0
-        for part in parts:
+        for part in frugal(parts, 1):
             for row in rows_of(part):
                 docs = len(_unpack(row["lengths"], np.int32))
                 n += docs - int(np.unpackbits(np.frombuffer(row["held"], np.uint8), count=docs).sum())

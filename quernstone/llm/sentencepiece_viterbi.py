@@ -32,7 +32,7 @@ from quernstone.llm.arrow import mapped, texts
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 200_000
+REMEMBERED = 80_000
 #: Values of a piece's type in the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 

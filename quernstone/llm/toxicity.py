@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import mapped, texts, values, without
+from quernstone.llm.arrow import frugal, mapped, texts, values, without
 from quernstone.llm.linear import crc_fold, logistic, sigmoid
 from quernstone.plans.scratch import stored
 
@@ -39,7 +39,7 @@ MOST = 16_000
 KEEP = 512
 BITS = 18
 FOLDS = 4
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 PIECE = 1 << 20
 
 # Word lists of the narrow categories.
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, m
     def count(parts):
         seen = np.zeros((2, 1 << BITS), np.int32)
         n = [0, 0]
-        for part in parts:
+        for part in frugal(parts):
             for mark, text in zip(values(part, "mark"), texts(part, "text"), strict=True):
                 found = {f for words in word_lists(text) for w in set(words) for f in word_features(w)}
                 seen[int(mark == 1), list(found)] += 1
