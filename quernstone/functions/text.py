@@ -182,3 +182,70 @@ def person_like(c: Column) -> Column:
 def fix_latin1(c: Column) -> Column:
     """UTF-8 that was read as Latin-1."""
     return F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")
+
+
+# Words that candidate, route and description cleaning take off.
+CALLS = ["PAGO RECOMENDADO", "Ver", "Más", "Mas", "También", "Tambien", "Comenzaremos", "Saber", "Ir", "Qué", "Que", "Tradiciones", "Recomendaciones", "Descubrir", "Descubre"]
+LISTING_HEADS = ["Todos los lugares", "Todas las noticias", "Categorias", "Categorías", "Que ver", "Qué ver", "Que hacer", "Qué hacer", "Donde comer", "Dónde comer", "Pensiones y hostales", "Albergues", "Campings", "Excursiones desde Pamplona", "Paseos y rutas", "Hoteles", "Restaurantes", "Mercados"]
+SITE_HEADS = ["ir al contenido", "reserva tu actividad", "descubre pamplona", "planifica tu viaje"]
+MERGE_NOISE = ["compartir", "abrir", "google maps", "copiar direccion", "direccion"]
+HEADING_ANCHORS = ["Festival", "Mercado", "Feria", "Ruta", "Camino", "Museo", "Catedral", "Iglesia", "Capilla", "Castillo", "Palacio", "Plaza", "Ayuntamiento", "Parque", "Puente", "Estacion", "Oficina de Turismo"]
+LOST_TAILS = ["palacio", "parque", "catedral", "iglesia", "museo"]
+_EDGE = " -|,;:"
+
+
+def _one_of(words: list[str]) -> str:
+    return "(?:" + "|".join(words) + ")"
+
+
+def candidate_name(c: Column) -> Column:
+    """A candidate without a call to act behind it, or a listing's heading or town hall ahead of it."""
+    s = F.regexp_replace(squeeze(c), rf"(?i)(?<![\p{{L}}]){_one_of(CALLS)}$", "")
+    s = F.regexp_replace(F.trim(s), r"(?i)^Ayuntamiento\s+de\s+Pamplona\s+", "")
+    s = F.regexp_replace(s, rf"(?i)^(?:{_one_of(LISTING_HEADS)}\s+)+", "")
+    return F.btrim(squeeze(s), F.lit(_EDGE))
+
+
+def merge_name(c: Column) -> Column:
+    """The key that merges a consolidated record with a raw one."""
+    s = strip_accents(F.lower(F.trim(F.coalesce(c, F.lit("")))))
+    s = F.regexp_replace(s, rf"\b{_one_of(MERGE_NOISE)}\b", " ")
+    return squeeze(F.regexp_replace(s, r"[^\p{L}\p{N}_\s]", " "))
+
+
+def route_name(c: Column) -> Column:
+    """A route's name: no site part, site heading, distance or time."""
+    s = squeeze(c)
+    for mark in (" | ", " - "):
+        s = F.trim(F.substring_index(s, mark, 1))
+    s = F.regexp_replace(s, rf"(?i)^(?:{_one_of(SITE_HEADS)}\s+)+", "")
+    s = F.regexp_replace(s, r"(?i)(?<![\p{L}])(?:Distancia|Tiempo recomendado)(?![\p{L}]).*$", "")
+    return F.btrim(squeeze(s), F.lit(_EDGE))
+
+
+def stop_name(c: Column) -> Column:
+    """The name of a stop on a route: no day, side, distance, stray article or class word behind it."""
+    s = candidate_name(c)
+    s = F.regexp_replace(s, r"(?i)\s*/\s*(?:Derecha|Izquierda)(?![\p{L}]).*$", "")
+    s = F.btrim(F.regexp_replace(s, r"(?i)(?<![\p{L}])Distancia(?![\p{L}]).*$", ""), F.lit(_EDGE))
+    s = F.regexp_replace(s, r"(?i)^(?:D[IÍ]A\s*\d+|Mañana|Tarde)(?![\p{L}\d])[:-]?\s*", "")
+    s = F.regexp_replace(s, r"(?i)^de\s+(?=\S)", "")
+    s = F.regexp_replace(s, rf"(?i)^(\S+\s+.*\S)\s+{_one_of(LOST_TAILS)}$", "$1")
+    return F.btrim(squeeze(s), F.lit(_EDGE))
+
+
+def heading_names(c: Column, most_words: int = 18) -> Column:
+    """Names in a heading: the whole of a short one, and what stands behind an anchor word."""
+    clean = F.btrim(heading(c), F.lit(" ,.;:-|"))
+    anchored = F.regexp_extract_all(clean, F.lit(rf"(?i)(?<![\p{{L}}])({_one_of(HEADING_ANCHORS)}(?:\s+[\p{{L}}0-9'’-]+){{0,16}})"), F.lit(1))
+    whole = F.when((clean != "") & (F.size(F.split(clean, " ")) <= most_words), F.array(clean)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.filter(F.concat(whole, F.transform(anchored, lambda x: candidate_name(x))), lambda x: x != ""))
+
+
+def compact_description(c: Column, name: Column) -> Column:
+    """A description in which its entity's name isn't repeated and no site call remains."""
+    quoted = F.concat(F.lit(r"\Q"), F.replace(F.trim(F.coalesce(name, F.lit(""))), F.lit(r"\E"), F.lit("")), F.lit(r"\E"))
+    once = F.regexp_replace(squeeze(c), F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}_])("), quoted, F.lit(r")(?:\s+\1)+")), F.lit("$1"))
+    s = F.when(F.coalesce(F.trim(name), F.lit("")) != "", once).otherwise(squeeze(c))
+    s = F.regexp_replace(s, r"(?i)(?<![\p{L}])(?:compartir|guardar favorito|eliminar favorito|ir a mis favoritos|qu[eé]\s+hacer|planes\s+para\s+inspirarte)(?![\p{L}]).*$", "")
+    return F.btrim(squeeze(s), F.lit(_EDGE))

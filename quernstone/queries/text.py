@@ -154,3 +154,13 @@ def image_rank_roles(spark, sf_dir):
 def block_concat(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("x"))
     return rows.select("conv_id", F.concat_ws("\n", F.transform("x", lambda t: t["text"])).alias("dialogue"), F.size("x").cast("long").alias("turns"))
+
+
+HEADINGS = Literal("id long, raw string", [(1, "Qué ver Hoteles Museo del Prado Ver"), (2, "Ayuntamiento de Pamplona Plaza Mayor"), (3, "Mercados Mercado Central"), (4, "  Ruta  del vino -"), (5, "Restaurantes Tradiciones")])
+
+
+@REGISTRY.add(rf"""WITH {HEADINGS.values('h')}, a AS (SELECT id, trim(regexp_replace(trim(regexp_replace(raw, '\s+', ' ', 'g')), '(?i)\b({"|".join(X.CALLS)})$', '')) AS s FROM h),
+b AS (SELECT id, regexp_replace(regexp_replace(s, '(?i)^Ayuntamiento\s+de\s+Pamplona\s+', ''), '(?i)^(({"|".join(X.LISTING_HEADS)})\s+)+', '') AS s FROM a)
+SELECT id, trim(regexp_replace(s, '\s+', ' ', 'g'), ' -|,;:') AS name FROM b""")
+def candidate_name_clean(spark, sf_dir):
+    return HEADINGS.frame(spark).select("id", X.candidate_name(F.col("raw")).alias("name"))

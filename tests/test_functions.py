@@ -60,3 +60,15 @@ def test_similarity(spark):
     df = spark.createDataFrame([(["a", "b"], ["b", "c"], [1.0, 0.0], [1.0, 1.0])], "a array<string>, b array<string>, v array<double>, w array<double>")
     row = df.select(S.jaccard(F.col("a"), F.col("b")).alias("j"), S.overlap(F.col("a"), F.col("b")).alias("o"), F.round(S.cosine(F.col("v"), F.col("w")), 6).alias("c"), S.ratio(F.lit("abcd"), F.lit("bcde")).alias("r"), F.round(S.haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0)), 3).alias("h")).first()
     assert (row.j, row.o, row.c, row.r, row.h) == (1 / 3, 0.5, 0.707107, 0.75, 111.195)
+
+
+def test_candidate_and_route_names(spark):
+    cases = [
+        (X.candidate_name, "Qué ver Hoteles Museo del Prado Ver", "Museo del Prado"), (X.candidate_name, "Ayuntamiento de Pamplona Plaza Mayor", "Plaza Mayor"), (X.merge_name, "Compartir: Museo, Prado", "museo prado"),
+        (X.route_name, "Planifica tu viaje Ruta del vino Distancia 3 km | Web", "Ruta del vino"), (X.stop_name, "DÍA 2: Plaza Mayor / Derecha algo", "Plaza Mayor"), (X.stop_name, "de San Juan catedral", "San Juan"),
+        (X.candidate_name, None, None), (X.stop_name, "", ""),
+    ]
+    for make, value, expected in cases:
+        assert one(spark, value, make) == expected, (make.__name__, value)
+    assert one(spark, "Visita Museo del Prado | Web", X.heading_names) == ["Visita Museo del Prado", "Museo del Prado"]
+    assert one(spark, "Torre (A) Torre (A) torre (a) es alta. Compartir todo", lambda c: X.compact_description(c, F.lit("Torre (A)"))) == "Torre (A) es alta."
