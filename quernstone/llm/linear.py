@@ -22,13 +22,43 @@ def adam(gradient, start: np.ndarray, rounds: int, rate: float, rising: int = 0)
     return w
 
 
+class Entries:
+    """The entries of a matrix that is mostly zero."""
+
+    def __init__(self, x: np.ndarray):
+        self.shape = x.shape
+        self.rows, self.columns = np.nonzero(x)
+        self.values = x[self.rows, self.columns].astype(np.float64)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, self.values * w[self.columns], self.shape[0])
+
+    def turned_times(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.columns, self.values * r[self.rows], self.shape[1])
+
+
+class Dense:
+    """Any other matrix."""
+
+    def __init__(self, x: np.ndarray):
+        self.x = x
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return self.x @ w
+
+    def turned_times(self, r: np.ndarray) -> np.ndarray:
+        return self.x.T @ r
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 200, rate: float = 0.1, weight: np.ndarray | None = None, rising: int = 0) -> np.ndarray:
     """Weights of a logistic regression; the last is the intercept, which the ridge leaves alone."""
     share = np.full(len(y), 1 / max(len(y), 1)) if weight is None else weight / weight.sum()
 
+    matrix = Entries(x) if np.count_nonzero(x) * 5 < x.size else Dense(x)
+
     def gradient(w):
-        r = (sigmoid(x @ w[:-1] + w[-1]) - y) * share
-        return np.append(x.T @ r + ridge * w[:-1], r.sum())
+        r = (sigmoid(matrix.times(w[:-1]) + w[-1]) - y) * share
+        return np.append(matrix.turned_times(r) + ridge * w[:-1], r.sum())
 
     return adam(gradient, np.zeros(x.shape[1] + 1), rounds, rate, rising)
 

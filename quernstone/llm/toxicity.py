@@ -120,7 +120,8 @@ def fit_chain(x: np.ndarray, targets: dict[str, np.ndarray], place: dict[int, in
     """Fit the categories in order, handing on out-of-fold probabilities."""
     names, models = list(targets), []
     fold = np.arange(len(x)) % FOLDS
-    earlier = np.zeros((len(x), 0))
+    x = x.astype(np.float32, copy=False)
+    earlier = np.zeros((len(x), 0), np.float32)
     for name in names:
         y, z = targets[name], np.concatenate([x, earlier], 1)
         out = np.zeros(len(y))
@@ -128,7 +129,7 @@ def fit_chain(x: np.ndarray, targets: dict[str, np.ndarray], place: dict[int, in
             w = _fit_one(z[fold != k], y[fold != k])
             out[fold == k] = sigmoid(z[fold == k] @ w[:-1] + w[-1])
         models.append(_fit_one(z, y))
-        earlier = np.column_stack([earlier, out])
+        earlier = np.column_stack([earlier, out.astype(np.float32)])
     return Chain(place, names, models)
 
 
