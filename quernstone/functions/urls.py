@@ -70,8 +70,12 @@ def prefix(url: Column, depth: int) -> Column:
 
 def in_scope(url: Column, hosts: list[str], base: str = "/") -> Column:
     """On one of the hosts and below the base path."""
-    inside = F.lit(True) if base == "/" else (path(url) == base) | F.startswith(path(url), F.lit(base + "/"))
-    return host(url).isin(hosts) & inside
+    return host(url).isin(hosts) & below(url, base)
+
+
+def below(url: Column, base: str = "/") -> Column:
+    """At or below the base path."""
+    return F.lit(True) if base == "/" else (path(url) == base) | F.startswith(path(url), F.lit(base + "/"))
 
 
 def skipped(url: Column, languages: list[str] | None = None) -> Column:

@@ -112,7 +112,7 @@ def crawl_frontier(spark, sf_dir):
 
     pages = table(spark, sf_dir, "pages")
     links = html.parse_pages(pages).select("url", F.explode("links").alias("link"))
-    hosts = [r[0] for r in pages.select(U.host(F.col("url")).alias("h")).distinct().orderBy("h").limit(20).collect()]
+    hosts = pages.select(U.host(F.col("url")).alias("host")).distinct()
     return crawl.next_round(links, pages.select(U.crawl_url(F.col("url")).alias("url")), hosts)
 
 

@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from quernstone.functions import urls as U
 
 
-def next_round(links: DataFrame, visited: DataFrame, hosts: list[str], base: str = "/", most: int | None = None) -> DataFrame:
+def next_round(links: DataFrame, visited: DataFrame, hosts: list[str] | DataFrame, base: str = "/", most: int | None = None) -> DataFrame:
     """(url, detail): new addresses in scope that no earlier round has visited, detail pages first.
 
-    ``links`` has a link column of absolute addresses; ``most`` is the crawl's budget, a feature of it.
+    ``links`` has a link column of absolute addresses; ``hosts`` is a list, or a table with a host column;
+    ``most`` is the crawl's budget, a feature of it.
     """
     found = links.select(U.crawl_url(F.col("link")).alias("url")).filter("url IS NOT NULL").distinct()
-    fresh = found.filter(U.in_scope(F.col("url"), hosts, base) & ~U.skipped(F.col("url"))).join(visited.select("url"), "url", "left_anti")
+    new = found.filter(U.below(F.col("url"), base) & ~U.skipped(F.col("url"))).join(visited.select("url"), "url", "left_anti")
+    if isinstance(hosts, DataFrame):
+        scope = hosts.select("host").distinct()
+        fresh = new.withColumn("host", U.host(F.col("url"))).join(scope, "host", "left_semi").drop("host")
+    else:
+        fresh = new.filter(U.in_scope(F.col("url"), hosts, base))
     ranked = fresh.withColumn("detail", F.contains("url", F.lit("/lugar/")))
     return ranked if most is None else ranked.orderBy(F.desc("detail"), "url").limit(most)
 

@@ -146,3 +146,14 @@ def test_lookups(spark):
     seen = spark.createDataFrame([("https://x.es/seen",)], "url string")
     assert {(r.url, r.detail) for r in crawl.next_round(links, seen, ["x.es"]).collect()} == {("https://x.es/lugar/a", True), ("https://x.es/b", False)}
     assert crawl.next_round(links, seen, ["x.es"], most=1).first().detail
+
+
+def test_crawl_frontier_covers_every_host(spark, tmp_path):
+    from quernstone.queries.consolidation import crawl_frontier
+
+    rows = [(k, f"https://h{k:02}.es/", f'<html><body><a href="https://h{k:02}.es/lugar/a">a</a><a href="https://other{k}.es/b">b</a></body></html>') for k in range(30)]
+    schema = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").schema
+    have = dict(zip(("page_id", "url", "html"), range(3)))
+    filled = [tuple(r[have[f.name]] if f.name in have else None for f in schema) for r in rows]
+    spark.createDataFrame(filled, schema).write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.url for r in crawl_frontier(spark, str(tmp_path)).collect()} == {f"https://h{k:02}.es/lugar/a" for k in range(30)}
