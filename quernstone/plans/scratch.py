@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder, as in tests on one machine.
+#: Used only where the session names no shared folder and all of Spark runs on this machine, as in tests.
 LOCAL_FOLDER = "/tmp/checkpoints/quernstone"
 
 _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, or a local one where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FOLDER
+    """The folder in ``spark.checkpoint.dir``, or a local one where that is unset and the master is local."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return LOCAL_FOLDER
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -43,6 +49,39 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Bucketed:
+    """Tables of one call, each bucketed by a key in the shared folder, so that joins on it move one side only."""
+
+    def __init__(self, spark: SparkSession, key: str):
+        self.spark, self.key, self.names = spark, key, []
+        self.folder = scratch_path(spark, "bucketed")
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def store(self, df: DataFrame) -> DataFrame:
+        """``df``, which is dealt out by the key already, as a table."""
+        name = f"quernstone_{uuid.uuid4().hex}"
+        df.write.bucketBy(self.buckets, self.key).option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name)
+        self.names.append(name)
+        return self.spark.table(name)
+
+    def drop(self) -> None:
+        """Forget the tables and delete their files, when what was read from them is written."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names = []
+        drop_path(self.spark, self.folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files and broadcasts of steps that are done.
+
+    Spark removes them when the driver collects garbage, which by itself it does every half hour or when its
+    heap is full; a chain of stored tables would keep all of its shuffles on the executors' disks until then.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _made:
