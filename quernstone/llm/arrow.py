@@ -14,6 +14,13 @@ from pyspark.sql import types as T
 SLICE = 512
 
 
+def trim() -> None:
+    """Give freed memory back to the system."""
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give:
+        give(0)
+
+
 def frugal(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Batches in slices; freed memory goes back to the system, since Python workers outlive their tasks."""
     pa.set_memory_pool(pa.system_memory_pool())
@@ -22,9 +29,7 @@ def frugal(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             for at in range(0, batch.num_rows, rows):
                 yield batch.slice(at, rows)
     finally:
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        trim()
 
 
 def to_bytes(value: str | None) -> bytes:
