@@ -1,4 +1,4 @@
-"""Elias-Fano sequences and an n-gram trie whose levels are built from them.
+"""Elias-Fano sequences and the levels of an n-gram trie, which are built from them.
 
 A monotone sequence of n numbers below u keeps the low ``log2(u / n)`` bits of each number packed and
 the high parts in unary, about ``2 + log2(u / n)`` bits a number. ``next_geq`` goes straight to the few
@@ -53,9 +53,11 @@ class EliasFano:
             low = values & np.uint64((1 << self.low_bits) - 1)
             at = np.arange(n, dtype=np.int64) * self.low_bits
             word, shift = at >> 6, (at & 63).astype(np.uint64)
-            np.bitwise_or.at(packed, word, low << shift)
+            # Places rise, so the numbers that share a word are a run; at most one of them goes on in the next word.
+            heads = np.flatnonzero(np.diff(word, prepend=-1))
+            packed[word[heads]] = np.bitwise_or.reduceat(low << shift, heads)
             spill = shift + np.uint64(self.low_bits) > 64
-            np.bitwise_or.at(packed, word[spill] + 1, low[spill] >> (np.uint64(64) - shift[spill]))
+            packed[word[spill] + 1] |= low[spill] >> (np.uint64(64) - shift[spill])
         self.low = store(packed)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -93,41 +95,63 @@ class EliasFano:
         return np.where(beyond, self.n, begin)
 
 
+#: A step of quantisation in log10; the codes reach down to 10 ** -19.5.
+STEP, CODES = 3e-4, 65_000
+
+
+def quantised(p: np.ndarray) -> np.ndarray:
+    """The 16-bit codes of probabilities; 0 is left for an n-gram that is not in a trie."""
+    with np.errstate(divide="ignore"):
+        return np.clip(np.rint(-np.log10(p) / STEP), 0, CODES).astype(np.uint16) + np.uint16(1)
+
+
+def log10_of(codes: np.ndarray) -> np.ndarray:
+    return (codes.astype(np.float64) - 1) * -STEP
+
+
+class WordLevel:
+    """The first order of the trie: the words' hashes as one monotone sequence, with exact counts."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
+        """Different hashes in rising order."""
+        self.hashes, self.counts = EliasFano(hashes), counts
+
+    def lookup(self, hashes: np.ndarray) -> np.ndarray:
+        """Counts; 0 for a word that isn't there."""
+        found = np.zeros(len(hashes), np.int64)
+        if len(self.counts):
+            place = self.hashes.next_geq(hashes)
+            inside = np.flatnonzero(place < self.hashes.n)
+            same = inside[self.hashes[place[inside]] == hashes[inside]]
+            found[same] = self.counts[place[same]]
+        return found
+
+
 class NgramTrie:
-    """Two levels: contexts with monotone pointers, and their successors with quantised probabilities.
+    """One order of n-grams: contexts with monotone pointers, and their successors with quantised probabilities.
 
     Successors are numbered among all successors of the trie; within a context the numbers rise, and
     each context's numbers are raised by the last value of the one before, so that the level is one
     monotone sequence. A lookup adds the context's base to the number and searches its successor.
-    """
 
-    #: A step of quantisation in log10; code 0 stands for an n-gram that is not in the trie.
-    STEP = 2e-4
-    CODES = 65_000
+    Levels are written to a file and mapped, so what they were built from can be let go.
+    """
 
-    def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, totals: dict[int, int] | None = None):
-        """Sorted distinct (context, word) hashes with counts; ``totals`` overrides a context's total."""
+    def __init__(self, heads: np.ndarray, word: np.ndarray, codes: np.ndarray):
+        """``word`` and ``codes`` of the successors, context by context and in rising order within each;
+        ``heads`` is where each context's successors begin, the number of successors last."""
         self._file = tempfile.TemporaryFile()
-        heads = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.zeros(0, np.int64)
-        self.contexts = self._store(context[heads])
-        sizes = np.diff(np.concatenate([heads, [len(context)]]))
-        self.successors = self._store(sizes.astype(np.uint32))
-        total = np.add.reduceat(count, heads).astype(np.float64) if len(heads) else np.zeros(0)
-        if totals:
-            known = np.array(sorted(totals), np.uint64)
-            sums = np.array([totals[int(k)] for k in known], np.float64)
-            at = np.minimum(np.searchsorted(known, self.contexts), len(known) - 1)
-            total = np.where(known[at] == self.contexts, sums[at], total)
-        self.words = self._store(np.unique(word))
-        number = np.searchsorted(self.words, word).astype(np.uint64)
+        sizes = np.diff(heads)
+        words, number = np.unique(word, return_inverse=True)
+        self.words = self._store(words)
+        number = number.astype(np.uint64)
         # Each context's numbers start above the last value of the context before it.
-        lasts = number[heads + sizes - 1] + ONE if len(heads) else np.zeros(0, np.uint64)
-        base = np.concatenate([[0], np.cumsum(lasts)[:-1]]).astype(np.uint64) if len(heads) else lasts
+        lasts = number[heads[1:] - 1] + ONE
+        base = np.concatenate([[0], np.cumsum(lasts)[:-1]]).astype(np.uint64) if len(lasts) else lasts
         self.base = EliasFano(base, self._store)
-        self.pointers = EliasFano(np.concatenate([heads, [len(context)]]).astype(np.uint64), self._store)
+        self.pointers = EliasFano(heads.astype(np.uint64), self._store)
         self.level = EliasFano(number + np.repeat(base, sizes), self._store)
-        share = np.log10(count / np.repeat(total, sizes)) if len(heads) else np.zeros(0)
-        self.codes = self._store(np.clip(np.rint(-share / self.STEP), 0, self.CODES).astype(np.uint16) + np.uint16(1))
+        self.codes = self._store(codes)
 
     def _store(self, x: np.ndarray) -> np.ndarray:
         x = np.ascontiguousarray(x)
@@ -135,36 +159,29 @@ class NgramTrie:
             return x
         start = os.lseek(self._file.fileno(), 0, os.SEEK_END)
         start += -start % 8
-        os.pwrite(self._file.fileno(), b"\0" * 0 + x.tobytes(), start)
+        os.pwrite(self._file.fileno(), x, start)
         return np.memmap(self._file, x.dtype, "r", start, x.shape)
 
-    def context(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of each context, -1 if it is new."""
-        if not len(self.contexts):
-            return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.contexts, hashes), len(self.contexts) - 1)
-        return np.where(self.contexts[at] == hashes, at, -1)
-
-    def lookup(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The codes of (context number, word hash) pairs."""
-        codes = np.zeros(len(context), np.uint16)
-        if not len(self.words):
-            return codes
+    def places(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The places of (context number, word) pairs in the level, -1 where it has none; context numbers rise."""
+        found = np.full(len(context), -1, np.int64)
+        if not len(self.words) or not len(context):
+            return found
         at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-        can = np.flatnonzero((context >= 0) & (self.words[at] == word))
+        can = np.flatnonzero(self.words[at] == word)
         if not len(can):
-            return codes
+            return found
         own = context[can]
-        target = at[can].astype(np.uint64) + self.base[own]
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        times = np.diff(np.append(first, len(own)))
+        target = at[can].astype(np.uint64) + np.repeat(self.base[own[first]], times)
+        end = np.repeat(self.pointers[own[first] + 1].astype(np.int64), times)
         place = self.level.next_geq(target)
-        end = self.pointers[own + 1].astype(np.int64)
-        inside = place < end
-        can, place, target = can[inside], place[inside], target[inside]
-        same = self.level[place] == target
-        codes[can[same]] = self.codes[place[same]]
-        return codes
-
-    @classmethod
-    def share(cls, codes: np.ndarray) -> np.ndarray:
-        """The probabilities that codes stand for; 0 for code 0."""
-        return np.where(codes > 0, 10.0 ** (-(codes.astype(np.float64) - 1) * cls.STEP), 0.0)
+        inside = np.flatnonzero(place < end)
+        same = inside[self.level[place[inside]] == target[inside]]
+        found[can[same]] = place[same]
+        return found
+
+    def codes_at(self, place: np.ndarray) -> np.ndarray:
+        """The codes at places of the level; 0 for a place of -1."""
+        return np.where(place >= 0, self.codes[np.maximum(place, 0)] if len(self.codes) else np.uint16(0), np.uint16(0)).astype(np.uint16)

@@ -1,30 +1,39 @@
 """Language-model scoring with a sharded Elias-Fano n-gram trie.
 
-The model is a bigram model, interpolated by Witten-Bell with an add-one unigram model:
-``p(w|v) = (1 - a(v)) c(vw) / c(v) + a(v) (c(w) + 1) / (N + V + 1)``, ``a(v) = s(v) / (c(v) + s(v))``, where
-s(v) is the number of different words that follow v and a new v has a(v) = 1. It sums to one over the V
-known tokens and one unknown.
-
-Counts come from the whole training part and are never gathered in one place. Documents are packed into
-blocks of a bounded number of tokens. Each block asks every shard of the vocabulary, and then of the
-bigrams, about its distinct words and pairs; a shard adds up what all blocks have sent, builds its part
-of the trie, and answers. A shard's trie lives in a memory-mapped file while it answers. The number of
-shards follows the number of tokens, so a shard stays small; contexts that hold more than half of a
-shard's share of the tokens, of which there are at most two for each shard, are dealt out by their successor.
-
-Words are compared by 64-bit hashes, successors of one context by 48 bits.
+The model has orders 1 to ``ORDER``, each smoothed by the one below with a Dirichlet prior:
+``p_k(w | c) = (n(c w) + s_k p_{k-1}(w | c')) / (n(c) + s_k)``, where c' is the context c less its first word;
+``p_1(w) = (n(w) + 1) / (N + V + 1)``. Each order sums to one over the V known tokens and one unknown. All it
+takes are counts, and a context's count is that of an n-gram one order below, so orders are counted one
+after the other, and nothing about contexts has to be gathered anywhere.
+
+Counts come from the whole training part. Documents are packed into blocks of a bounded number of tokens.
+For each order a block asks the shards about its different n-grams, and sends its own counts along; a shard
+adds up what all blocks have sent, builds its part of the trie with quantised smoothed probabilities,
+and answers from its memory-mapped levels. It also gives each n-gram its place in the trie, by which the
+next order names its contexts: an n-gram lives in the shard of its context, as a child does with its parent. A
+context that has more than half of a shard's tokens is dealt out by the next word, which every block can
+tell from the context's count. Contexts and words that the training part doesn't have aren't asked about.
+
+The number of shards follows the number of tokens. Up to ``FAN`` shards a block sends a message to each; beyond,
+messages go by way of relays, each of which takes those of some blocks for some shards and sends them
+on, so that a block sends the square root of the number of shards and no message gets small.
+
+Words are compared by 64-bit hashes, everything else by place, so nothing else can collide.
 
 Cases: a null or empty text is one end token; a repeated row is scored, and learned from, each time; a
-null doc_id belongs to the training part; an empty table gives an empty table; without any training
+null doc_id belongs to the training part; bytes that aren't UTF-8 are words like others; a very long text makes
+its block longer; extra columns are ignored; an empty table gives an empty table; without any training
 document every token has the probability of the unknown one, which is then 1.
 """
 
 from __future__ import annotations
 
+import struct
 from collections import defaultdict
 from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -32,28 +41,28 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from quernstone.llm.arrow import frugal, rows_of, texts, values
-from quernstone.llm.elias_fano import NgramTrie
-from quernstone.llm.text import word_pieces
-from quernstone.plans.scratch import stored
+from quernstone.llm.arrow import frugal, rows_of, texts, trim, values
+from quernstone.llm.elias_fano import NgramTrie, WordLevel, log10_of, quantised
+from quernstone.llm.text import coded_words, grouped, mixed
+from quernstone.plans.scratch import Bucketed, release, stored
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
-BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"\r"))
+ORDER = 3
+#: The strength s_k of each order's prior, chosen on held-out text; beyond the third order the last one holds.
+STRENGTHS = {2: 1000.0, 3: 30.0}
 BLOCK_TOKENS = 1_000_000
 SHARD_TOKENS = 1_000_000
-ANSWER = "block long, kind string, shard int, codes binary, followers binary, hash long, total long"
+FAN = 256
+MESSAGE = "dest long, sender long, parcel binary, extra long"
+_MESSAGE = pa.schema([("dest", pa.int64()), ("sender", pa.int64()), ("parcel", pa.binary()), ("extra", pa.int64())])
 
 
 def held_out(doc_id: Column, modulus: int = 7, remainder: int = 2) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(modulus)) == remainder, F.lit(False))
 
 
-def _shard(hashes: np.ndarray, shards: int) -> np.ndarray:
-    """Ranges of the hash, so that a sorted block is cut into slices."""
-    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
-
-
 def _pack(x: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
 
@@ -62,263 +71,482 @@ def _unpack(x: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers as their lowest bytes, next bytes and so on, since the higher ones are mostly equal."""
+    return _pack(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T)
+
+
+def _from_planes(blob: bytes, kind: str) -> np.ndarray:
+    found = _unpack(blob, np.uint8)
+    return np.ascontiguousarray(found.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+class Form:
+    """The columns of a parcel: its index, a column value for each group, and for each item of a group.
+
+    A kind is a numpy type; ``d8`` are 64-bit numbers that mostly rise, kept as differences.
+    """
+
+    INDEX = ("i8", "i8", "i4", "i4")
+
+    def __init__(self, groups: tuple, items: tuple):
+        self.groups, self.items = groups, items
+        self.kinds = (*self.INDEX, *groups, *items)
+
+    def dump(self, parcel: Parcel) -> bytes:
+        columns = (*parcel.index, *parcel.groups, *parcel.items)
+        cells = [_planes(np.diff(x.astype("i8", copy=False), prepend=0) if kind == "d8" else x.astype(kind, copy=False)) for kind, x in zip(self.kinds, columns, strict=True)]
+        return struct.pack(f"<{len(cells)}I", *map(len, cells)) + b"".join(cells)
+
+    def load(self, blob: bytes) -> Parcel:
+        sizes = struct.unpack_from(f"<{len(self.kinds)}I", blob)
+        at, found = 4 * len(sizes), []
+        for kind, size in zip(self.kinds, sizes, strict=True):
+            cell = memoryview(blob)[at : at + size]
+            at += size
+            found.append(np.cumsum(_from_planes(cell, "i8")) if kind == "d8" else _from_planes(cell, kind))
+        n, g = len(self.INDEX), len(self.groups)
+        return Parcel(found[:n], found[n : n + g], found[n + g :])
+
+
+class Parcel:
+    """Pieces of messages between blocks and shards: each has an owner, a shard, some groups and some items."""
+
+    def __init__(self, index: list[np.ndarray], groups: list[np.ndarray], items: list[np.ndarray]):
+        self.index, self.groups, self.items = index, groups, items
+
+    @property
+    def owner(self) -> np.ndarray:
+        return self.index[0]
+
+    @property
+    def shard(self) -> np.ndarray:
+        return self.index[1]
+
+    @classmethod
+    def joined(cls, parcels: list[Parcel]) -> Parcel:
+        rows = [(*p.index, *p.groups, *p.items) for p in parcels]
+        found = [np.concatenate(x) for x in zip(*rows, strict=True)]
+        n, g = len(parcels[0].index), len(parcels[0].groups)
+        return cls(found[:n], found[n : n + g], found[n + g :])
+
+    def split(self, by: np.ndarray):
+        """(key, parcel) for each different key of the pieces."""
+        order = np.argsort(by, kind="stable")
+        groups, items = (_gathered(sizes, order) for sizes in self.index[2:4])
+        sorted_groups, sorted_items = [x[groups[0]] for x in self.groups], [x[items[0]] for x in self.items]
+        edges = np.flatnonzero(np.diff(by[order])) + 1
+        for first, last in zip([0, *edges], [*edges, len(order)], strict=True):
+            if first == last:
+                continue
+            g, i = (slice(ends[first], ends[last]) for ends in (groups[1], items[1]))
+            yield int(by[order[first]]), Parcel([x[order[first:last]] for x in self.index], [x[g] for x in sorted_groups], [x[i] for x in sorted_items])
+
+
+def _gathered(sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, ends): where the members of the pieces are, piece by piece in the new order, and where each ends."""
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
+    own = sizes[order].astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(own)])
+    return np.repeat(starts[order] - ends[:-1], own) + np.arange(ends[-1]), ends
+
+
+#: A word's hash and the block's count; the word's count and its rank in the shard.
+ASK_WORDS, ANSWER_WORDS = Form(("u8", "u4"), ()), Form(("u8", "i8"), ())
+#: A context's place, home shard, number of items and count, and each next word, the block's count and the code one
+#: order below; the n-gram's count, place and code.
+ASK, ANSWER = Form(("d8", "u4", "u4", "u8"), ("i8", "u4", "u2")), Form((), ("u8", "d8", "u2"))
+#: The place of the beginning of texts, which no word has.
+BEGIN_PLACE = 1 << 38
+
+
+class Route:
+    """From blocks to shards and back, directly or by way of relays."""
+
+    def __init__(self, shards: int, blocks: int, fan: int = FAN):
+        self.shards = shards
+        self.direct = shards <= fan
+        self.width = max(fan, int(np.ceil(np.sqrt(shards))))  # shards behind a relay
+        self.bunches = blocks // self.width + 1
+
+    def first(self, shard: np.ndarray, block: int) -> np.ndarray:
+        if self.direct:
+            return shard
+        return shard // self.width * self.bunches + int(mixed(*np.array([[block], [self.shards]], np.uint64))[0] % np.uint64(self.bunches))
+
+    def messages(self, parcel: Parcel, block: int, form: Form) -> pa.RecordBatch:
+        return _messages([(dest, block, form.dump(p), 0) for dest, p in parcel.split(self.first(parcel.shard, block))])
+
+    def exchange(self, asked: DataFrame, ask: Form, answer: Form, serve) -> DataFrame:
+        """Messages with the answers, addressed to blocks. ``serve`` answers a shard's parcels and counts something."""
+
+        def relayed(table: pa.Table) -> pa.Table:
+            every = Parcel.joined([ask.load(x.as_py()) for x in table.column("parcel")])
+            relay = table.column("dest")[0].as_py()
+            return pa.Table.from_batches([_messages([(shard, relay, ask.dump(p), 0) for shard, p in every.split(every.shard)])])
+
+        def served(table: pa.Table) -> pa.Table:
+            parcels = [ask.load(x.as_py()) for x in table.column("parcel")]
+            answers, extra = serve(parcels)
+            senders, shard = table.column("sender").to_pylist(), table.column("dest")[0].as_py()
+            out = _messages([(to, shard, answer.dump(p), extra if k == 0 else 0) for k, (to, p) in enumerate(zip(senders, answers, strict=True))])
+            trim()
+            return pa.Table.from_batches([out])
+
+        def returned(table: pa.Table) -> pa.Table:
+            every = Parcel.joined([answer.load(x.as_py()) for x in table.column("parcel")])
+            extra = sum(table.column("extra").to_pylist())
+            relay = table.column("dest")[0].as_py()
+            return pa.Table.from_batches([_messages([(owner, relay, answer.dump(p), extra if k == 0 else 0) for k, (owner, p) in enumerate(every.split(every.owner))])])
+
+        if self.direct:
+            return asked.groupBy("dest").applyInArrow(served, MESSAGE)
+        at_shards = asked.groupBy("dest").applyInArrow(relayed, MESSAGE)
+        return at_shards.groupBy("dest").applyInArrow(served, MESSAGE).groupBy("dest").applyInArrow(returned, MESSAGE)
+
+
+def _messages(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, _MESSAGE, strict=True)], schema=_MESSAGE)
+
+
+def _ranks(x: np.ndarray) -> np.ndarray:
+    """The rank of each number among the different ones."""
+    return np.unique(x, return_inverse=True)[1]
+
+
+def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 def make_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """One row for each block: its documents, its distinct words in hash order, and its tokens as places there.
+    """One row for each block: its documents, its different words' hashes, and its tokens as places there.
 
-    Place 0 .. n-1 are words and the end. A block's number is its partition's and its own in it.
+    Place 0 is the end. A block's number is its partition's and its own in it.
     """
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("held", T.BinaryType()),
-        T.StructField("lengths", T.BinaryType()), T.StructField("hashes", T.BinaryType()), T.StructField("tokens", T.BinaryType()), T.StructField("n_train", T.LongType()),
+        T.StructField("lengths", T.BinaryType()), T.StructField("hashes", T.BinaryType()), T.StructField("tokens", T.BinaryType()),
+        T.StructField("n_train", T.LongType()), T.StructField("n_begins", T.LongType()),
     ])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     wanted = to_arrow_schema(schema)
 
-    def run(parts):
-        number = count(TaskContext.get().partitionId() << 32)
+    class Open:
+        """A block that still grows."""
+
+        def __init__(self):
+            self.ids, self.held, self.lengths, self.tokens = [], [], [], []
+            self.words: dict[bytes, int] = defaultdict(count(1).__next__)
+            self.size = 0
 
-        def close(ids, held, lengths, tokens, words):
-            hashes = np.concatenate([[END], np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))]).astype(np.uint64)
-            order = np.argsort(hashes)
-            place = np.empty(len(order), np.int32)
-            place[order] = np.arange(len(order), dtype=np.int32)
-            train = sum(n for n, h in zip(lengths, held, strict=True) if not h)
-            row = [next(number), ids, np.packbits(held).tobytes(), _pack(np.array(lengths, np.int32)), hashes[order].tobytes(), _pack(place[np.concatenate(tokens)]), train]
-            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, wanted, strict=True)], schema=wanted)
+        def add(self, doc_id, held: bool, tokens: list[np.ndarray]) -> None:
+            self.tokens.extend([*tokens, np.zeros(1, np.int32)])
+            self.ids.append(doc_id)
+            self.held.append(held)
+            self.lengths.append(sum(map(len, tokens)) + 1)
+            self.size += self.lengths[-1]
 
-        def fresh():
-            return [], [], [], [], defaultdict(count(1).__next__)
+        def row(self, number: int) -> pa.RecordBatch:
+            hashes = np.concatenate([[END], np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))]).astype(np.uint64)
+            lengths, held = np.array(self.lengths, np.int32), np.array(self.held, bool)
+            cells = [number, self.ids, np.packbits(held).tobytes(), _pack(lengths), hashes.tobytes(), _pack(np.concatenate(self.tokens).astype(np.int32)), int(lengths[~held].sum()), int((~held).sum())]
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(cells, wanted, strict=True)], schema=wanted)
 
-        ids, held, lengths, tokens, words = fresh()
-        total, end = 0, np.zeros(1, np.int32)
+    def run(parts):
+        number = count(TaskContext.get().partitionId() << 32)
+        block = Open()
         for part in frugal(parts):
-            for doc, out, text in zip(values(part, "doc_id"), values(part, "held"), texts(part, "text"), strict=True):
-                n = 1
-                for piece in word_pieces(text):
-                    tokens.append(np.fromiter(map(words.__getitem__, piece), np.int32, len(piece)))
-                    n += len(piece)
-                tokens.append(end)
-                ids.append(doc)
-                held.append(out)
-                lengths.append(n)
-                total += n
-                if total >= block_tokens:
-                    yield close(ids, held, lengths, tokens, words)
-                    ids, held, lengths, tokens, words = fresh()
-                    total = 0
-        if ids:
-            yield close(ids, held, lengths, tokens, words)
+            ids, held, raws = values(part, "doc_id"), values(part, "held"), texts(part, "text")
+            pending: list[np.ndarray] = []
+            at = 0  # the text that the pending tokens belong to
+            for group in [*grouped(raws, 1 << 20), [(len(raws), b"")]]:
+                while at < group[0][0]:  # texts without words are in no group
+                    block.add(ids[at], held[at], pending)
+                    pending, at = [], at + 1
+                if block.size >= block_tokens and not pending:
+                    yield block.row(next(number))
+                    block = Open()
+                codes, counts, found = coded_words([x for _, x in group])
+                places = np.fromiter(map(block.words.__getitem__, found), np.int32, len(found))[codes] if found else codes
+                for (text, _), tokens in zip(group, np.split(places, np.cumsum(counts)[:-1]), strict=True):
+                    while at < text:
+                        block.add(ids[at], held[at], pending)
+                        pending, at = [], at + 1
+                    pending.append(tokens)
+        if block.ids:
+            yield block.row(next(number))
 
     return docs.select("doc_id", "held", "text").mapInArrow(run, schema)
 
 
-class _Block:
-    """A block's arrays, decoded."""
+class Scale:
+    """The few numbers that hold for the whole corpus."""
 
-    def __init__(self, row: dict):
-        self.number = row["block"]
-        self.hashes = np.frombuffer(row["hashes"], np.uint64)
-        self.lengths = _unpack(row["lengths"], np.int32)
-        self.held = np.unpackbits(np.frombuffer(row["held"], np.uint8), count=len(self.lengths)).astype(bool)
-        self.tokens = _unpack(row["tokens"], np.int32)
-        self.train = np.repeat(~self.held, self.lengths)
+    def __init__(self, tokens: int, known: int, begins: int, shard_tokens: int, strengths: dict[int, float]):
+        self.tokens, self.known, self.begins, self.shard_tokens = tokens, known, begins, shard_tokens
+        self.shards = tokens // shard_tokens + 1
+        self.strengths = strengths
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (context place, word place) in order, and each token's pair; a text begins at place n."""
-        n = len(self.hashes)
-        before = np.empty(len(self.tokens), np.int64)
-        before[1:] = self.tokens[:-1]
-        before[np.cumsum(self.lengths) - self.lengths] = n
-        keys, inverse = np.unique(before * n + self.tokens, return_inverse=True)
-        return keys // n, keys % n, inverse
+    def strength(self, order: int) -> float:
+        return self.strengths.get(order, self.strengths[max(self.strengths)])
 
-    def context_hashes(self) -> np.ndarray:
-        return np.append(self.hashes, BEGIN)
 
-    def pair_shards(self, context: np.ndarray, word: np.ndarray, shards: int, hot: np.ndarray) -> np.ndarray:
-        v = self.context_hashes()[context]
-        shard = _shard(v, shards)
-        if len(hot):
-            split = np.isin(v, hot)
-            shard[split] = _shard(self.hashes[word[split]], shards)
-        return shard
+class Level:
+    """The different n-grams of one order in a block: context, next word, and the block's own counts.
 
+    Settling adds, for each, its count in the corpus, its id (place and shard in one number) and its code.
+    """
+
+    count: np.ndarray
+    ids: np.ndarray
+    code: np.ndarray
+
+    def __init__(self, item: np.ndarray, context: np.ndarray, word: np.ndarray, seen: np.ndarray):
+        #: Each token's n-gram, -1 where the text has begun too late for one.
+        self.item, self.context, self.word, self.seen = item, context, word, seen
 
-def _slices(shard: np.ndarray, order: np.ndarray):
-    """(shard, places) for each shard that occurs, places in their order."""
-    edges = np.flatnonzero(np.diff(shard[order])) + 1
-    for places in np.split(order, edges):
-        if len(places):
-            yield int(shard[places[0]]), places
 
+class Block:
+    """A block's arrays, and its levels as far as answers have come."""
 
-def _ask_words(blocks: DataFrame, shards: int) -> DataFrame:
+    def __init__(self, row: dict):
+        self.number = row["block"]
+        self.words = np.frombuffer(row["hashes"], np.uint64)
+        self.lengths = _unpack(row["lengths"], np.int32)
+        self.held = np.unpackbits(np.frombuffer(row["held"], np.uint8), count=len(self.lengths)).astype(bool)
+        self.tokens = _unpack(row["tokens"], np.int32)
+        self.train = np.repeat(~self.held, self.lengths)
+        self.heads = np.cumsum(self.lengths) - self.lengths
+        self.begins = int((~self.held).sum())
+
+    def words_level(self) -> Level:
+        """The words, and behind them the beginning of a text, which is a context and never a token."""
+        seen = np.bincount(self.tokens[self.train], minlength=len(self.words))
+        return Level(self.tokens, np.zeros(0, int), np.arange(len(self.words)), np.append(seen, self.begins))
+
+    def settled_words(self, answers: list[bytes], scale: Scale) -> Level:
+        level = self.words_level()
+        n = len(self.words)
+        shard = _shard_of(self.words, scale.shards)
+        order = np.argsort(shard, kind="stable")
+        shard = shard[order]
+        level.count, level.ids = np.zeros(n + 1, np.int64), np.full(n + 1, -1, np.int64)
+        level.count[n], level.ids[n] = scale.begins, BEGIN_PLACE * scale.shards
+        for parcel in map(ANSWER_WORDS.load, answers):
+            firsts = np.searchsorted(shard, parcel.shard)
+            at = 0
+            for s, first, size in zip(parcel.shard.tolist(), firsts.tolist(), parcel.index[2].tolist(), strict=True):
+                places = order[first : first + size]
+                level.count[places] = parcel.groups[0][at : at + size]
+                level.ids[places] = parcel.groups[1][at : at + size] * scale.shards + s
+                at += size
+        level.code = quantised((level.count[:n] + 1) / (scale.tokens + scale.known + 1))
+        return level
+
+    def above(self, below: Level, words: Level, order: int) -> Level:
+        """The level of the next order."""
+        context = np.empty(len(self.tokens), np.int64)
+        context[1:] = below.item[:-1]
+        context[self.heads] = len(self.words) if order == 2 else -1
+        has = np.flatnonzero(context >= 0)
+        width = len(self.words)
+        item, keys = pd.factorize(context[has] * width + self.tokens[has])
+        first = np.empty(len(keys), np.int64)
+        first[item[::-1]] = has[::-1]
+        of_token = np.full(len(self.tokens), -1, np.int32)
+        of_token[has] = item
+        level = Level(of_token, keys // width, keys % width, np.bincount(item[self.train[has]], minlength=len(keys)))
+        level.total, level.lower = below.count[level.context], below.code[below.item[first]]
+        level.context_ids, level.word_ids = below.ids[level.context], words.ids[level.word]
+        return level
+
+    def dealt(self, level: Level, scale: Scale) -> tuple[np.ndarray, np.ndarray]:
+        """(items, shards): the items that are asked about, by shard, context and word."""
+        items = np.flatnonzero((level.total > 0) & (level.word_ids >= 0))
+        context, word = level.context_ids[items], level.word_ids[items]
+        parts = level.total[items] // max(1, scale.shard_tokens // 2) + 1
+        shard = (context % scale.shards + word % parts) % scale.shards
+        # Ranks of contexts and words make one key of the three.
+        key = (shard * len(items) + _ranks(context)) * len(self.words) + _ranks(word)
+        order = np.argsort(key)
+        return items[order], shard[order]
+
+    def question(self, level: Level, scale: Scale) -> Parcel | None:
+        """What a block asks about a level: a piece for each shard, a group for each context."""
+        items, shard = self.dealt(level, scale)
+        if not len(items):
+            return None
+        context = level.context_ids[items]
+        groups = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (shard[1:] != shard[:-1])]))
+        pieces = np.flatnonzero(np.diff(shard[groups], prepend=-1))
+        sizes = np.diff(np.append(groups, len(items)))
+        ends = np.append(groups[pieces], len(items))
+        index = [np.full(len(pieces), self.number), shard[groups[pieces]], np.diff(np.append(pieces, len(groups))), np.diff(ends)]
+        place, home = np.divmod(context[groups], scale.shards)
+        return Parcel(index, [place, home, sizes, level.total[items[groups]]], [level.word_ids[items], level.seen[items], level.lower[items]])
+
+    def settle(self, level: Level, order: int, answers: list[bytes], scale: Scale) -> None:
+        """Counts, ids and codes of a level; what wasn't asked about isn't in the training part."""
+        items, shard = self.dealt(level, scale)
+        strength = scale.strength(order)
+        level.count, level.ids = np.zeros(len(level.word), np.int64), np.full(len(level.word), -1, np.int64)
+        level.code = quantised(strength * 10 ** log10_of(level.lower) / (level.total + strength))
+        for parcel in map(ANSWER.load, answers):
+            firsts = np.searchsorted(shard, parcel.shard)
+            at = 0
+            for s, first, size in zip(parcel.shard.tolist(), firsts.tolist(), parcel.index[3].tolist(), strict=True):
+                places = items[first : first + size]
+                count, place, code = (x[at : at + size] for x in parcel.items)
+                level.count[places], level.code[places] = count, code
+                level.ids[places] = np.where(count > 0, place * scale.shards + s, -1)
+                at += size
+
+    def levels(self, answers: list[list[bytes]], scale: Scale, order: int) -> list[Level]:
+        """Levels 1 to ``order``; the last isn't settled if its answers are missing."""
+        found: list[Level] = [self.settled_words(answers[0], scale)]
+        for k in range(2, order + 1):
+            found.append(self.above(found[-1], found[0], k))
+            if len(answers) >= k:
+                self.settle(found[-1], k, answers[k - 1], scale)
+        return found
+
+
+def _ask_words(blocks: DataFrame, scale: Scale, route: Route) -> DataFrame:
     def run(parts):
         for part in frugal(parts, 1):
             for row in rows_of(part):
-                block = _Block(row)
-                seen = np.bincount(block.tokens[block.train], minlength=len(block.hashes)).astype(np.int64)
-                shard = _shard(block.hashes, shards)
-                rows = [(s, block.number, block.hashes[p].tobytes(), _pack(seen[p])) for s, p in _slices(shard, np.arange(len(shard)))]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["shard", "block", "hashes", "seen"])
-
-    return blocks.select("block", "hashes", "held", "lengths", "tokens").mapInArrow(run, "shard int, block long, hashes binary, seen binary")
-
-
-def _answers(rows: list[tuple]) -> pa.Table:
-    kinds = (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-    return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["block", "kind", "shard", "codes", "followers", "hash", "total"])
-
+                block = Block(row)
+                seen = np.bincount(block.tokens[block.train], minlength=len(block.words))
+                shard = _shard_of(block.words, scale.shards)
+                order = np.argsort(shard, kind="stable")
+                pieces, sizes = np.unique(shard, return_counts=True)
+                parcel = Parcel([np.full(len(pieces), block.number), pieces, sizes, np.zeros(len(pieces), int)], [block.words[order], seen[order]], [])
+                yield route.messages(parcel, block.number, ASK_WORDS)
+
+    return blocks.select("block", "hashes", "held", "lengths", "tokens").mapInArrow(run, MESSAGE)
+
+
+def _serve_words(parcels: list[Parcel]) -> tuple[list[Parcel], int]:
+    """Each asked word's count and rank, and how many words of the shard the training part has."""
+    hashes = [p.groups[0] for p in parcels]
+    words, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+    totals = np.bincount(inverse, weights=np.concatenate([p.groups[1] for p in parcels])).astype(np.int64)
+    known = np.flatnonzero(totals > 0)
+    level = WordLevel(words[known], totals[known])
+    # Frequent words get small ranks, which take less room in the messages to come.
+    rank = np.full(len(words), -1, np.int64)
+    rank[known[np.argsort(-totals[known], kind="stable")]] = np.arange(len(known))
+    # An unknown word has no rank; its id, rank times shards plus shard, is negative too.
+    counts, ranks = level.lookup(words)[inverse], rank[inverse]
+    cuts = np.cumsum([len(h) for h in hashes])[:-1]
+    return [Parcel(p.index, [c, r], []) for p, c, r in zip(parcels, np.split(counts, cuts), np.split(ranks, cuts), strict=True)], len(known)
+
+
+def _serve(strength: float, shards: int):
+    """Answers of a shard of one order: it adds up the blocks' counts, builds its part of the trie, and looks up."""
+
+    def serve(parcels: list[Parcel]) -> tuple[list[Parcel], int]:
+        column = lambda k: np.concatenate([p.groups[k] for p in parcels])
+        contexts, own = np.unique(column(0) * shards + column(1), return_inverse=True)
+        total = np.zeros(len(contexts), np.float64)
+        total[own] = column(3)
+        if len(contexts) >= 1 << 24:
+            raise ValueError("a shard has too many contexts; lower shard_tokens")
+        # A context's number and the word's id are one key.
+        key = np.repeat(own, column(2)) << 40 | np.concatenate([p.items[0] for p in parcels])
+        ngrams, inverse = np.unique(key, return_inverse=True)
+        del key, own
+        counts = np.bincount(inverse, weights=np.concatenate([p.items[1] for p in parcels]), minlength=len(ngrams))
+        lower = np.zeros(len(ngrams), np.uint16)
+        lower[inverse] = np.concatenate([p.items[2] for p in parcels])
+        context, word = ngrams >> 40, ngrams & ((1 << 40) - 1)
+        del ngrams
+        share = strength * 10 ** log10_of(lower)
+        del lower
+        known = np.flatnonzero(counts > 0)
+        heads = np.flatnonzero(np.diff(context[known], prepend=-1))
+        number = np.full(len(contexts), -1, np.int64)
+        number[context[known[heads]]] = np.arange(len(heads))
+        trie = NgramTrie(np.append(heads, len(known)), word[known], quantised((counts[known] + share[known]) / (total[context[known]] + strength)))
+        inside = np.flatnonzero(number[context] >= 0)
+        place = np.full(len(context), -1, np.int64)
+        place[inside] = trie.places(number[context[inside]], word[inside])
+        codes = trie.codes_at(place)
+        new = np.flatnonzero(place < 0)  # an n-gram that the trie doesn't hold backs off
+        codes[new] = quantised(share[new] / (total[context[new]] + strength))
+        place[new] = np.maximum.accumulate(place)[new]  # not read, and close to the others
+        del share, word, context
+        columns = counts.astype(np.uint64)[inverse], place[inverse], codes[inverse]
+        cuts = np.cumsum([len(p.items[0]) for p in parcels])[:-1]
+        return [Parcel(p.index, [], list(x)) for p, *x in zip(parcels, *(np.split(x, cuts) for x in columns), strict=True)], 0
+
+    return serve
+
+
+def _ask(state: DataFrame, order: int, scale: Scale, route: Route) -> DataFrame:
+    def run(parts):
+        for part in frugal(parts, 1):
+            for row in rows_of(part):
+                block = Block(row)
+                level = block.levels([row[f"answers{k}"] or [] for k in range(1, order)], scale, order)[-1]
+                parcel = block.question(level, scale)
+                if parcel:
+                    yield route.messages(parcel, block.number, ASK)
+                del block, level, parcel
 
-def _count_words(asked: DataFrame, hot_at: int) -> DataFrame:
-    """Answers with each asked word's count; hot words; and the shard's number of known words."""
+    return state.mapInArrow(run, MESSAGE)
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        hashes = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
-        words, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        totals = np.bincount(inverse, weights=np.concatenate([_unpack(r["seen"], np.int64) for r in rows])).astype(np.int64)
-        cuts = np.cumsum([len(h) for h in hashes])[:-1]
-        out = [(r["block"], "words", r["shard"], _pack(totals[k]), None, None, None) for r, k in zip(rows, np.split(inverse, cuts), strict=True)]
-        out += [(None, "hot", None, None, None, int(words[k].view(np.int64)), int(totals[k])) for k in np.flatnonzero(totals >= hot_at)]
-        out.append((None, "known", None, None, None, None, int((totals > 0).sum())))
-        return _answers(out)
 
-    return asked.groupBy("shard").applyInArrow(run, ANSWER)
+def _by_block(messages: DataFrame, order: int) -> DataFrame:
+    """(block, answers, extra): the answers of each block."""
+    return messages.groupBy(F.col("dest").alias("block")).agg(F.collect_list("parcel").alias(f"answers{order}"), F.sum("extra").alias(f"extra{order}"))
 
 
-def _ask_pairs(blocks: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
-    def run(parts):
-        for part in frugal(parts, 1):
-            for row in rows_of(part):
-                block = _Block(row)
-                context, word, inverse = block.pairs()
-                seen = np.bincount(inverse[block.train], minlength=len(context)).astype(np.uint32)
-                shard = block.pair_shards(context, word, shards, hot)
-                v, w = block.context_hashes(), (block.hashes >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
-                for s, p in _slices(shard, np.argsort(shard, kind="stable")):
-                    heads = np.flatnonzero(np.concatenate([[True], np.diff(context[p]) != 0]))
-                    sizes = np.diff(np.append(heads, len(p))).astype(np.uint32)
-                    cells = [s, block.number, v[context[p[heads]]].tobytes(), _pack(sizes), w[word[p]].tobytes(), _pack(seen[p])]
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(cells, (pa.int32(), pa.int64(), *[pa.binary()] * 4), strict=True)], names=["shard", "block", "contexts", "sizes", "words", "seen"])
-
-    return blocks.select("block", "hashes", "held", "lengths", "tokens").mapInArrow(run, "shard int, block long, contexts binary, sizes binary, words binary, seen binary")
-
-
-def _words48(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return wide.view(np.uint64).ravel()
-
-
-def _look_up_pairs(asked: DataFrame, hot: dict[int, int]) -> DataFrame:
-    """Each shard builds its trie from all blocks' counts and answers the blocks."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        v = [np.frombuffer(r["contexts"], np.uint64) for r in rows]
-        sizes = [_unpack(r["sizes"], np.uint32) for r in rows]
-        w = [_words48(r["words"]) for r in rows]
-        seen = np.concatenate([_unpack(r["seen"], np.uint32) for r in rows])
-        known = seen > 0
-        all_v = np.concatenate([np.repeat(a, n) for a, n in zip(v, sizes, strict=True)])[known]
-        all_w, seen = np.concatenate(w)[known], seen[known]
-        order = np.lexsort((all_w, all_v))
-        all_v, all_w = all_v[order], all_w[order]
-        new = np.concatenate([[True], (all_v[1:] != all_v[:-1]) | (all_w[1:] != all_w[:-1])]) if len(order) else np.zeros(0, bool)
-        heads = np.flatnonzero(new)
-        trie = NgramTrie(all_v[heads], all_w[heads], np.add.reduceat(seen[order].astype(np.int64), heads) if len(heads) else np.zeros(0, np.int64), hot)
-        out = []
-        for r, a, n, b in zip(rows, v, sizes, w, strict=True):
-            context = trie.context(a)
-            followers = np.where(context >= 0, trie.successors[np.maximum(context, 0)], 0).astype(np.uint32) if len(trie.contexts) else np.zeros(len(a), np.uint32)
-            out.append((r["block"], "pairs", r["shard"], _pack(trie.lookup(np.repeat(context, n), b)), _pack(followers), None, None))
-        if hot:
-            at = trie.context(np.array(list(hot), np.uint64))
-            out += [(None, "hot", None, None, None, int(np.uint64(h).view(np.int64)), int(trie.successors[k])) for h, k in zip(hot, at.tolist(), strict=True) if k >= 0]
-        return _answers(out)
-
-    return asked.groupBy("shard").applyInArrow(run, ANSWER)
-
-
-def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Score every text by a model that is learned from the rows where ``held`` is false.
+def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, order: int = ORDER, fan: int = FAN, strengths: dict[int, float] | None = None) -> DataFrame:
+    """Score every text by a model of that order that is learned from the rows where ``held`` is false.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
     """
-    blocks = stored(make_blocks(docs.select("doc_id", held.alias("held"), "text"), block_tokens), "blocks")
-    size = blocks.agg(F.sum("n_train").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    train_tokens = int(size["n"] or 0)
-    shards = train_tokens // shard_tokens + 1
-    # At most two words for each shard reach this.
-    words = stored(_count_words(_ask_words(blocks, shards), train_tokens // (2 * shards) + 1), "words", ["kind"])
-    hot = {int(np.int64(r["hash"]).view(np.uint64)): r["total"] for r in words.filter("kind = 'hot'").select("hash", "total").collect()}
-    n_known = words.filter("kind = 'known'").agg(F.sum("total")).first()[0] or 0
-    begins = int(hot_begin) if (hot_begin := _count_ends(blocks)) else 0
-    if begins > train_tokens // (2 * shards):
-        hot[int(BEGIN)] = begins
-    hot_keys = np.array(sorted(hot), np.uint64)
-    pairs = stored(_look_up_pairs(_ask_pairs(blocks, shards, hot_keys), hot), "pairs", ["kind"])
-    spread = pairs.filter("kind = 'hot'").groupBy("hash").agg(F.sum("total").alias("total")).collect()
-    hot_followers = {int(np.int64(r["hash"]).view(np.uint64)): r["total"] for r in spread}
-
-    cell = F.struct("kind", "shard", "codes", "followers")
-    answers = words.filter("kind = 'words'").unionByName(pairs.filter("kind = 'pairs'")).groupBy("block").agg(F.collect_list(cell).alias("answers"))
+    spark = docs.sparkSession
+    tables = Bucketed(spark, "block")
+    blocks = tables.store(make_blocks(docs.select("doc_id", held.alias("held"), "text"), block_tokens).repartition(tables.buckets, "block"))
+    size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_begins").alias("b"), F.count(F.lit(1)).alias("k")).first()
+    scale = Scale(int(size["n"] or 0), 0, int(size["b"] or 0), shard_tokens, strengths or STRENGTHS)
+    route = Route(scale.shards, size["k"], fan)
+    words = tables.store(_by_block(route.exchange(_ask_words(blocks, scale, route), ASK_WORDS, ANSWER_WORDS, _serve_words), 1))
+    scale.known = int(words.agg(F.sum("extra1")).first()[0] or 0)
+    state = blocks.join(words.drop("extra1"), "block", "left")
+    for k in range(2, order + 1):
+        release(spark)
+        needed = state.drop("doc_ids", "n_train", "n_begins")
+        answers = _by_block(route.exchange(_ask(needed, k, scale, route), ASK, ANSWER, _serve(scale.strength(k), scale.shards)), k).drop(f"extra{k}")
+        state = state.join(tables.store(answers) if k < order else answers, "block", "left")
     schema = T.StructType([
         docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
         T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
     ])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     wanted = to_arrow_schema(schema)
-    floor = np.log10(train_tokens + n_known + 1)
+    floor = np.log10(scale.tokens + scale.known + 1)
 
     def run(parts):
         for part in frugal(parts, 1):
             for row in rows_of(part):
-                block = _Block(row)
-                said = {(a["kind"], a["shard"]): a for a in row["answers"]}
-                n = len(block.hashes)
-                c = np.zeros(n + 1, np.int64)
-                for s, p in _slices(shard := _shard(block.hashes, shards), np.arange(n)):
-                    c[p] = _unpack(said["words", s]["codes"], np.int64)
-                c[n] = begins
-                followers = np.zeros(n + 1, np.float64)
-                context, word, inverse = block.pairs()
-                share = np.zeros(len(context))
-                shard = block.pair_shards(context, word, shards, hot_keys)
-                for s, p in _slices(shard, np.argsort(shard, kind="stable")):
-                    heads = np.flatnonzero(np.concatenate([[True], np.diff(context[p]) != 0]))
-                    share[p] = NgramTrie.share(_unpack(said["pairs", s]["codes"], np.uint16))
-                    followers[context[p[heads]]] = _unpack(said["pairs", s]["followers"], np.uint32)
-                if hot_followers:
-                    v = block.context_hashes()
-                    for k in np.flatnonzero(np.isin(v, hot_keys)):
-                        followers[k] = hot_followers.get(int(v[k]), 0)
-                back = np.where(c > 0, followers / np.maximum(c + followers, 1), 1.0)
-                base = np.log10(c[:n] + 1) - floor
-                p = (1 - back[context]) * share + back[context] * 10 ** base[word]
-                logs = np.log10(p)[inverse]
-                heads = np.cumsum(block.lengths) - block.lengths
-                known = (c[:n] > 0)[block.tokens]
-                cells = [row["doc_ids"], block.held, block.lengths.astype(np.int64), np.add.reduceat(known.astype(np.int64), heads), np.full(len(heads), train_tokens), np.add.reduceat(base[block.tokens], heads), np.add.reduceat(logs, heads)]
+                block = Block(row)
+                levels = block.levels([row[f"answers{k}"] or [] for k in range(1, order + 1)], scale, order)
+                seen = levels[0].count[:-1]
+                base = (np.log10(seen + 1) - floor)[block.tokens]
+                logs = log10_of(levels[0].code)[block.tokens]
+                for level in levels[1:]:
+                    has = np.flatnonzero(level.item >= 0)
+                    logs[has] = log10_of(level.code)[level.item[has]]
+                known = (seen > 0)[block.tokens].astype(np.int64)
+                heads = block.heads
+                cells = [row["doc_ids"], block.held, block.lengths.astype(np.int64), np.add.reduceat(known, heads), np.full(len(heads), scale.tokens), np.add.reduceat(base, heads), np.add.reduceat(logs, heads)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cells, wanted, strict=True)], schema=wanted)
+                del block, levels, base, logs
 
-    return blocks.join(answers, "block").mapInArrow(run, schema)
-
-
-def _count_ends(blocks: DataFrame) -> int:
-    """The number of training documents, each of which begins and ends once."""
-
-    def run(parts):
-        n = 0
-        for part in frugal(parts, 1):
-            for row in rows_of(part):
-                docs = len(_unpack(row["lengths"], np.int32))
-                n += docs - int(np.unpackbits(np.frombuffer(row["held"], np.uint8), count=docs).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
-
-    return blocks.select("lengths", "held").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    scored = stored(state.drop("n_train", "n_begins").mapInArrow(run, schema), "scores")
+    tables.drop()
+    release(spark)
+    return scored

@@ -9,8 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quernstone.llm.elias_fano import EliasFano, NgramTrie
-from quernstone.llm.lm_score import held_out, score_texts
+from quernstone.llm.elias_fano import EliasFano, NgramTrie, WordLevel, log10_of, quantised
+from quernstone.llm.lm_score import STRENGTHS, held_out, score_texts
 
 from .frames import awkward, clashing, empty, lower_ascii
 
@@ -36,56 +36,89 @@ def test_trie_lookups():
     rng = np.random.default_rng(1)
     pairs = {(int(a), int(b)): int(n) for a, b, n in zip(rng.integers(0, 60, 900), rng.integers(0, 300, 900), rng.integers(1, 50, 900), strict=True)}
     keys = sorted(pairs)
-    v, w = (np.array([k[i] for k in keys], np.uint64) * np.uint64(977) for i in (0, 1))
-    trie = NgramTrie(v, w, np.array([pairs[k] for k in keys]))
-    total = Counter()
-    for (a, _), n in pairs.items():
-        total[a] += n
-    asked = [(a, b) for a in range(70) for b in range(310)]
-    av, aw = (np.array([k[i] for k in asked], np.uint64) * np.uint64(977) for i in (0, 1))
-    share = NgramTrie.share(trie.lookup(trie.context(av), aw))
-    true = [pairs[k] / total[k[0]] if k in pairs else 0.0 for k in asked]
-    assert np.allclose(share, true, rtol=3e-4)
-
-
-def brute(rows):
+    v, w = (np.array([k[i] for k in keys], np.uint64) for i in (0, 1))
+    present = np.unique(v)
+    heads = np.append(np.searchsorted(v, present), len(v))
+    p = np.array([pairs[k] / 60 for k in keys])
+    trie = NgramTrie(heads, w * np.uint64(977), quantised(p))
+    asked = [(k, b) for k in range(len(present)) for b in range(310)]
+    codes = trie.codes_at(trie.places(np.array([k for k, _ in asked]), np.array([b for _, b in asked], np.uint64) * np.uint64(977)))
+    true = [pairs.get((int(present[k]), b), 0) / 60 for k, b in asked]
+    assert [c > 0 for c in codes] == [t > 0 for t in true]
+    assert all(abs(log10_of(c) - math.log10(t)) < 2e-4 for c, t in zip(codes, true, strict=True) if t)
+
+
+def test_word_level():
+    rng = np.random.default_rng(2)
+    hashes = np.unique(rng.integers(0, 2**64, 500, np.uint64))
+    level = WordLevel(hashes[::2], np.arange(len(hashes[::2])) + 1)
+    assert level.lookup(hashes).tolist() == [k // 2 + 1 if k % 2 == 0 else 0 for k in range(len(hashes))]
+    assert WordLevel(hashes[:0], np.zeros(0, int)).lookup(hashes).sum() == 0
+
+
+def brute(rows, order=3, strengths=STRENGTHS):
     """(n_tokens, n_known, N, base, score) for each (doc_id, text)."""
     tokens = [[*re.findall(r"[^\x20\x09-\x0D]+", lower_ascii(t)), "\n"] for _, t in rows]
     train = [zlib.crc32(str(d).encode()) % 7 != 2 if d is not None else True for d, _ in rows]
-    uni, bi = Counter(), Counter()
+    counts = Counter()
     for t, use in zip(tokens, train, strict=True):
         if use:
-            uni.update(t)
-            bi.update(zip(["\r", *t], t, strict=False))
-    n, v = sum(uni.values()), len(uni)
-    ctx, follow = Counter(), Counter()
-    for (a, _), k in bi.items():
-        ctx[a] += k
-        follow[a] += 1
-    p1 = lambda x: (uni[x] + 1) / (n + v + 1)
+            line = ["\r", *t]
+            counts["\r",] += 1
+            for k in range(1, order + 1):
+                counts.update(tuple(line[i : i + k]) for i in range(k == 1, len(line) - k + 1))
+    n = sum(c for k, c in counts.items() if len(k) == 1) - counts["\r",]
+    v = sum(len(k) == 1 for k in counts) - (("\r",) in counts)
 
-    def p2(a, b):
-        back = follow[a] / (ctx[a] + follow[a]) if a in ctx else 1.0
-        return (1 - back) * (bi[a, b] / ctx[a] if a in ctx else 0.0) + back * p1(b)
+    def p(gram):
+        if len(gram) == 1:
+            return (counts[gram] + 1) / (n + v + 1)
+        s = strengths[len(gram)]
+        return (counts[gram] + s * p(gram[1:])) / (counts[gram[:-1]] + s)
 
-    return [(len(t), sum(x in uni for x in t), n, sum(math.log10(p1(x)) for x in t), sum(math.log10(p2(a, b)) for a, b in zip(["\r", *t], t, strict=False))) for t in tokens]
+    def score(t):
+        line = ["\r", *t]
+        return sum(math.log10(p(tuple(line[max(0, i - order + 1) : i + 1]))) for i in range(1, len(line)))
 
+    return [(len(t), sum(counts[x,] > 0 for x in t), n, sum(math.log10(p((x,))) for x in t), score(t)) for t in tokens]
 
-@pytest.mark.parametrize("block, shard", [(10**6, 10**6), (500, 2000)])
-def test_scores(spark, block, shard):
+
+@pytest.mark.parametrize("block, shard, order, fan", [(10**6, 10**6, 3, 256), (500, 2000, 3, 256), (500, 400, 3, 4), (300, 500, 2, 3), (800, 3000, 4, 256)])
+def test_scores(spark, block, shard, order, fan):
     extra = [(300 + k, f"the cat the dog sat on the mat number {k % 5} the end", "en", "s", 1) for k in range(40)]
     docs = awkward(spark, extra)
-    got = score_texts(clashing(docs, "held", "block"), held_out(F.col("doc_id")), block, shard).collect()
-    order = lambda r: (str(r[0]), r[1], r[2], round(r[4], 6))
-    found = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got), key=order)
+    strengths = {2: 40.0, 3: 5.0, 4: 2.0}
+    got = score_texts(clashing(docs, "held", "block"), held_out(F.col("doc_id")), block, shard, order, fan, strengths).collect()
+    key = lambda r: (str(r[0]), r[1], r[2], round(r[4], 6))
+    found = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got), key=key)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    true = sorted(((d, *x) for (d, _), x in zip(rows, brute(rows), strict=True)), key=order)
+    true = sorted(((d, *x) for (d, _), x in zip(rows, brute(rows, order, strengths), strict=True)), key=key)
     assert len(found) == len(true)
     for f, t in zip(found, true, strict=True):
-        assert f[:4] == t[:4] and abs(f[4] - t[4]) < 1e-6 * max(1, abs(t[4])) and abs(f[5] - t[5]) < 2e-4 * t[1] + 1e-9
+        assert f[:4] == t[:4] and abs(f[4] - t[4]) < 1e-6 * max(1, abs(t[4])) and abs(f[5] - t[5]) < 5e-4 * t[1] + 1e-9
+
+
+def test_scores_do_not_depend_on_blocks(spark):
+    docs = awkward(spark, [(300 + k, f"the cat {k % 3} the dog sat on {k % 7} mats", "en", "s", 1) for k in range(60)])
+    runs = [{(str(r.doc_id), round(r.score, 9), round(r.base_score, 9)) for r in score_texts(docs, held_out(F.col("doc_id")), *sizes).collect()} for sizes in ((10**6, 10**6), (200, 300))]
+    assert runs[0] == runs[1]
+
+
+def test_hot_contexts_are_dealt_out(spark):
+    # One word before everything: its successors must not meet in one shard.
+    docs = spark.createDataFrame([(k, " ".join(f"the w{(k * 37 + j) % 500}" for j in range(60))) for k in range(80)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in score_texts(docs, held_out(F.col("doc_id")), 500, 300).collect()}
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    for (d, _), t in zip(rows, brute(rows), strict=True):
+        assert abs(got[d] - t[4]) < 5e-4 * t[0]
 
 
 def test_empty_and_untrained(spark):
     assert score_texts(empty(spark), held_out(F.col("doc_id"))).count() == 0
     got = score_texts(awkward(spark).filter("doc_id = 8"), F.lit(True)).first()
     assert got.n_known == 0 and got.train_tokens == 0 and got.score == got.base_score == 0
+
+
+def test_bytes_that_are_not_text(spark):
+    docs = awkward(spark).select("doc_id", "text").unionAll(spark.sql("SELECT 77L AS doc_id, CAST(X'61FF20FE0A62' AS STRING) AS text"))
+    assert {r.doc_id: r.n_tokens for r in score_texts(docs, held_out(F.col("doc_id"))).collect()}[77] == 4
