@@ -14,6 +14,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Each round sends neighbours to the smallest node known nearby, which roughly squares the distance a
     label travels, so the number of rounds follows the logarithm of a component's diameter. Rounds are
     written to the shared folder, never kept in an executor. Self-loops and null ends are ignored.
+
+    A node with very many neighbours is a hot key of the joins; they are sort-merge joins, whose skewed
+    partitions adaptive execution splits, and never gather a node's neighbours in one row.
     """
     edge = F.struct(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     now = stored(edges.filter("a <> b").select(edge.alias("e")).select("e.u", "e.v").distinct(), "edges")
@@ -21,10 +24,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        small = large.join(least.hint("merge"), "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         now = stored(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")
         row = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(row) == state:
