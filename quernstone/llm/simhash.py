@@ -7,13 +7,15 @@ agree in a segment and, but for one bit, in the next: 32 bits that are joined on
 17 spellings of its second segment. What is left of the chain is checked before the full distance.
 
 Equal fingerprints are one node, so copies are never paired. Nodes are first joined within buckets that
-agree in 48 bits, which hold 65,536 nodes at most; the chain join then keeps links between different
-components only, so a dense group of near copies gives few rows. Fingerprints travel as 64-bit numbers
-in tables; none are sent to the driver.
-
-Cases: a null or empty text has the fingerprint zero and links like any other; a repeated row joins its
-copy; a null doc_id is kept, and is only a component's id if the component has no other; an empty table
-gives an empty table.
+agree in 48 bits, which hold 65,536 nodes at most; the chain join then looks for links between different
+components only. A 32-bit bucket that holds one component is left out, and in the others the largest
+component is paired with what isn't in it, never with itself, so a dense group of near copies costs what its
+neighbours do. Fingerprints travel as 64-bit numbers in tables; none are sent to the driver.
+
+Cases: a null or empty text has the fingerprint zero and links like any other; a very long text is read in
+parts; a repeated row joins its copy; a null doc_id is kept, and is only a component's id if the component has
+no other; other columns, whatever their names, are left out; bytes that aren't UTF-8 are hashed as they are; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -125,19 +127,38 @@ def _within_buckets(nodes: DataFrame) -> DataFrame:
     return buckets.mapInArrow(run, "a long, b long")
 
 
-def _across(nodes: DataFrame) -> DataFrame:
-    """Links between different components of ``nodes`` (fp, label), as distinct pairs of labels."""
+def ring_pairs(nodes: DataFrame) -> DataFrame:
+    """(fp, label, fp2, label2): fingerprints of different labels within LIMIT bits, in either order or both.
+
+    ``nodes`` has fp, label and asks; a pair has at least one side that asks.
+    """
     ring = F.array(*[F.struct(F.lit(k).alias("k"), F.shiftrightunsigned(_turned("fp", 16 * k), 32).alias("key")) for k in range(SEGMENTS)])
-    left = nodes.select("fp", "label", F.explode(ring).alias("x")).select(F.col("x.k").alias("k"), F.col("x.key").alias("key"), "fp", "label")
+    rows = nodes.select("fp", "label", "asks", F.explode(ring).alias("x")).select(F.col("x.k").alias("k"), F.col("x.key").alias("key"), "fp", "label", "asks")
     flips = F.array(*[F.lit(x) for x in [0, *(1 << b for b in range(16))]])
-    right = left.select("k", F.col("fp").alias("fp2"), F.col("label").alias("label2"), F.col("key").alias("key0"), F.explode(flips).alias("flip"))
-    right = right.select("k", F.col("key0").bitwiseXOR(F.col("flip").cast("long")).alias("key"), "fp2", "label2")
+    spelled = rows.withColumn("flip", F.explode(flips)).withColumn("key", F.col("key").bitwiseXOR(F.col("flip").cast("long"))).drop("flip")
+    # A bucket counts if its two sides hold different labels; most hold one fingerprint.
+    every = rows.filter("asks").select("k", "key", "label", F.lit(True).alias("own")).unionAll(spelled.select("k", "key", "label", F.lit(False).alias("own")))
+    buckets = every.groupBy("k", "key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.bool_or("own").alias("own"))
+    mixed = stored(buckets.filter("x <> y AND own").select("k", "key"), "mixed")
+    left = stored(rows.filter("asks").drop("asks").join(mixed, ["k", "key"], "left_semi"), "own")
+    right = stored(spelled.drop("asks").join(mixed, ["k", "key"], "left_semi"), "spelled")
+    counts = left.unionAll(right).groupBy("k", "key", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = stored(counts.groupBy("k", "key").agg(F.max_by("label", F.struct("n", "label")).alias("largest")), "largest")
+    left, right = (x.join(largest, ["k", "key"]) for x in (left, right.withColumnsRenamed({"fp": "fp2", "label": "label2"})))
     diff = "(fp ^ fp2)"
     # The chain's third step: the segments at k, k + 1 and k + 2 of the ring differ in at most two bits.
     masks = [sum(0xFFFF << (16 * ((3 - k - j) % 4)) for j in range(3)) for k in range(SEGMENTS)]
     chain = " OR ".join(f"(k = {k} AND bit_count({diff} & {m - (1 << 64) if m >> 63 else m}L) <= 2)" for k, m in enumerate(masks))
-    pairs = left.hint("shuffle_hash").join(right, ["k", "key"]).filter(f"label < label2 AND ({chain}) AND bit_count({diff}) <= {LIMIT}")
-    return pairs.select(F.col("label").alias("a"), F.col("label2").alias("b")).distinct()
+    fits = f"label <> label2 AND ({chain}) AND bit_count({diff}) <= {LIMIT}"
+    others = left.filter("label <> largest").drop("largest").join(right.drop("largest"), ["k", "key"]).filter(fits)
+    within = left.filter("label = largest").drop("largest").join(right.filter("label2 <> largest").drop("largest"), ["k", "key"]).filter(fits)
+    return others.unionByName(within).select("fp", "label", "fp2", "label2").distinct()
+
+
+def _across(nodes: DataFrame) -> DataFrame:
+    """Links between different components of ``nodes`` (fp, label), as distinct pairs of labels."""
+    pairs = ring_pairs(nodes.withColumn("asks", F.lit(True)))
+    return pairs.select(F.least("label", "label2").alias("a"), F.greatest("label", "label2").alias("b")).distinct()
 
 
 def fingerprint_components(nodes: DataFrame) -> DataFrame:
