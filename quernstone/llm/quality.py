@@ -11,11 +11,13 @@ bracket turns negative the step goes the other way.
 Features are shares and rates of a whole text: its characters by kind, repetition of words and lines, word
 and line lengths. The id, language and source are never inputs.
 
-Both samples are bounded (``most`` rows each); every document is scored.
+Both samples are bounded (``most`` documents each, one text of each id); every document is scored.
 
-Cases: a null or empty text has all features zero and is scored like any other; without positives or
-without unlabelled rows every score is 0.5; labels that are null are ignored, and a document labelled
-more than once counts by its largest label; repeated rows are scored each.
+Cases: a null or empty text has all features zero and is scored like any other; a very long text is read in
+parts; without positives or without unlabelled rows every score is 0.5; labels that are null are ignored, and a
+document labelled more than once counts by its largest label; of an id's texts the one with the smallest hash is
+learned from; repeated rows are scored each; bytes that aren't UTF-8 count as what they are; input columns named
+like an added one are replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import mapped, texts, without
-from quernstone.llm.linear import adam, crc_fold, logistic, sigmoid
+from quernstone.llm.arrow import mapped, texts, trim, without
+from quernstone.llm.linear import Dense, adam, crc_fold, logistic, sampled_texts, sigmoid, smallest_hashes
 from quernstone.llm.text import word_pieces
 from quernstone.plans.scratch import stored
 
@@ -96,6 +98,23 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float =
     return float(np.clip(u[best] / max(p[best], 1e-9), 0.02, 0.98))
 
 
+def risk_gradient(p: np.ndarray, u: np.ndarray, prior: float, ridge: float):
+    """The direction of a step for weights w (the intercept last): the gradient of the non-negative risk."""
+
+    def gradient(w: np.ndarray) -> np.ndarray:
+        sp, su = sigmoid(p @ w[:-1] + w[-1]), sigmoid(u @ w[:-1] + w[-1])
+        negative = -np.log(np.maximum(1 - su, 1e-12)).mean() - prior * -np.log(np.maximum(1 - sp, 1e-12)).mean()
+        rp, ru = prior * (sp - 1) / len(p), su / len(u)
+        back = -prior * sp / len(p)
+        if negative >= 0:
+            rp = rp + back
+        else:  # the estimate of the negatives' risk fell below zero: undo the overfitting
+            rp, ru = -back, -ru
+        return np.append(p.T @ rp + u.T @ ru + ridge * w[:-1], rp.sum() + ru.sum())
+
+    return gradient
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 400, ridge: float = 1e-4) -> Model | None:
     """The prior and the classifier from two bounded samples; None if one is empty."""
     if not len(positive) or not len(unlabelled):
@@ -111,21 +130,11 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 400, ridge:
             continue
         y = np.concatenate([np.ones(len(fit_p)), np.zeros(len(fit_u))])
         weight = np.concatenate([np.full(len(fit_p), 0.5 / len(fit_p)), np.full(len(fit_u), 0.5 / len(fit_u))])
-        w = logistic(np.concatenate([fit_p, fit_u]), y, 1e-3, 150, 0.05, weight)
+        w = logistic(Dense(np.concatenate([fit_p, fit_u])), y, 1e-3, 150, 0.05, weight)
         priors.append(estimate_prior(see_p @ w[:-1], see_u @ w[:-1]))
     prior = float(np.mean(priors)) if priors else 0.5
 
-    def gradient(w):
-        sp, su = sigmoid(p @ w[:-1] + w[-1]), sigmoid(u @ w[:-1] + w[-1])
-        negative = -np.log(np.maximum(1 - su, 1e-12)).mean() - prior * -np.log(np.maximum(1 - sp, 1e-12)).mean()
-        rp, ru = prior * (sp - 1) / len(p), su / len(u)
-        back = -prior * sp / len(p)
-        if negative >= 0:
-            rp = rp + back
-        else:  # the estimate of the negatives' risk fell below zero: undo the overfitting
-            rp, ru = -back, -ru
-        return np.append(p.T @ rp + u.T @ ru + ridge * w[:-1], rp.sum() + ru.sum())
-
+    gradient = risk_gradient(p, u, prior, ridge)
     return Model(mean, scale, adam(gradient, np.zeros(p.shape[1] + 1), rounds, 0.05), prior)
 
 
@@ -146,11 +155,13 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, m
     marks = labels.select("doc_id", F.col("quality").alias("q")).filter("q IS NOT NULL").groupBy("doc_id").agg(F.max("q").alias("q"))
     mark = F.when(F.col("q").isNull(), 0).when(F.col("q") == 1, 1)
     marked = stored(ids.join(marks, "doc_id", "left").select("doc_id", mark.alias("mark")).filter("mark IS NOT NULL"), "marks")
-    # What is broadcast is at most ``most`` ids of each side, those with the smallest hashes.
-    picked = [marked.filter(F.col("mark") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in (0, 1)]
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("mark", "text")
+    picked = [smallest_hashes(marked.filter(F.col("mark") == v), "doc_id", most) for v in (0, 1)]
+    chosen = stored(picked[0].unionByName(picked[1]), "chosen")
+    rows = sampled_texts(docs, chosen).select("mark", "text")
     y, x = _features_of(rows)
-    return fit(x[y == 1], x[y == 0])
+    fitted = fit(x[y == 1], x[y == 0])
+    trim()
+    return fitted
 
 
 def score_quality(docs: DataFrame, model: Model | None) -> DataFrame:

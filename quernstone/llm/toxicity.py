@@ -1,28 +1,34 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted in a fixed order, narrow ones first. Each is a linear model over word features
-and the probabilities of the categories before it; the last is the label itself. While fitting, the
-earlier categories' probabilities are out-of-fold predictions, so that a later model learns how far they
-can be trusted on text they have not seen; for scoring, each model is fitted on the whole sample.
+Categories are predicted in a fixed order. Each is a linear model over word features and the probabilities of
+the categories before it; the last is the label itself. While fitting, the earlier categories'
+probabilities are out-of-fold predictions, so that a later model learns how far they can be trusted on text
+they have not seen; for scoring, each model is fitted on the whole sample.
 
-A narrow category's target is the label together with a word of the category's list. Word features are
-the words and their beginnings of four to seven characters, hashed; those that set labelled documents
-apart most are kept, at most ``keep`` of them. A feature's value is the logarithm of its count, so a few
-words show in a long text.
+Categories are columns of the labels that the caller names. Without any, they are kinds of toxic text that the
+sample shows: the toxic documents are put into KINDS groups by the features they hold (spherical k-means), and a
+category's target is the label together with the group.
+
+Word features are the words and their beginnings of four to seven characters, hashed; those that toxic
+documents have more often than others are kept, at most ``keep`` of them. A feature's value is the logarithm of
+its count, so a few words show in a long text.
 
 Labels of at most ``most`` documents are used, from folds other than ``held``; every document is scored
 over its whole text.
 
-Cases: a null or empty text has no features; without labels, or with one class only, the probability is
-the class's share and 0 without any; null labels are ignored and a document labelled more than once
-counts by its largest label; repeated rows are scored each; input columns named like an added one are
-replaced.
+Cases: a null or empty text has no features, and gets the probability that the intercepts give; a very long text
+is read in parts; without labels, or with one class only, the probability is the class's share and 0 without any;
+null labels are ignored and a document labelled more than once counts by its largest label; of a labelled id's
+texts the one with the smallest hash is learned from; features that tell equally much go by their hash, rows by
+their id's hash; repeated rows are scored each; bytes that aren't UTF-8 are read as a mark; input columns named like
+an added one are replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,66 +37,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import frugal, mapped, texts, values, without
-from quernstone.llm.linear import crc_fold, logistic, sigmoid
+from quernstone.llm.arrow import frugal, mapped, texts, trim, values, without
+from quernstone.llm.linear import Entries, crc_fold, logistic, sampled_texts, sigmoid, smallest_hashes
+from quernstone.llm.text import LETTERS, coded_words, grouped
 from quernstone.plans.scratch import stored
 
 MOST = 16_000
 KEEP = 512
 BITS = 18
 FOLDS = 4
+KINDS = 2
+#: Toxic documents that the groups' centres are fitted on, at most.
+CENTRED = 2_000
 REMEMBERED = 100_000
-PIECE = 1 << 20
-
-# Word lists of the narrow categories.
-CATEGORIES = {
-    "insult": ["idiot", "moron", "loser", "clown", "scum", "fool", "imbecile", "jerk"],
-    "contempt": ["stupid", "worthless", "disgusting", "pathetic", "trash", "garbage", "useless", "vile"],
-}
 TOXIC = "toxic"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_lists(text: bytes):
-    """Lists of a text's words in lower case, a bounded part at a time."""
-    start = 0
-    while start < len(text):
-        end = len(text) if len(text) - start <= PIECE else text.find(b" ", start + PIECE)
-        end = len(text) if end < 0 else end
-        yield _WORD.findall(text[start:end].decode("utf-8", "replace").lower())
-        start = end
-
-
-def word_features(word: str) -> tuple[int, ...]:
-    """Hashed places of a word and of its beginnings."""
+def word_features(word: bytes) -> tuple[int, ...]:
+    """Hashed places of a run of letters: of its words and their beginnings."""
     mask = (1 << BITS) - 1
-    names = [f"={word}", *(word[:n] for n in range(4, 8) if len(word) >= n)]
-    return tuple({xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) & mask for x in names})
+    found = set()
+    for w in _WORD.findall(word.decode("utf-8", "replace").lower()):
+        found.update(xxhash.xxh3_64_intdigest(x.encode()) & mask for x in (f"={w}", *(w[:n] for n in range(4, 8) if len(w) >= n)))
+    return tuple(found)
 
 
 class Remembered(dict):
-    """The kept features of words met before, emptied when full."""
+    """The features of words met before, those that are kept by their number; emptied when full."""
 
-    def __init__(self, place: dict[int, int]):
+    def __init__(self, place: dict[int, int] | None = None):
         super().__init__()
         self.place = place
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self[word] = tuple(self.place[f] for f in word_features(word) if f in self.place)
+        found = word_features(word)
+        if self.place is not None:
+            found = tuple(self.place[f] for f in found if f in self.place)
+        self[word] = found
         return found
 
 
-def vector(text: bytes, memory: Remembered, width: int) -> np.ndarray:
-    counts = Counter()
-    for words in word_lists(text):
-        for found in filter(None, map(memory.__getitem__, words)):
-            counts.update(found)
-    x = np.zeros(width, np.float32)
-    if counts:
-        x[list(counts)] = np.log1p(np.fromiter(counts.values(), np.float64, len(counts)))
-    return x
+def feature_counts(raws: list[bytes], memory: Remembered) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, feature, count) of the features that each text has, by row and feature."""
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for group in grouped(raws):
+        codes, sizes, words = coded_words([part for _, part in group], LETTERS)
+        found = [memory[w] for w in words]
+        each = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int64, int(each.sum()))
+        row = np.repeat([number for number, _ in group], sizes)
+        some = np.flatnonzero(each[codes] > 0)
+        n = each[codes[some]]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(each) - each)[codes[some]] - (ends - n), n) + np.arange(n.sum())
+        key, count = np.unique(np.repeat(row[some], n) << BITS | flat[at], return_counts=True)
+        keys.append(key)
+        counts.append(count)
+    key, inverse = np.unique(np.concatenate(keys), return_inverse=True)  # a long text may be in several groups
+    count = np.bincount(inverse, np.concatenate(counts), len(key))
+    return key >> BITS, key & ((1 << BITS) - 1), count
+
+
+def entries(raws: list[bytes], memory: Remembered, width: int) -> Entries:
+    row, feature, count = feature_counts(raws, memory)
+    return Entries(row, feature, np.log1p(count), (len(raws), width))
 
 
 class Chain:
@@ -99,108 +112,136 @@ class Chain:
     def __init__(self, place: dict[int, int], names: list[str], models: list[np.ndarray]):
         self.place, self.names, self.models = place, names, models
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(x), 0))
+    def probabilities(self, x: Entries) -> np.ndarray:
+        out = np.zeros((x.shape[0], 0))
+        width = x.shape[1]
         for w in self.models:
-            z = np.concatenate([x, out], 1)
-            out = np.column_stack([out, sigmoid(z @ w[:-1] + w[-1])])
+            out = np.column_stack([out, sigmoid(x.times(w[:width]) + out @ w[width:-1] + w[-1])])
         return out
 
 
-def _fit_one(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    if not len(y) or y.min() == y.max():  # a constant: the share of the only class
+def _fit_one(x: Entries, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    used = y[weight > 0]
+    if not len(used) or used.min() == used.max():  # a constant: the share of the only class
         w = np.zeros(x.shape[1] + 1)
-        w[-1] = 30.0 if len(y) and y[0] else -30.0
+        w[-1] = 30.0 if len(used) and used[0] else -30.0
         return w
-    # No word speaks for a clean text, so that silence is never taken for toxicity: weights can't be negative.
-    return logistic(x, y, 1e-4, 200, 0.1, rising=x.shape[1])
+    return logistic(x, y, 1e-4, 200, 0.1, weight)
 
 
-def fit_chain(x: np.ndarray, targets: dict[str, np.ndarray], place: dict[int, int]) -> Chain:
+def fit_chain(x: Entries, targets: dict[str, np.ndarray], fold: np.ndarray, place: dict[int, int]) -> Chain:
     """Fit the categories in order, handing on out-of-fold probabilities."""
-    names, models = list(targets), []
-    fold = np.arange(len(x)) % FOLDS
-    x = x.astype(np.float32, copy=False)
-    earlier = np.zeros((len(x), 0), np.float32)
-    for name in names:
-        y, z = targets[name], np.concatenate([x, earlier], 1)
+    models = []
+    for y in targets.values():
         out = np.zeros(len(y))
-        for k in range(FOLDS):
-            w = _fit_one(z[fold != k], y[fold != k])
-            out[fold == k] = sigmoid(z[fold == k] @ w[:-1] + w[-1])
-        models.append(_fit_one(z, y))
-        earlier = np.column_stack([earlier, out.astype(np.float32)])
-    return Chain(place, names, models)
+        for k in np.unique(fold):
+            w = _fit_one(x, y, (fold != k).astype(float))
+            out = np.where(fold == k, sigmoid(x.times(w[:-1]) + w[-1]), out)
+        models.append(_fit_one(x, y, np.ones(len(y))))
+        x = x.with_column(out)
+    return Chain(place, list(targets), models)
+
+
+def kinds_of(x: Entries, toxic: np.ndarray, kinds: int = KINDS, rounds: int = 10) -> np.ndarray:
+    """The group of each row, -1 for rows that aren't toxic or hold no feature."""
+    own = np.flatnonzero(toxic)[:CENTRED]
+    number = np.full(x.shape[0], -1, np.int64)
+    number[own] = np.arange(len(own))
+    inside = number[x.rows] >= 0
+    dense = np.zeros((len(own), x.shape[1]))
+    dense[number[x.rows[inside]], x.columns[inside]] = 1.0
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+    # The first centre is the row nearest to the mean, each further one the row that is least like those before.
+    picked: list[int] = []
+    for _ in range(min(kinds, len(own))):
+        like = dense @ dense[picked].T if picked else -(dense @ dense.mean(0))[:, None]
+        picked.append(int(np.argmin(like.max(1))))
+    centres = dense[picked]
+    for _ in range(rounds if len(picked) else 0):
+        group = (dense @ centres.T).argmax(1)
+        centres = np.stack([dense[group == k].mean(0) if (group == k).any() else centres[k] for k in range(len(centres))])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+    present = Entries(x.rows, x.columns, np.ones(len(x.rows)), x.shape)
+    like = np.stack([present.times(c) for c in centres], 1) if len(centres) else np.zeros((x.shape[0], 1))
+    return np.where(toxic & (like.max(1) > 0), like.argmax(1), -1)
 
 
 def choose_features(with_label: np.ndarray, without_label: np.ndarray, n1: int, n0: int, keep: int, least: int = 3) -> dict[int, int]:
-    """The places whose documents' shares differ most between the classes, by a normal score."""
+    """The places that labelled documents have more often than others, by a normal score."""
     n = n1 + n0
     if not n1 or not n0:
         return {}
     p = (with_label + without_label) / n
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    score = np.where(with_label + without_label >= least, np.abs(with_label / n1 - without_label / n0) / spread, 0)
+    score = np.where(with_label + without_label >= least, (with_label / n1 - without_label / n0) / spread, 0)
     best = np.lexsort((np.arange(len(score)), -score))[:keep]
     return {int(f): k for k, f in enumerate(best[score[best] > 0])}
 
 
-def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, most: int = MOST, keep: int = KEEP) -> Chain:
-    """Fit the chain from labels.toxic on documents whose fold is not ``held``."""
-    marks = labels.select("doc_id", F.col("toxic").alias("mark")).filter("doc_id IS NOT NULL AND mark IS NOT NULL").groupBy("doc_id").agg(F.max("mark").alias("mark"))
-    marks = marks.filter(crc_fold(F.col("doc_id"), modulus) != held).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, most: int = MOST, keep: int = KEEP, categories: Sequence[str] = ()) -> Chain:
+    """Fit the chain from labels.toxic, and columns of categories, on documents whose fold is not ``held``."""
+    marks = [F.max(c).alias(f"mark{k}") for k, c in enumerate([*categories, TOXIC])]
+    last = f"mark{len(categories)}"
+    known = labels.filter("doc_id IS NOT NULL").filter(F.col(TOXIC).isNotNull()).groupBy("doc_id").agg(*marks)
+    known = known.filter(crc_fold(F.col("doc_id"), modulus) != held).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     # Taken without regard to the label, so the sample keeps the classes' shares.
-    known = F.broadcast(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    rows = stored(docs.select("doc_id", "text").join(known, "doc_id").select("mark", "text").repartition(8), "sample")
+    chosen = stored(smallest_hashes(stored(known, "known"), "doc_id", most), "chosen")
+    rows = stored(sampled_texts(docs, chosen).withColumn("hash", F.xxhash64("doc_id")).drop("doc_id").repartition(8), "sample")
 
     def count(parts):
         seen = np.zeros((2, 1 << BITS), np.int32)
         n = [0, 0]
+        memory = Remembered()
         for part in frugal(parts):
-            for mark, text in zip(values(part, "mark"), texts(part, "text"), strict=True):
-                found = {f for words in word_lists(text) for w in set(words) for f in word_features(w)}
-                seen[int(mark == 1), list(found)] += 1
-                n[int(mark == 1)] += 1
+            mark = np.array([int(m == 1) for m in values(part, last)], np.int64)
+            row, feature, _ = feature_counts(texts(part, "text"), memory)
+            np.add.at(seen, (mark[row], feature), 1)
+            n[0], n[1] = n[0] + int((mark == 0).sum()), n[1] + int(mark.sum())
         yield pa.RecordBatch.from_arrays([pa.array([n[1]], pa.int64()), pa.array([n[0]], pa.int64()), pa.array([seen[1].tobytes()], pa.binary()), pa.array([seen[0].tobytes()], pa.binary())], names=["n1", "n0", "s1", "s0"])
 
     # Eight tasks at most, each of which sends two counters of fixed width.
-    counted = rows.coalesce(8).mapInArrow(count, "n1 long, n0 long, s1 binary, s0 binary").collect()
     totals, n1, n0 = np.zeros((2, 1 << BITS), np.int64), 0, 0
-    for r in counted:
+    for r in rows.coalesce(8).mapInArrow(count, "n1 long, n0 long, s1 binary, s0 binary").toLocalIterator():
         totals[1] += np.frombuffer(r["s1"], np.int32)
         totals[0] += np.frombuffer(r["s0"], np.int32)
         n1, n0 = n1 + r["n1"], n0 + r["n0"]
     place = choose_features(totals[1], totals[0], n1, n0, keep)
-    width = len(place)
-
-    def vectors(part: pa.RecordBatch) -> dict[str, list]:
-        memory = Remembered(place)
-        rows = texts(part, "text")
-        met = [{name: any(w in found for w in CATEGORIES[name]) for name in CATEGORIES} for found in ({w for words in word_lists(t) for w in words} for t in rows)]
-        return {"x": [vector(t, memory, width).tobytes() for t in rows], "met": [[m[name] for name in CATEGORIES] for m in met]}
-
-    got = mapped(rows, vectors, [T.StructField("x", T.BinaryType()), T.StructField("met", T.ArrayType(T.BooleanType()))], ("text",)).toArrow()
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(got.num_rows, width)
-    y = (got.column("mark").to_numpy() == 1).astype(np.float64)
-    met = np.array(got.column("met").to_pylist(), float).reshape(got.num_rows, len(CATEGORIES))
-    # The order of rows decides the folds, so it must not depend on which task was first.
-    order = np.lexsort(np.concatenate([met.T, y[None, :], x[:, :16].T])) if got.num_rows else np.zeros(0, int)
-    targets = {name: (y * met[:, k])[order] for k, name in enumerate(CATEGORIES)} | {TOXIC: y[order]}
-    return fit_chain(x[order], targets, place)
+    del totals
+
+    def found(part: pa.RecordBatch) -> dict[str, list]:
+        raws = texts(part, "text")
+        row, feature, number = feature_counts(raws, Remembered(place))
+        cuts = np.searchsorted(row, np.arange(1, len(raws)))
+        return {"features": [x.astype("<i4").tobytes() for x in np.split(feature, cuts)], "counts": [x.astype("<i4").tobytes() for x in np.split(number, cuts)]}
+
+    added = [T.StructField("features", T.BinaryType()), T.StructField("counts", T.BinaryType())]
+    got = mapped(rows, found, added, ("text",)).toArrow().sort_by("hash")
+    feature, number = (np.frombuffer(b"".join(got.column(c).to_pylist()), "<i4") for c in ("features", "counts"))
+    sizes = [len(x) // 4 for x in got.column("features").to_pylist()]
+    x = Entries(np.repeat(np.arange(got.num_rows), sizes), feature, np.log1p(number), (got.num_rows, len(place)))
+    fold = got.column("hash").to_numpy() % FOLDS
+    marked = lambda k: np.array([m == 1 for m in got.column(f"mark{k}").to_pylist()], bool)
+    toxic = marked(len(categories))
+    if categories:
+        targets = {name: marked(k) for k, name in enumerate(categories)}
+    else:
+        kind = kinds_of(x, toxic)
+        targets = {f"kind{k + 1}": kind == k for k in range(KINDS)}
+    fitted = fit_chain(x, {name: y.astype(float) for name, y in (targets | {TOXIC: toxic}).items()}, fold, place)
+    del got, x, feature, number
+    trim()
+    return fitted
 
 
 def score_toxicity(docs: DataFrame, chain: Chain) -> DataFrame:
     """Add p_<category> for each category, and toxic_predicted, to every document."""
     names = [f"p_{n}" for n in chain.names]
     docs = without(docs, *names, "toxic_predicted")
-    width = len(chain.place)
 
     def make(part: pa.RecordBatch, held: list = []) -> dict[str, list]:  # noqa: B006  one memory for each worker
         if not held:
             held.append(Remembered(chain.place))
-        rows = texts(part, "text")
-        x = np.stack([vector(t, held[0], width) for t in rows]) if rows else np.zeros((0, width))
-        p = chain.probabilities(x)
+        p = chain.probabilities(entries(texts(part, "text"), held[0], len(chain.place)))
         return {n: p[:, k].astype(np.float64) for k, n in enumerate(names)} | {"toxic_predicted": (p[:, -1] >= 0.5).astype(np.int32)}
 
     return mapped(docs, make, [*(T.StructField(n, T.DoubleType()) for n in names), T.StructField("toxic_predicted", T.IntegerType())])
