@@ -59,6 +59,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like this one that the input doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def mapped(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, list]], added: list[T.StructField], drop: tuple[str, ...] = ()) -> DataFrame:
     """Append columns computed from each Arrow batch; ``make`` returns a list per added field.
 

@@ -2,14 +2,16 @@
 
 A run is a table of (h1, h2, n): the 128-bit hash of a line's key and in how many documents it was met,
 bucketed and sorted by the hash. Every batch of documents merge-anti-joins the run of lines that are
-known to be repeated, and adds the counts of its other lines as a run of level 0. When a level has
-``fanout`` runs they are merged into one run of the next level; lines whose count reaches ``min_docs``
-move to the run of repeated lines. Nothing is held in memory or sent to the driver, and the next batch
-of a crawl only reads runs, never earlier documents.
-
-Cases: a null text is one empty line; an empty key (below ``min_length`` code points) is never dropped;
-each row is a document, also where a doc_id comes twice or is null; an empty table gives an empty table;
-input columns named like an added one are replaced.
+known to be repeated, and adds the counts of its other lines as a run of level 0; its counts of known lines go
+on being counted beside it. When a level has ``fanout`` runs they are merged into one run of the next level;
+lines whose count reaches ``min_docs`` move to the run of repeated lines. Nothing is held in memory or sent to
+the driver, and the next batch of a crawl only reads runs, never earlier documents.
+
+The counts of the repeated lines are whole, so they tell which lines are hot when the lines go back to their documents.
+
+Cases: a null text is one empty line; a very long text is split like others; an empty key (below ``min_length`` code
+points) is never dropped; each row is a document, also where a doc_id comes twice or is null; bytes that aren't UTF-8
+are kept; an empty table gives an empty table; other columns are kept, and those named like an added one replaced.
 """
 
 from __future__ import annotations
@@ -20,13 +22,13 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import frugal, mapped, texts, values, without
+from quernstone.llm.arrow import frugal, mapped, texts, unused, values, without
 from quernstone.plans.joins import heavy_light_join
-from quernstone.plans.scratch import drop_path, scratch_path, stored
+from quernstone.plans.scratch import drop_path, release, scratch_path, stored
 
 SPACE = b" \t\n\v\f\r"
 HASH = ["h1", "h2"]
@@ -51,10 +53,13 @@ def key_hashes(text: bytes, min_length: int) -> set[bytes]:
     return {xxhash.xxh3_128_digest(k) for k in keys}
 
 
+def row_key() -> Column:
+    """A number for a row. Rows that share one only share the list of their repeated lines, which are dropped anyway."""
+    return F.xxhash64("doc_id", "text")
+
+
 def line_rows(docs: DataFrame, batches: int, min_length: int) -> DataFrame:
-    """(doc_id, batch, h1, h2): one row for each document and distinct line key."""
-    kind = docs.schema["doc_id"]
-    schema = T.StructType([kind, T.StructField("batch", T.IntegerType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])
+    """(row, batch, h1, h2): one row for each document and distinct line key."""
 
     def run(parts):
         for part in frugal(parts, 4096):
@@ -62,10 +67,10 @@ def line_rows(docs: DataFrame, batches: int, min_length: int) -> DataFrame:
             rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
             pairs = np.frombuffer(b"".join(h for x in found for h in x), dtype="<i8").reshape(-1, 2)
             at = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["row", "batch", *HASH])
 
-    batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch")
-    return docs.select("doc_id", batch, "text").mapInArrow(run, schema)
+    batch = F.pmod(F.col("row"), F.lit(batches)).cast("int").alias("batch")
+    return docs.select(row_key().alias("row"), "text").select("row", batch, "text").mapInArrow(run, "row long, batch int, h1 long, h2 long")
 
 
 class LineRuns:
@@ -76,23 +81,37 @@ class LineRuns:
         self.folder = folder or scratch_path(spark, "runs")
         self.levels: list[list[str]] = [[]]
         self.repeated_run: str | None = None
+        self.again: list[str] = []
+        self.held: set[str] = set()
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _write(self, rows: DataFrame) -> str:
         name = f"quernstone_run_{uuid.uuid4().hex}"
         (rows.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name))
+        self.held.add(name)
         return name
 
     def _drop(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         drop_path(self.spark, f"{self.folder}/{name}")
+        self.held.discard(name)
+
+    def close(self) -> None:
+        """Drop all runs."""
+        for name in list(self.held):
+            self._drop(name)
 
     def add(self, lines: DataFrame) -> None:
-        """Count a batch's lines, without those known to be repeated, and add them as a run."""
-        counted = lines.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n"))
+        """Count a batch's lines, and add those that aren't known to be repeated as a run."""
+        counted = self._write(lines.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n")))
         if self.repeated_run:
-            counted = counted.join(self.spark.table(self.repeated_run).select(*HASH), HASH, "left_anti")
-        self.levels[0].append(self._write(counted))
+            known = self.spark.table(self.repeated_run).select(*HASH)
+            rows = self.spark.table(counted)
+            self.levels[0].append(self._write(rows.join(known, HASH, "left_anti")))
+            self.again.append(self._write(rows.join(known, HASH, "left_semi")))
+            self._drop(counted)
+        else:
+            self.levels[0].append(counted)
         level = 0
         while len(self.levels[level]) >= self.fanout:
             self.compact(level)
@@ -113,22 +132,23 @@ class LineRuns:
             self.levels.append([])
         merged = self._write(self._merged(old))
         rows = self.spark.table(merged)
-        was, self.repeated_run = self.repeated_run, self._write(self._with_repeated(rows))
+        was, self.repeated_run = [x for x in (self.repeated_run, *self.again) if x], self._write(self._with_repeated(rows))
+        self.again = []
         self.levels[level + 1].append(self._write(rows.filter(F.col("n") < self.min_docs)))
-        for name in [*old, merged, *([was] if was else [])]:
+        for name in [*old, merged, *was]:
             self._drop(name)
 
     def repeated(self) -> DataFrame:
-        """(h1, h2, n) of all lines in at least ``min_docs`` documents; n is a lower bound above that."""
+        """(h1, h2, n) of all lines in at least ``min_docs`` documents."""
         rest = [name for runs in self.levels for name in runs]
         rows = self._merged(rest) if rest else self.spark.createDataFrame([], "h1 long, h2 long, n long")
         return self._with_repeated(rows)
 
     def _with_repeated(self, rows: DataFrame) -> DataFrame:
-        """The rows that reach ``min_docs``, merged with the run of repeated lines."""
+        """The rows that reach ``min_docs``, merged with the run of repeated lines and what was counted since."""
         found = rows.filter(F.col("n") >= self.min_docs)
-        if self.repeated_run:
-            other = self.spark.table(self.repeated_run).withColumnRenamed("n", "m")
+        for name in [x for x in (self.repeated_run, *self.again) if x]:
+            other = self.spark.table(name).withColumnRenamed("n", "m")
             found = found.join(other, HASH, "full_outer").select(*HASH, (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
         return found
 
@@ -146,16 +166,18 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_length: int = 1, batche
     for batch in range(batches):
         runs.add(rows.filter(F.col("batch") == batch))
     repeated = stored(runs.repeated(), "repeated")
-    total = rows.count()
-    # A line's count may leave out batches that met it after it was known, so heaviness is counted anew.
-    met = rows.join(repeated.select(*HASH), HASH, "left_semi") if total == 0 else _weighed(rows, repeated, total)
-    drops = met.groupBy("doc_id").agg(F.collect_set(F.struct(*HASH)).alias("__drops")).withColumnRenamed("doc_id", "__id")
-    joined = docs.join(drops, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    runs.close()
+    release(spark)
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    met = heavy_light_join(rows.select("row", *HASH), repeated, HASH, "n", total, "left_semi")
+    key, drops = unused(docs, "__row"), unused(docs, "__drops")
+    listed = met.groupBy(F.col("row").alias(key)).agg(F.collect_set(F.struct(*HASH)).alias(drops))
+    joined = docs.withColumn(key, row_key()).join(listed, key, "left").drop(key)
 
     def strip(part: pa.RecordBatch) -> dict[str, list]:
         out: dict[str, list] = {"n_lines": [], "n_dropped": [], "text": [], "kept_sha256": []}
         raw = part.column(part.schema.get_field_index("text"))
-        for text, drop, null in zip(texts(part, "text"), values(part, "__drops"), raw.is_null().to_pylist(), strict=True):
+        for text, drop, null in zip(texts(part, "text"), values(part, drops), raw.is_null().to_pylist(), strict=True):
             lines = text.split(b"\n")
             kept = lines
             if drop:
@@ -167,16 +189,12 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_length: int = 1, batche
             if digest:
                 out["kept_sha256"].append(hashlib.sha256(joined_text).hexdigest())
             else:
-                out["text"].append(None if null else joined_text.decode("utf-8", "surrogatepass"))
+                out["text"].append(None if null else joined_text)
+        out["text"] = pa.array(out["text"], pa.binary()).view(pa.string())
         return out
 
     if digest:
-        return mapped(joined, strip, [*ADDED, T.StructField("kept_sha256", T.StringType())], ("text", "__drops"))
-    out = mapped(joined, strip, [*ADDED, T.StructField("text", T.StringType())], ("__drops",))
+        return mapped(joined, strip, [*ADDED, T.StructField("kept_sha256", T.StringType())], ("text", drops))
+    out = mapped(joined, strip, [*ADDED, T.StructField("text", T.StringType())], (drops,))
     return out.select(*docs.columns, "n_lines", "n_dropped")
 
-
-def _weighed(rows: DataFrame, repeated: DataFrame, total: int) -> DataFrame:
-    """The rows whose line is repeated. n over all batches is at least the share seen before promotion."""
-    counts = rows.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n")).join(repeated.select(*HASH), HASH, "left_semi")
-    return heavy_light_join(rows, stored(counts, "weights"), HASH, "n", total, "left_semi").select("doc_id", *HASH)

@@ -78,15 +78,16 @@ _UP, _LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
 SQL = {
     "op5_line_dedup": rf"""
-WITH line AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+line AS (
+  SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
-  FROM documents),
+  FROM doc),
 keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_UP}, {_LOW}) AS k FROM line),
-hot AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+hot AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (k IN (FROM hot)) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (k NOT IN (FROM hot)), '')) AS kept_sha256
-FROM keyed GROUP BY doc_id""",
+FROM keyed GROUP BY r, doc_id""",
     "op6_url_filter": rf"""
 WITH rule(host, path, verdict) AS (VALUES {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)}),
 page AS (

@@ -52,5 +52,27 @@ def test_runs_compact_and_remember(spark):
     assert sum(map(len, runs.levels)) < 4
 
 
+def test_counts_go_on_after_promotion(spark):
+    rows = line_rows(shared(spark), 4, 1).cache()
+    runs = LineRuns(spark, 2, fanout=2)
+    for batch in range(4):
+        runs.add(rows.filter(F.col("batch") == batch))
+    true = {(r.h1, r.h2): r["count"] for r in rows.groupBy("h1", "h2").count().filter("count >= 2").collect()}
+    assert {(r.h1, r.h2): r.n for r in runs.repeated().collect()} == true
+    before = len(spark.catalog.listTables())
+    runs.close()
+    assert len(spark.catalog.listTables()) < before and not [t for t in spark.catalog.listTables() if t.name in runs.held]
+
+
+def test_clashing_names_and_bytes_that_are_not_text(spark):
+    docs = clashing(shared(spark), "__id", "__drops", "__row", "row")
+    assert dedup_lines(docs, min_docs=12).count() == docs.count()
+    bad = spark.sql("SELECT id AS doc_id, CAST(unhex(concat('FF0A6C696E650A', hex(CAST(id AS STRING)))) AS STRING) AS text FROM range(12)")
+    got = dedup_lines(bad, min_docs=13).select(F.hex(F.col("text").cast("binary")).alias("h"), "n_dropped").collect()
+    assert {r.h for r in got} == {"FF0A6C696E650A" + str(k).encode().hex() for k in range(12)}
+    got = dedup_lines(bad, min_docs=12).select(F.hex(F.col("text").cast("binary")).alias("h")).collect()
+    assert {r.h for r in got} == {str(k).encode().hex() for k in range(12)}
+
+
 def test_empty(spark):
     assert dedup_lines(empty(spark), digest=True).count() == 0
