@@ -8,9 +8,11 @@ offset, which must lie inside the document (position and length bounds) and is t
 word. Only the benchmark is held in memory, in blocks of at most ``block_words`` words whatever its
 size, and documents are never shuffled.
 
-Cases: a null or empty text has no words; an item without words has no windows; items of one id count
-once; items with a null id mark words but are not listed; input columns named like an added one are
-replaced; an empty benchmark leaves every document clean.
+Cases: a null or empty text has no words; a very long text is read in parts; an item without words has no windows;
+items of one id count once, as do repeated items; items with a null id mark words but are not listed; shingles that
+are equally rare go by their place; repeated rows are judged each; bytes that aren't UTF-8 are word bytes; other
+columns are kept, and those named like an added one replaced; an empty benchmark leaves every document clean, an empty
+table of documents gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import frugal, mapped, texts, values, without
+from quernstone.llm.arrow import frugal, mapped, texts, to_bytes, unused, values, without
 
 #: Words are runs of 0-9, a-z (A-Z lower-cased) and everything beyond ASCII.
 _TABLE = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -172,12 +174,12 @@ def _count_shingles(docs: DataFrame, block: Windows) -> dict[tuple[int, int], in
 
 def _blocks(benchmark: DataFrame, window: int, block_words: int):
     """The benchmark in blocks of about ``block_words`` words, one at a time on the driver."""
-    items = benchmark.select("item_id", "text")
+    items = benchmark.select("item_id", "text").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = total // (2 * block_words) + 1  # a word and the space behind it are two characters at least
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for k in range(n):
-        found = [(r["item_id"], words((r["text"] or "").encode("utf-8", "surrogatepass"))) for r in items.filter(number == k).collect()]
+        found = [(r["item_id"], words(to_bytes(r["text"]))) for r in items.filter(number == k).collect()]
         if any(x for _, x in found):
             yield Windows(found, window)
 
@@ -188,15 +190,17 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, b
     Blocks beyond the first are chained, each adding its marks to the hits and items found so far.
     """
     docs = without(docs, *[f.name for f in ADDED])
-    state = [T.StructField("__hits", T.BinaryType()), T.StructField("__items", T.ArrayType(T.StringType()))]
-    marked = docs.withColumn("__hits", F.lit(None).cast("binary")).withColumn("__items", F.array().cast("array<string>"))
+    hits_name, items_name, words_name = (unused(docs, x) for x in ("__hits", "__items", "__words"))
+    state = [T.StructField(hits_name, T.BinaryType()), T.StructField(items_name, T.ArrayType(T.StringType())), T.StructField(words_name, T.LongType())]
+    marked = docs.withColumns({hits_name: F.lit(None).cast("binary"), items_name: F.array().cast("array<string>"), words_name: F.lit(None).cast("long")})
     for block in _blocks(benchmark, window, block_words):
         block.order(_count_shingles(docs, block))
 
         def mark(part: pa.RecordBatch, block: Windows = block) -> dict[str, list]:
-            hits, listed = values(part, "__hits"), values(part, "__items")
+            hits, listed, n_words = values(part, hits_name), values(part, items_name), []
             for row, text in enumerate(texts(part, "text")):
                 ids = word_ids(text, block.ids)
+                n_words.append(len(ids))
                 edges, found = None, set()
                 for start, number in block.occurrences(ids):
                     if len(start):
@@ -210,14 +214,16 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, b
                         hit |= np.unpackbits(np.frombuffer(hits[row], np.uint8), count=len(ids)).astype(bool)
                     hits[row] = np.packbits(hit).tobytes()
                     listed[row] = sorted({*listed[row], *(str(x) for k in found for x in block.items[k])})
-            return {"__hits": hits, "__items": listed}
+            return {hits_name: hits, items_name: listed, words_name: n_words}
 
         marked = mapped(marked, mark, state)
 
     def close(part: pa.RecordBatch) -> dict[str, list]:
-        n_words = [sum(map(len, pieces(t))) for t in texts(part, "text")]
-        n_hit = [int(np.unpackbits(np.frombuffer(h, np.uint8)).sum()) if h else 0 for h in values(part, "__hits")]
-        listed = values(part, "__items")
+        n_words = values(part, words_name)
+        if None in n_words:  # no block has counted them
+            n_words = [sum(map(len, pieces(t))) for t in texts(part, "text")]
+        n_hit = [int(np.unpackbits(np.frombuffer(h, np.uint8)).sum()) if h else 0 for h in values(part, hits_name)]
+        listed = values(part, items_name)
         return {"n_words": n_words, "n_hit": n_hit, "n_items": [len(x) for x in listed], "items_sha256": [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in listed], "contaminated": [n > 0 for n in n_hit]}
 
-    return mapped(marked, close, ADDED, ("__hits", "__items"))
+    return mapped(marked, close, ADDED, (hits_name, items_name, words_name))

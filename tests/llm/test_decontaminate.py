@@ -70,3 +70,21 @@ def test_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(decontaminate, "PIECE", 64)
     monkeypatch.setattr(decontaminate.pieces, "__defaults__", (64,))
     assert (word_ids(text, block.ids) == whole).all()
+
+
+def test_repeated_items_and_clashing_names(spark):
+    docs, items = cases(spark)
+    once, twice = (spark.createDataFrame(items * n, "item_id long, text string") for n in (1, 3))
+    a = mark_contaminated(clashing(docs, "__hits", "__items", "__words"), once, 4)
+    b = mark_contaminated(docs, twice, 4)
+    assert [columns(r) for r in a.collect()] == [columns(r) for r in b.collect()]
+    assert {(r["__hits"], r["__items"], r["__words"]) for r in a.collect()} == {("mine",) * 3}
+
+
+def test_empty_tables_and_bytes_that_are_not_text(spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert mark_contaminated(empty(spark), none).count() == 0
+    docs = spark.sql("SELECT 1L AS doc_id, CAST(X'FF2061' AS STRING) AS text")
+    assert [columns(r)[:3] for r in mark_contaminated(docs, none).collect()] == [(2, 0, 0)]
+    items = spark.createDataFrame([(5, "a")], "item_id long, text string")
+    assert [columns(r)[:3] for r in mark_contaminated(docs, items).collect()] == [(2, 1, 1)]
