@@ -6,20 +6,23 @@ list of licence rules, each a run of identifiers: longer and more specific rules
 the identifiers they match, so a short rule can't claim part of a longer notice. What is left of a
 sequence are licence sentences that no rule explains.
 
-A sentence ends at ``. ! ? ; :`` before white space and at a line feed, unless the line breaks softly: in
-front of a lower-case letter or behind a word that can't end a sentence. Normalising lower-cases, strips
-comment marks, and keeps letters, digits, ``. - +`` inside words.
+Comment marks at the beginning of lines go first. A sentence ends at ``. ! ? ; :`` before white space and at a line
+feed, unless the line breaks softly: in front of a lower-case letter or behind a word that can't end a sentence.
+Normalising lower-cases, and keeps letters, digits, ``. - +`` inside words.
 
-The tables of sentences and rules are parameters of fixed size and become literals of the plan.
+A sentence speaks of licences if it has one of the words that SPEAKS lists, or that were taken from known sentences
+without any of these. The tables of sentences and rules are parameters of fixed size and become literals of the plan.
 
-Cases: a null or empty text has no sentences and no licences; repeated sentences give repeated
-identifiers and each licence is listed once, in the order of the rules; rows are judged alone, so
-repeated or null ids and skewed sources are of no consequence; input columns named like an added one
-are replaced.
+Cases: a null or empty text has no sentences and no licences; a very long text is one value to Spark and cut like
+others; repeated sentences give repeated identifiers and each licence is listed once, in the order of the rules;
+rows are judged alone, so repeated or null ids and skewed sources are of no consequence; bytes that aren't UTF-8
+are no letters; other columns are kept, and those named like an added one replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,6 +102,7 @@ RULES = [
 #: A sentence without any of these can't be a licence sentence.
 SPEAKS = r"licen[sc]|copyright|warrant|redistribut|permission|free software|public domain|rights reserved|gnu general|may not use this file|as is"
 #: The parts of the cutting, which hold for Java's regular expressions and for RE2 alike.
+COMMENT = r"(^|\n)[ \t]*(?:#+|//+|/\*+|\*+/|\*+|;+|--+|%+)[ \t]*"
 SOFT_BEFORE = r"\n[ \t]*([a-z(])"
 SOFT_BEHIND = r"([ \t](?:the|of|a|an|and|to|under|in|or|with|for|by|this))[ \t]*\n"
 STOP = r"([.!?;:])[ \t]+"
@@ -107,11 +111,18 @@ EDGES = r"^[ .+-]+|[ .+-]+$"
 ADDED = ("n_sentences", "sentence_ids", "licences", "n_unexplained", "n_unknown")
 
 
-def sentences(text: Column) -> Column:
+def gate(known: dict[str, str]) -> str:
+    """A pattern that every known sentence has, and most others don't: SPEAKS, and the longest word of what it leaves out."""
+    left = [s for s in known.values() if not re.search(SPEAKS, s)]
+    return "|".join([SPEAKS, *sorted({re.escape(max(s.split(), key=lambda w: (len(w), w))) for s in left if s})])
+
+
+def sentences(text: Column, speaks: str = SPEAKS) -> Column:
     """The normalised sentences that speak of licences, in order."""
-    flat = F.regexp_replace(F.regexp_replace(text, SOFT_BEHIND, "$1 "), SOFT_BEFORE, " $1")
+    bare = F.regexp_replace(text, COMMENT, "$1")
+    flat = F.regexp_replace(F.regexp_replace(bare, SOFT_BEHIND, "$1 "), SOFT_BEFORE, " $1")
     cut = F.split(F.regexp_replace(flat, STOP, "$1\n"), "\n")
-    speaking = F.filter(F.transform(cut, F.lower), lambda s: s.rlike(SPEAKS))
+    speaking = F.filter(F.transform(cut, F.lower), lambda s: s.rlike(speaks))
     return F.transform(speaking, lambda s: F.regexp_replace(F.regexp_replace(s, NOISE, " "), EDGES, ""))
 
 
@@ -124,7 +135,8 @@ def scan_licences(docs: DataFrame, known: dict[str, str] | None = None, rules: l
     empty = F.array().cast("array<string>")
     text = F.coalesce(F.col("text"), F.lit(""))
     # Most texts say nothing of licences; they are not cut at all.
-    spoken = F.when(F.lower(text).rlike(SPEAKS), sentences(text)).otherwise(empty)
+    speaks = gate(known)
+    spoken = F.when(F.lower(text).rlike(speaks), sentences(text, speaks)).otherwise(empty)
     ids = F.filter(F.transform("__spoken", lambda s: F.try_element_at(table, s)), lambda x: x.isNotNull())
     start = F.struct(F.concat_ws("", F.transform("__ids", lambda x: F.concat(F.lit(","), x, F.lit(";")))).alias("left"), empty.alias("names"))
 
@@ -156,7 +168,7 @@ def scan_sql() -> str:
     return rf"""
 WITH known(sentence, id) AS (VALUES {", ".join(f"({quoted(s)}, {quoted(k)})" for k, s in SENTENCES.items())}),
 flat AS (
-  SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), {quoted(SOFT_BEHIND)}, '\1 ', 'g'), {quoted(SOFT_BEFORE)}, ' \1', 'g'), {quoted(STOP)}, '\1' || chr(10), 'g') AS t
+  SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), {quoted(COMMENT)}, '\1', 'g'), {quoted(SOFT_BEHIND)}, '\1 ', 'g'), {quoted(SOFT_BEFORE)}, ' \1', 'g'), {quoted(STOP)}, '\1' || chr(10), 'g') AS t
   FROM documents),
 cut AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS s, unnest(range(len(string_split(t, chr(10))))) AS pos FROM flat),
 spoken AS (

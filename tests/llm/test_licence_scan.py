@@ -36,3 +36,40 @@ def test_awkward_rows(spark):
     got = scan_licences(docs)
     assert got.count() == docs.count() and {r.licences for r in got.collect()} == {""}
     assert scan_licences(empty(spark)).count() == 0
+
+
+MIT_NOTICE = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD_NOTICE = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+GPL_NOTICE = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+def test_wrapped_notices_in_comments(spark):
+    rows = []
+    for licence, notice in (("MIT", MIT_NOTICE), ("BSD-2-Clause", BSD_NOTICE), ("GPL-3.0-or-later", GPL_NOTICE)):
+        lines = notice.split("\n")
+        rows.append((licence, notice))
+        rows += [(licence, "code = 1\n" + "\n".join(mark + x for x in lines) + "\nmore()") for mark in ("# ", "// ", " * ", "-- ", ";; ", "% ")]
+        rows.append((licence, "/*\n" + "\n".join(" * " + x for x in lines) + "\n */\nint x;"))
+    docs = spark.createDataFrame(rows, "wanted string, text string")
+    assert [(r.wanted, r.text) for r in scan_licences(docs).collect() if r.licences != r.wanted] == []
+
+
+def test_known_sentences_of_the_caller_pass_the_gate(spark):
+    known, rules = {"beer": "you can do what you like with this stuff"}, [("Beerware", ["beer"])]
+    docs = spark.createDataFrame([(1, "Hello. You can do what you like with this stuff. Bye."), (2, "No word of it.")], "doc_id long, text string")
+    got = {r.doc_id: (r.licences, r.n_sentences) for r in scan_licences(docs, known, rules).collect()}
+    assert got == {1: ("Beerware", 1), 2: ("", 0)}
+
+
+def test_bytes_that_are_not_text(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, CAST(X'FF2052656C656173656420756E64657220746865204D4954204C6963656E73652E' AS STRING) AS text")
+    assert scan_licences(docs).first().licences == "MIT"
