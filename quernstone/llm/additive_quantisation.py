@@ -4,16 +4,19 @@ A vector is approximated by the sum of one full-dimensional codeword from each o
 Codebooks are fitted on a bounded sample: residual k-means first, then rounds of beam-search encoding
 and a least-squares update of all codewords together. Every row is encoded by beam search and stored with
 the squared norm of its approximation. A query scores a row as ``norm - 2 * sum of table lookups``, where
-its table holds the inner products with all codewords; of each task's rows the best ``share``, and at
-least ``shortlist``, are ranked again by the exact distance, in double precision, and the tasks' results are merged.
+its table holds the inner products with all codewords. The best ``shortlist`` of all rows, however they are
+partitioned, are ranked again by the exact distance, in double precision.
 
-Queries are a stated set. They are taken in blocks of at most ``query_block`` vectors, so what travels to
-the tasks is bounded; a task's memory is a bounded number of rows times a block.
+Queries are a stated set, and are taken in blocks of at most ``query_block`` vectors, one block after the other:
+a block is broadcast, every task scores its rows chunk by chunk and keeps the best so far, and the block's results
+are written. So neither the driver nor a plan holds more than a block, and a task's memory is a chunk and a block.
 
 Cases: vectors that are null, empty, zero, of another length than most, or that hold a null or non-finite
-number take no part, nor do rows without an id; equal distances go to the smaller id; of equal vectors in
-a task only the ``k`` + 1 with the smallest ids can be among anyone's nearest, so no more of them are kept;
-rows that share a query's id are the query's own; with fewer than ``k`` candidates all are returned.
+number take no part, nor do rows without an id; equal distances go to the smaller id, as do equal scores; of equal
+vectors only the ``k`` + 1 with the smallest ids can be among anyone's nearest, so no more of them are kept, also
+where very many rows are equal; repeated rows are one; rows that share a query's id are the query's own; with fewer
+than ``k`` candidates all are returned; other columns are ignored, whatever their names; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -25,10 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quernstone.plans.scratch import stored
+from quernstone.llm.arrow import trim
+from quernstone.llm.linear import smallest_hashes
+from quernstone.plans.scratch import scratch_path, stored
 
 SAMPLE = 8_192
-RESULT = "query_id long, vec_id long, score double"
+BOOKS, WORDS, BEAM, SHORTLIST = 32, 64, 4, 512
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -54,10 +60,9 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.
     for _ in range(rounds):
         near = (np.einsum("ij,ij->i", centres, centres)[None, :] - 2 * x @ centres.T).argmin(1)
         counts = np.bincount(near, minlength=k)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, near, x)
         some = counts > 0
-        centres[some] = sums[some] / counts[some, None]
+        order = np.argsort(near, kind="stable")
+        centres[some] = np.add.reduceat(x[order], (np.cumsum(counts) - counts)[some], axis=0) / counts[some, None]
         centres[~some] = x[rng.choice(len(x), int((~some).sum()))]
     return centres
 
@@ -72,9 +77,8 @@ class Codebooks:
         self.products = (flat @ flat.T).reshape(m, k, m, k)
         self.norms = np.einsum("mkd,mkd->mk", self.words, self.words)
 
-    @property
-    def size(self) -> int:
-        return self.words.shape[1]
+    def __reduce__(self):
+        return Codebooks, (self.words,)
 
     def encode(self, x: np.ndarray, beam: int) -> np.ndarray:
         """Beam search: books are taken in turn, and of all one-word extensions of the beam the best stay."""
@@ -100,7 +104,7 @@ class Codebooks:
         return sum(self.words[b][codes[:, b]] for b in range(self.words.shape[0]))
 
 
-def fit(x: np.ndarray, books: int = 16, size: int = 64, beam: int = 4, rounds: int = 3, seed: int = 7) -> Codebooks:
+def fit(x: np.ndarray, books: int = BOOKS, size: int = WORDS, beam: int = BEAM, rounds: int = 2, seed: int = 7) -> Codebooks:
     """Codebooks from a sample, which is bounded by the caller."""
     rng = np.random.default_rng(seed)
     d = x.shape[1]
@@ -129,100 +133,122 @@ def fit(x: np.ndarray, books: int = 16, size: int = 64, beam: int = 4, rounds: i
 
 def sample_rows(rows: DataFrame, most: int) -> np.ndarray:
     """At most ``most`` vectors, those with the smallest hash of the id; what is sent to the driver is bounded."""
-    part = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("v").toArrow()
+    part = smallest_hashes(rows, "vec_id", most).select("v").toArrow()
     return _matrix(part.column("v")) if part.num_rows else np.zeros((0, 1))
 
 
-def index(rows: DataFrame, found: Codebooks, beam: int = 4, chunk: int = 1024) -> DataFrame:
-    """Every row with its codes and the squared norm of its approximation."""
+def index(rows: DataFrame, found: Codebooks, beam: int = BEAM, chunk: int = 1024) -> DataFrame:
+    """Every row (row, vec_id, v) with its codes and the squared norm of its approximation."""
 
     def run(parts):
         for part in parts:
-            x = _matrix(part.column(1))
-            for at in range(0, len(x), chunk):
-                codes = found.encode(x[at : at + chunk], beam)
+            for at in range(0, part.num_rows, chunk):
+                some = part.slice(at, chunk)
+                codes = found.encode(_matrix(some.column(2)), beam)
                 close = found.decode(codes)
-                cells = [part.column(0).slice(at, chunk), part.column(1).slice(at, chunk), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.einsum("ij,ij->i", close, close).astype(np.float32))]
-                yield pa.RecordBatch.from_arrays(cells, names=["vec_id", "v", "codes", "norm"])
-
-    return rows.mapInArrow(run, "vec_id long, v array<double>, codes binary, norm float")
-
-
-def _nearest(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, norms: np.ndarray, found: Codebooks, queries: tuple[np.ndarray, np.ndarray], k: int, shortlist: int, share: float):
-    """(query_id, vec_id, distance) of each query's k nearest among these rows."""
-    query_ids, q = queries
-    tables = np.einsum("qd,mkd->mqk", q.astype(np.float32), found.words, optimize=True)
-    score = np.broadcast_to(norms, (len(q), len(norms))).copy()
-    for b in range(codes.shape[1]):
-        score -= 2 * tables[b][:, codes[:, b]]
-    score[query_ids[:, None] == ids[None, :]] = np.inf
-    take = min(max(shortlist, int(share * len(ids))), len(ids))
-    # Rows are in id order, so a stable choice among equal scores prefers the smaller ids.
-    best = np.argpartition(score, take - 1, axis=1)[:, :take] if take < len(ids) else np.broadcast_to(np.arange(len(ids)), score.shape)
-    edge = np.take_along_axis(score, best, 1).max(1)
-    for row, query in enumerate(query_ids):
-        near = np.flatnonzero(score[row] < edge[row])
-        ties = np.flatnonzero(score[row] == edge[row])[: take - len(near)]
-        pick = np.concatenate([near, ties])
-        pick = pick[np.isfinite(score[row, pick])]
-        exact = np.sqrt(((x[pick] - q[row]) ** 2).sum(1))
-        order = np.lexsort((ids[pick], exact))[:k]
-        yield query, ids[pick][order], exact[order]
-
-
-def search(indexed: DataFrame, queries: DataFrame, found: Codebooks, k: int = 10, shortlist: int = 256, share: float = 1 / 16, query_block: int = 4096, task_rows: int = 65_536) -> DataFrame:
-    """Each query's k nearest of the indexed rows: query_id, rank, vec_id, score."""
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.einsum("ij,ij->i", close, close).astype(np.float32))], names=["row", "vec_id", "v", "codes", "norm"])
+
+    return rows.mapInArrow(run, "row long, vec_id long, v array<double>, codes binary, norm float")
+
+
+class Best:
+    """The best few rows of each query so far, by score and then by id."""
+
+    def __init__(self, queries: int, most: int):
+        self.most = most
+        self.scores = np.zeros((queries, 0), np.float32)
+        self.ids = np.zeros((queries, 0), np.int64)
+        self.rows = np.zeros((queries, 0), np.int64)
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """``scores`` of rows for each query; infinite ones don't count."""
+        n = len(scores)
+        every = np.concatenate([self.scores, scores], 1)
+        ids = np.concatenate([self.ids, np.broadcast_to(ids, (n, len(ids)))], 1)
+        rows = np.concatenate([self.rows, np.broadcast_to(rows, (n, len(rows)))], 1)
+        if every.shape[1] > self.most:
+            best = np.argpartition(every, self.most - 1, axis=1)[:, : self.most]
+            edge = np.take_along_axis(every, best, 1).max(1)
+            for q in np.flatnonzero((every <= edge[:, None]).sum(1) > self.most):  # ties at the edge
+                fits = np.flatnonzero(every[q] <= edge[q])
+                best[q] = fits[np.lexsort((ids[q, fits], every[q, fits]))[: self.most]]
+            every, ids, rows = (np.take_along_axis(x, best, 1) for x in (every, ids, rows))
+        self.scores, self.ids, self.rows = every, ids, rows
+
+
+def _shortlisted(indexed: DataFrame, asked, found: Codebooks, shortlist: int, chunk: int = 4096, together: int = 256) -> DataFrame:
+    """(query, row, vec_id, score): the best of all rows for each query of a block, by the tables."""
     books = found.words.shape[0]
-    n = queries.count()
-    blocks = n // query_block + 1
-    results = None
+
+    def run(parts):
+        query_ids, q = asked.value
+        tables = np.einsum("qd,mkd->mqk", q.astype(np.float32), found.words, optimize=True)
+        best = [Best(len(query_ids[at : at + together]), shortlist) for at in range(0, len(query_ids), together)]
+        for part in parts:
+            for start in range(0, part.num_rows, chunk):
+                some = part.slice(start, chunk)
+                rows, ids = some.column(0).to_numpy(), some.column(1).to_numpy()
+                codes = np.frombuffer(b"".join(some.column(2).to_pylist()), np.uint8).reshape(-1, books)
+                norms = some.column(3).to_numpy()
+                for k, held in enumerate(best):
+                    own = slice(k * together, (k + 1) * together)
+                    score = np.broadcast_to(norms, (len(held.scores), len(norms))).copy()
+                    for b in range(books):
+                        score -= 2 * tables[b, own][:, codes[:, b]]
+                    score[query_ids[own][:, None] == ids[None, :]] = np.inf
+                    held.add(score, ids, rows)
+        for k, held in enumerate(best):
+            fair = np.isfinite(held.scores)
+            query = np.repeat(np.arange(len(held.scores)) + k * together, fair.sum(1))
+            yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(held.rows[fair]), pa.array(held.ids[fair]), pa.array(held.scores[fair], pa.float32())], names=["query", "row", "vec_id", "near"])
+        trim()
+
+    parts = indexed.select("row", "vec_id", "codes", "norm").mapInArrow(run, "query long, row long, vec_id long, near float")
+    order = Window.partitionBy("query").orderBy("near", "vec_id", "row")
+    return parts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= shortlist).select("query", "row", "vec_id")
+
+
+def search(indexed: DataFrame, queries: DataFrame, found: Codebooks, k: int = 10, shortlist: int = SHORTLIST, query_block: int = 4096) -> DataFrame:
+    """Each query's k nearest of the indexed rows: query_id, rank, vec_id, score."""
+    spark = indexed.sparkSession
+    blocks = -(-queries.count() // query_block)
+    path = scratch_path(spark, "nearest")
+    spark.createDataFrame([], RESULT).write.parquet(path)
     for block in range(blocks):
+        # Hashes deal the queries out evenly; a block's size is bounded by the mean and a little more.
         mine = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).select("vec_id", "v").toArrow()
-        asked = (mine.column("vec_id").to_numpy(), _matrix(mine.column("v")))
-
-        def run(parts, asked=asked):
-            held: list[pa.RecordBatch] = []
-            for part in [*parts]:
-                held.append(part)
-                if sum(p.num_rows for p in held) >= task_rows:
-                    yield from answer(held, asked)
-                    held = []
-            if held:
-                yield from answer(held, asked)
-
-        def answer(held, asked):
-            table = pa.Table.from_batches(held)
-            ids = table.column("vec_id").to_numpy()
-            x = _matrix(table.column("v"))
-            order = np.argsort(ids, kind="stable")
-            # Of equal vectors only the first k + 1 ids matter; equal ids are one row.
-            _, same = np.unique(x[order], axis=0, return_inverse=True)
-            same = same.ravel()
-            by_vector = np.lexsort((np.arange(len(order)), same))
-            starts = np.flatnonzero(np.concatenate([[True], np.diff(same[by_vector]) != 0]))
-            rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-            keep = order[np.sort(by_vector[rank <= k])]
-            codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint8).reshape(-1, books)
-            norms = table.column("norm").to_numpy()
-            for at in range(0, len(asked[0]), 256):
-                part = (asked[0][at : at + 256], asked[1][at : at + 256])
-                rows = list(_nearest(ids[keep], x[keep], codes[keep], norms[keep], found, part, k, shortlist, share)) if len(keep) else []
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])), pa.array(np.concatenate([r[1] for r in rows])), pa.array(np.concatenate([r[2] for r in rows]))], names=["query_id", "vec_id", "score"])
-
-        part = indexed.mapInArrow(run, RESULT)
-        results = part if results is None else results.unionByName(part)
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return results.distinct().withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, books: int = 16, size: int = 64, beam: int = 4, shortlist: int = 256, share: float = 1 / 16, sample: int = SAMPLE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+        if not mine.num_rows:
+            continue
+        asked = spark.sparkContext.broadcast((mine.column("vec_id").to_numpy(), _matrix(mine.column("v"))))
+
+        def exact(parts, asked=asked):
+            query_ids, q = asked.value
+            for part in parts:
+                query = part.column(0).to_numpy()
+                x = _matrix(part.column(2))
+                away = np.sqrt(((x - q[query]) ** 2).sum(1)) if len(x) else np.zeros(0)
+                yield pa.RecordBatch.from_arrays([pa.array(query_ids[query], pa.int64()), part.column(1), pa.array(away)], names=["query_id", "vec_id", "score"])
+
+        near = _shortlisted(indexed, asked, found, shortlist)
+        with_vectors = near.select("query", "row", "vec_id").join(indexed.select("row", "v"), "row").select("query", "vec_id", "v")
+        scored = with_vectors.mapInArrow(exact, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        ranked = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+        asked.unpersist()
+    return spark.read.schema(RESULT).parquet(path)
+
+
+def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, books: int = BOOKS, size: int = WORDS, beam: int = BEAM, shortlist: int = SHORTLIST, sample: int = SAMPLE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Fit, index every row, and search the rows where ``is_query`` holds among all rows."""
     rows = stored(usable(vectors, vec_id, vector).distinct(), "vectors")
     x = sample_rows(rows, sample)
     if not len(x):
-        empty = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
-        return rows.sparkSession.createDataFrame([], empty)
+        return rows.sparkSession.createDataFrame([], RESULT)
     found = fit(x, books, size, beam)
-    indexed = stored(index(rows, found, beam), "index")
-    return search(indexed, rows.filter(is_query), found, k, shortlist, share)
+    trim()
+    # Of equal vectors only the first k + 1 ids matter; tasks send no more of them on.
+    alike = Window.partitionBy(F.xxhash64("v"), F.xxhash64(F.lit(1), "v")).orderBy("vec_id")
+    kept = rows.withColumn("copy", F.row_number().over(alike)).filter(F.col("copy") <= k + 1).select(F.monotonically_increasing_id().alias("row"), "vec_id", "v")
+    indexed = stored(index(kept, found, beam), "index")
+    return search(indexed, rows.filter(is_query), found, k, shortlist)
