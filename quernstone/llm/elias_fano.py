@@ -15,20 +15,32 @@ import numpy as np
 ONE = np.uint64(1)
 
 
+#: Where the k-th one of a byte is.
+_IN_BYTE = np.zeros((256, 8), np.int64)
+for _byte in range(256):
+    for _k, _at in enumerate(k for k in range(8) if _byte >> k & 1):
+        _IN_BYTE[_byte, _k] = _at
+_TWOS, _FOURS, _EIGHTS, _ALL = (np.uint64(x) for x in (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F, 0x0101010101010101))
+
+
+def _in_word(bits: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Where the k-th one of each word is."""
+    ones = bits - (bits >> ONE & _TWOS)
+    ones = (ones & _FOURS) + (ones >> np.uint64(2) & _FOURS)
+    upto = (((ones + (ones >> np.uint64(4))) & _EIGHTS) * _ALL).view(np.uint8).reshape(-1, 8)  # ones up to each byte
+    byte = (upto <= k.astype(np.uint8)[:, None]).sum(1)
+    row = np.arange(len(k)) * 8 + byte
+    before = np.where(byte > 0, upto.ravel()[np.maximum(row - 1, 0)], 0)
+    return byte * 8 + _IN_BYTE[bits.view(np.uint8)[row], k - before]
+
+
 def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
     """The position of the k-th one (or zero) in a bit vector; ``before`` counts them ahead of each word."""
+    if not len(k):
+        return np.zeros(0, np.int64)
     word = np.searchsorted(before, k, "right") - 1
-    left = (k - before[word]).astype(np.int64)
-    bits = ~words[word] if flip else words[word]
-    at = np.zeros(len(k), np.uint64)
-    for half in (32, 16, 8, 4, 2, 1):
-        low = bits & np.uint64((1 << half) - 1)
-        ones = np.bitwise_count(low).astype(np.int64)
-        up = left >= ones
-        left -= np.where(up, ones, 0)
-        bits = np.where(up, bits >> np.uint64(half), low)
-        at += np.where(up, np.uint64(half), np.uint64(0))
-    return word * 64 + at.astype(np.int64)
+    bits = np.ascontiguousarray(words)[word]
+    return word * 64 + _in_word(~bits if flip else bits, (k - before[word]).astype(np.int64))
 
 
 class EliasFano:
@@ -42,8 +54,8 @@ class EliasFano:
         high = (values >> np.uint64(self.low_bits)).astype(np.int64)
         self.top = top >> self.low_bits
         length = n + self.top + 2
-        bits = np.zeros((length + 63) // 64 * 64, np.uint8)
-        bits[high + np.arange(n)] = 1
+        bits = np.zeros((length + 63) // 64 * 64, bool)
+        bits[high + np.arange(n)] = True
         words = np.packbits(bits, bitorder="little").view("<u8")
         counts = np.bitwise_count(words).astype(np.int64)
         ones = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
@@ -73,26 +85,57 @@ class EliasFano:
         high = (_select(self.words, self.ones, i, False) - i).astype(np.uint64)
         return (high << np.uint64(self.low_bits)) | self._low(i)
 
+    def _sharing(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the numbers with these high parts begin and end."""
+        zero = _select(self.words, self.zeros, high, True)
+        end = zero - high
+        # The ones right ahead of the zero are the numbers. Mostly they are few and counted; else the zero before tells.
+        size = np.zeros(len(high), np.int64)
+        words, left = np.ascontiguousarray(self.words), np.flatnonzero(zero > 0)
+        for _ in range(4):
+            at = zero[left] - size[left] - 1
+            left = left[at >= 0]
+            at = at[at >= 0]
+            left = left[(words[at >> 6] >> (at & 63).astype(np.uint64) & ONE).astype(bool)]
+            size[left] += 1
+        many = left[high[left] > 0]
+        size[many] = zero[many] - _select(self.words, self.zeros, high[many] - 1, True) - 1
+        first = left[high[left] == 0]
+        size[first] = zero[first]
+        return end - size, end
+
+    def _first_low(self, low: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The first place from ``begin`` on whose low part is at least ``low``; ``end`` where there is none."""
+        begin, end = begin.copy(), end.copy()
+        open_ = np.flatnonzero(begin < end)
+        while len(open_):  # halve what is left until it is one place
+            middle = (begin[open_] + end[open_]) >> 1
+            less = self._low(middle) < low[open_]
+            begin[open_] = np.where(less, middle + 1, begin[open_])
+            end[open_] = np.where(less, end[open_], middle)
+            open_ = open_[begin[open_] < end[open_]]
+        return begin
+
     def next_geq(self, target: np.ndarray) -> np.ndarray:
         """The first place whose value is at least the target; n where there is none."""
         target = np.asarray(target, np.uint64)
         high = (target >> np.uint64(self.low_bits)).astype(np.int64)
         beyond = high > self.top
-        high = np.minimum(high, self.top)
-        end = _select(self.words, self.zeros, high, True) - high  # numbers whose high part is at most the target's
-        begin = np.zeros(len(high), np.int64)
-        some = high > 0
-        begin[some] = _select(self.words, self.zeros, high[some] - 1, True) - high[some] + 1
+        begin, end = self._sharing(np.minimum(high, self.top))
+        return np.where(beyond, self.n, self._first_low(target & np.uint64((1 << self.low_bits) - 1), begin, end))
+
+    def find(self, target: np.ndarray) -> np.ndarray:
+        """The first place of the target, -1 where there is none."""
+        target = np.asarray(target, np.uint64)
+        high = (target >> np.uint64(self.low_bits)).astype(np.int64)
         low = target & np.uint64((1 << self.low_bits) - 1)
-        while True:  # halve what shares the high part until one place is left
-            open_ = np.flatnonzero(begin < end)
-            if not len(open_):
-                break
-            middle = (begin[open_] + end[open_]) >> 1
-            less = self._low(middle) < low[open_]
-            begin[open_] = np.where(less, middle + 1, begin[open_])
-            end[open_] = np.where(less, end[open_], middle)
-        return np.where(beyond, self.n, begin)
+        begin, end = self._sharing(np.minimum(high, self.top))
+        place = self._first_low(low, begin, end)
+        fits = np.flatnonzero((place < end) & (high <= self.top))
+        found = np.full(len(target), -1, np.int64)
+        same = fits[self._low(place[fits]) == low[fits]]
+        found[same] = place[same]
+        return found
 
 
 #: A step of quantisation in log10; the codes reach down to 10 ** -19.5.
@@ -120,10 +163,9 @@ class WordLevel:
         """Counts; 0 for a word that isn't there."""
         found = np.zeros(len(hashes), np.int64)
         if len(self.counts):
-            place = self.hashes.next_geq(hashes)
-            inside = np.flatnonzero(place < self.hashes.n)
-            same = inside[self.hashes[place[inside]] == hashes[inside]]
-            found[same] = self.counts[place[same]]
+            place = self.hashes.find(hashes)
+            some = place >= 0
+            found[some] = self.counts[place[some]]
         return found
 
 
@@ -137,14 +179,15 @@ class NgramTrie:
     Levels are written to a file and mapped, so what they were built from can be let go.
     """
 
-    def __init__(self, heads: np.ndarray, word: np.ndarray, codes: np.ndarray):
-        """``word`` and ``codes`` of the successors, context by context and in rising order within each;
-        ``heads`` is where each context's successors begin, the number of successors last."""
+    def __init__(self, heads: np.ndarray, words: np.ndarray, word: np.ndarray, codes: np.ndarray):
+        """``word`` (as places in the sorted ``words``) and ``codes`` of the successors, context by context and in rising
+        order within each; ``heads`` is where each context's successors begin, the number of successors last."""
         self._file = tempfile.TemporaryFile()
         sizes = np.diff(heads)
-        words, number = np.unique(word, return_inverse=True)
-        self.words = self._store(words)
-        number = number.astype(np.uint64)
+        held = np.zeros(len(words), bool)
+        held[word] = True
+        self.words = self._store(words[held])
+        number = (np.cumsum(held) - 1)[word].astype(np.uint64)
         # Each context's numbers start above the last value of the context before it.
         lasts = number[heads[1:] - 1] + ONE
         base = np.concatenate([[0], np.cumsum(lasts)[:-1]]).astype(np.uint64) if len(lasts) else lasts
@@ -162,24 +205,26 @@ class NgramTrie:
         os.pwrite(self._file.fileno(), x, start)
         return np.memmap(self._file, x.dtype, "r", start, x.shape)
 
-    def places(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The places of (context number, word) pairs in the level, -1 where it has none; context numbers rise."""
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """The successors' numbers of words, -1 for a word that follows no context."""
+        if not len(self.words):
+            return np.full(len(words), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, at, -1)
+
+    def places(self, context: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """The places of (context number, successor number) pairs in the level, -1 where it has none; contexts rise."""
         found = np.full(len(context), -1, np.int64)
-        if not len(self.words) or not len(context):
-            return found
-        at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-        can = np.flatnonzero(self.words[at] == word)
+        can = np.flatnonzero((context >= 0) & (number >= 0))
         if not len(can):
             return found
         own = context[can]
         first = np.flatnonzero(np.diff(own, prepend=-1))
         times = np.diff(np.append(first, len(own)))
-        target = at[can].astype(np.uint64) + np.repeat(self.base[own[first]], times)
+        target = number[can].astype(np.uint64) + np.repeat(self.base[own[first]], times)
         end = np.repeat(self.pointers[own[first] + 1].astype(np.int64), times)
-        place = self.level.next_geq(target)
-        inside = np.flatnonzero(place < end)
-        same = inside[self.level[place[inside]] == target[inside]]
-        found[can[same]] = place[same]
+        place = self.level.find(target)
+        found[can] = np.where(place < end, place, -1)
         return found
 
     def codes_at(self, place: np.ndarray) -> np.ndarray:

@@ -33,7 +33,6 @@ from collections import defaultdict
 from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -52,7 +51,7 @@ END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
 ORDER = 3
 #: The strength s_k of each order's prior, chosen on held-out text; beyond the third order the last one holds.
 STRENGTHS = {2: 1000.0, 3: 30.0}
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 SHARD_TOKENS = 1_000_000
 FAN = 256
 MESSAGE = "dest long, sender long, parcel binary, extra long"
@@ -73,12 +72,12 @@ def _unpack(x: bytes, kind) -> np.ndarray:
 
 def _planes(x: np.ndarray) -> bytes:
     """Numbers as their lowest bytes, next bytes and so on, since the higher ones are mostly equal."""
-    return _pack(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T)
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
 
 
-def _from_planes(blob: bytes, kind: str) -> np.ndarray:
-    found = _unpack(blob, np.uint8)
-    return np.ascontiguousarray(found.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+def _from_planes(raw: memoryview, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
 
 
 class Form:
@@ -95,14 +94,15 @@ class Form:
 
     def dump(self, parcel: Parcel) -> bytes:
         columns = (*parcel.index, *parcel.groups, *parcel.items)
-        cells = [_planes(np.diff(x.astype("i8", copy=False), prepend=0) if kind == "d8" else x.astype(kind, copy=False)) for kind, x in zip(self.kinds, columns, strict=True)]
-        return struct.pack(f"<{len(cells)}I", *map(len, cells)) + b"".join(cells)
+        cells = [_planes(np.diff(x.astype("i8", copy=False), prepend=0) if kind == "d8" else np.ascontiguousarray(x, kind)) for kind, x in zip(self.kinds, columns, strict=True)]
+        return struct.pack(f"<{len(cells)}I", *map(len, cells)) + zstandard.ZstdCompressor(level=1).compress(b"".join(cells))
 
     def load(self, blob: bytes) -> Parcel:
         sizes = struct.unpack_from(f"<{len(self.kinds)}I", blob)
-        at, found = 4 * len(sizes), []
+        body = memoryview(zstandard.ZstdDecompressor().decompress(memoryview(blob)[4 * len(sizes) :]))
+        at, found = 0, []
         for kind, size in zip(self.kinds, sizes, strict=True):
-            cell = memoryview(blob)[at : at + size]
+            cell = body[at : at + size]
             at += size
             found.append(np.cumsum(_from_planes(cell, "i8")) if kind == "d8" else _from_planes(cell, kind))
         n, g = len(self.INDEX), len(self.groups)
@@ -155,8 +155,12 @@ def _gathered(sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndar
 ASK_WORDS, ANSWER_WORDS = Form(("u8", "u4"), ()), Form(("u8", "i8"), ())
 #: A context's place, home shard, number of items and count, and each next word, the block's count and the code one
 #: order below; the n-gram's count, place and code.
-ASK, ANSWER = Form(("d8", "u4", "u4", "u8"), ("i8", "u4", "u2")), Form((), ("u8", "d8", "u2"))
-#: The place of the beginning of texts, which no word has.
+ASK, ANSWER = Form(("d8", "u4", "u4", "u8"), ("i8", "u4", "u2")), Form((), ("u2", "u8", "d8"))
+#: Of the last order only codes are asked.
+LAST_ANSWER = Form((), ("u2",))
+#: An id is a shard and, in its lower bits, a place there. No word has the place of the beginning of texts.
+PLACE_BITS = 40
+PLACES = (1 << PLACE_BITS) - 1
 BEGIN_PLACE = 1 << 38
 
 
@@ -210,11 +214,6 @@ def _messages(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, _MESSAGE, strict=True)], schema=_MESSAGE)
 
 
-def _ranks(x: np.ndarray) -> np.ndarray:
-    """The rank of each number among the different ones."""
-    return np.unique(x, return_inverse=True)[1]
-
-
 def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
@@ -283,8 +282,8 @@ def make_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
 class Scale:
     """The few numbers that hold for the whole corpus."""
 
-    def __init__(self, tokens: int, known: int, begins: int, shard_tokens: int, strengths: dict[int, float]):
-        self.tokens, self.known, self.begins, self.shard_tokens = tokens, known, begins, shard_tokens
+    def __init__(self, tokens: int, known: int, begins: int, shard_tokens: int, order: int, strengths: dict[int, float]):
+        self.tokens, self.known, self.begins, self.shard_tokens, self.order = tokens, known, begins, shard_tokens, order
         self.shards = tokens // shard_tokens + 1
         self.strengths = strengths
 
@@ -326,32 +325,37 @@ class Block:
         return Level(self.tokens, np.zeros(0, int), np.arange(len(self.words)), np.append(seen, self.begins))
 
     def settled_words(self, answers: list[bytes], scale: Scale) -> Level:
-        level = self.words_level()
+        """The words' counts, ids and codes. The block's words are put in the order of their ids, new ones first."""
         n = len(self.words)
         shard = _shard_of(self.words, scale.shards)
         order = np.argsort(shard, kind="stable")
         shard = shard[order]
-        level.count, level.ids = np.zeros(n + 1, np.int64), np.full(n + 1, -1, np.int64)
-        level.count[n], level.ids[n] = scale.begins, BEGIN_PLACE * scale.shards
+        count, ids = np.zeros(n, np.int64), np.full(n, -1, np.int64)
         for parcel in map(ANSWER_WORDS.load, answers):
             firsts = np.searchsorted(shard, parcel.shard)
             at = 0
             for s, first, size in zip(parcel.shard.tolist(), firsts.tolist(), parcel.index[2].tolist(), strict=True):
                 places = order[first : first + size]
-                level.count[places] = parcel.groups[0][at : at + size]
-                level.ids[places] = parcel.groups[1][at : at + size] * scale.shards + s
+                count[places], rank = parcel.groups[0][at : at + size], parcel.groups[1][at : at + size]
+                ids[places] = np.where(rank >= 0, s << PLACE_BITS | rank, -1)
                 at += size
+        order = np.argsort(ids, kind="stable")
+        place = np.empty(n, np.int32)
+        place[order] = np.arange(n, dtype=np.int32)
+        self.words, self.tokens = self.words[order], place[self.tokens]
+        level = self.words_level()
+        level.count, level.ids = np.append(count[order], scale.begins), np.append(ids[order], BEGIN_PLACE)
         level.code = quantised((level.count[:n] + 1) / (scale.tokens + scale.known + 1))
         return level
 
     def above(self, below: Level, words: Level, order: int) -> Level:
-        """The level of the next order."""
+        """The level of the next order. Its n-grams are in the order of their contexts' ids, then of the words' ids."""
         context = np.empty(len(self.tokens), np.int64)
         context[1:] = below.item[:-1]
         context[self.heads] = len(self.words) if order == 2 else -1
         has = np.flatnonzero(context >= 0)
         width = len(self.words)
-        item, keys = pd.factorize(context[has] * width + self.tokens[has])
+        keys, item = np.unique(context[has] * width + self.tokens[has], return_inverse=True)
         first = np.empty(len(keys), np.int64)
         first[item[::-1]] = has[::-1]
         of_token = np.full(len(self.tokens), -1, np.int32)
@@ -364,12 +368,11 @@ class Block:
     def dealt(self, level: Level, scale: Scale) -> tuple[np.ndarray, np.ndarray]:
         """(items, shards): the items that are asked about, by shard, context and word."""
         items = np.flatnonzero((level.total > 0) & (level.word_ids >= 0))
-        context, word = level.context_ids[items], level.word_ids[items]
+        shard = level.context_ids[items] >> PLACE_BITS
         parts = level.total[items] // max(1, scale.shard_tokens // 2) + 1
-        shard = (context % scale.shards + word % parts) % scale.shards
-        # Ranks of contexts and words make one key of the three.
-        key = (shard * len(items) + _ranks(context)) * len(self.words) + _ranks(word)
-        order = np.argsort(key)
+        many = np.flatnonzero(parts > 1)
+        shard[many] = (shard[many] + (level.word_ids[items[many]] & PLACES) % parts[many]) % scale.shards
+        order = np.argsort(shard, kind="stable")
         return items[order], shard[order]
 
     def question(self, level: Level, scale: Scale) -> Parcel | None:
@@ -383,23 +386,24 @@ class Block:
         sizes = np.diff(np.append(groups, len(items)))
         ends = np.append(groups[pieces], len(items))
         index = [np.full(len(pieces), self.number), shard[groups[pieces]], np.diff(np.append(pieces, len(groups))), np.diff(ends)]
-        place, home = np.divmod(context[groups], scale.shards)
-        return Parcel(index, [place, home, sizes, level.total[items[groups]]], [level.word_ids[items], level.seen[items], level.lower[items]])
+        return Parcel(index, [context[groups] & PLACES, context[groups] >> PLACE_BITS, sizes, level.total[items[groups]]], [level.word_ids[items], level.seen[items], level.lower[items]])
 
-    def settle(self, level: Level, order: int, answers: list[bytes], scale: Scale) -> None:
-        """Counts, ids and codes of a level; what wasn't asked about isn't in the training part."""
+    def settle(self, level: Level, order: int, answers: list[bytes], scale: Scale, last: bool) -> None:
+        """Codes of a level and, but for the last, counts and ids; what wasn't asked about isn't in the training part."""
         items, shard = self.dealt(level, scale)
         strength = scale.strength(order)
         level.count, level.ids = np.zeros(len(level.word), np.int64), np.full(len(level.word), -1, np.int64)
         level.code = quantised(strength * 10 ** log10_of(level.lower) / (level.total + strength))
-        for parcel in map(ANSWER.load, answers):
+        for parcel in map((LAST_ANSWER if last else ANSWER).load, answers):
             firsts = np.searchsorted(shard, parcel.shard)
             at = 0
             for s, first, size in zip(parcel.shard.tolist(), firsts.tolist(), parcel.index[3].tolist(), strict=True):
                 places = items[first : first + size]
-                count, place, code = (x[at : at + size] for x in parcel.items)
-                level.count[places], level.code[places] = count, code
-                level.ids[places] = np.where(count > 0, place * scale.shards + s, -1)
+                code, *more = (x[at : at + size] for x in parcel.items)
+                level.code[places] = code
+                if more:
+                    level.count[places] = more[0]
+                    level.ids[places] = np.where(more[0] > 0, s << PLACE_BITS | more[1], -1)
                 at += size
 
     def levels(self, answers: list[list[bytes]], scale: Scale, order: int) -> list[Level]:
@@ -408,7 +412,7 @@ class Block:
         for k in range(2, order + 1):
             found.append(self.above(found[-1], found[0], k))
             if len(answers) >= k:
-                self.settle(found[-1], k, answers[k - 1], scale)
+                self.settle(found[-1], k, answers[k - 1], scale, k == scale.order)
         return found
 
 
@@ -437,47 +441,46 @@ def _serve_words(parcels: list[Parcel]) -> tuple[list[Parcel], int]:
     # Frequent words get small ranks, which take less room in the messages to come.
     rank = np.full(len(words), -1, np.int64)
     rank[known[np.argsort(-totals[known], kind="stable")]] = np.arange(len(known))
-    # An unknown word has no rank; its id, rank times shards plus shard, is negative too.
     counts, ranks = level.lookup(words)[inverse], rank[inverse]
     cuts = np.cumsum([len(h) for h in hashes])[:-1]
     return [Parcel(p.index, [c, r], []) for p, c, r in zip(parcels, np.split(counts, cuts), np.split(ranks, cuts), strict=True)], len(known)
 
 
-def _serve(strength: float, shards: int):
+def _serve(strength: float, last: bool):
     """Answers of a shard of one order: it adds up the blocks' counts, builds its part of the trie, and looks up."""
 
     def serve(parcels: list[Parcel]) -> tuple[list[Parcel], int]:
-        column = lambda k: np.concatenate([p.groups[k] for p in parcels])
-        contexts, own = np.unique(column(0) * shards + column(1), return_inverse=True)
+        group, item = (lambda k: np.concatenate([p.groups[k] for p in parcels])), (lambda k: np.concatenate([p.items[k] for p in parcels]))
+        contexts, own = np.unique(group(1).astype(np.int64) << PLACE_BITS | group(0), return_inverse=True)
         total = np.zeros(len(contexts), np.float64)
-        total[own] = column(3)
-        if len(contexts) >= 1 << 24:
-            raise ValueError("a shard has too many contexts; lower shard_tokens")
-        # A context's number and the word's id are one key.
-        key = np.repeat(own, column(2)) << 40 | np.concatenate([p.items[0] for p in parcels])
+        total[own] = group(3)
+        words, number = np.unique(item(0), return_inverse=True)
+        # Contexts and words by their numbers in the shard are one key.
+        key = np.repeat(own, group(2)) << 32 | number
+        del own, number
         ngrams, inverse = np.unique(key, return_inverse=True)
-        del key, own
-        counts = np.bincount(inverse, weights=np.concatenate([p.items[1] for p in parcels]), minlength=len(ngrams))
+        del key
+        counts = np.bincount(inverse, weights=item(1), minlength=len(ngrams))
         lower = np.zeros(len(ngrams), np.uint16)
-        lower[inverse] = np.concatenate([p.items[2] for p in parcels])
-        context, word = ngrams >> 40, ngrams & ((1 << 40) - 1)
+        lower[inverse] = item(2)
+        context, word = ngrams >> 32, ngrams & 0xFFFFFFFF
         del ngrams
         share = strength * 10 ** log10_of(lower)
         del lower
         known = np.flatnonzero(counts > 0)
         heads = np.flatnonzero(np.diff(context[known], prepend=-1))
-        number = np.full(len(contexts), -1, np.int64)
-        number[context[known[heads]]] = np.arange(len(heads))
-        trie = NgramTrie(np.append(heads, len(known)), word[known], quantised((counts[known] + share[known]) / (total[context[known]] + strength)))
-        inside = np.flatnonzero(number[context] >= 0)
-        place = np.full(len(context), -1, np.int64)
-        place[inside] = trie.places(number[context[inside]], word[inside])
+        own = np.full(len(contexts), -1, np.int64)
+        own[context[known[heads]]] = np.arange(len(heads))
+        trie = NgramTrie(np.append(heads, len(known)), words, word[known], quantised((counts[known] + share[known]) / (total[context[known]] + strength)))
+        place = trie.places(own[context], trie.numbers(words)[word])
         codes = trie.codes_at(place)
         new = np.flatnonzero(place < 0)  # an n-gram that the trie doesn't hold backs off
         codes[new] = quantised(share[new] / (total[context[new]] + strength))
-        place[new] = np.maximum.accumulate(place)[new]  # not read, and close to the others
-        del share, word, context
-        columns = counts.astype(np.uint64)[inverse], place[inverse], codes[inverse]
+        del share, word, context, trie
+        columns = [codes[inverse]]
+        if not last:
+            place[new] = np.maximum.accumulate(place)[new]  # isn't read, and close to the others takes no room
+            columns += [counts.astype(np.uint64)[inverse], place[inverse]]
         cuts = np.cumsum([len(p.items[0]) for p in parcels])[:-1]
         return [Parcel(p.index, [], list(x)) for p, *x in zip(parcels, *(np.split(x, cuts) for x in columns), strict=True)], 0
 
@@ -494,6 +497,7 @@ def _ask(state: DataFrame, order: int, scale: Scale, route: Route) -> DataFrame:
                 if parcel:
                     yield route.messages(parcel, block.number, ASK)
                 del block, level, parcel
+                trim()
 
     return state.mapInArrow(run, MESSAGE)
 
@@ -512,7 +516,7 @@ def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS,
     tables = Bucketed(spark, "block")
     blocks = tables.store(make_blocks(docs.select("doc_id", held.alias("held"), "text"), block_tokens).repartition(tables.buckets, "block"))
     size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_begins").alias("b"), F.count(F.lit(1)).alias("k")).first()
-    scale = Scale(int(size["n"] or 0), 0, int(size["b"] or 0), shard_tokens, strengths or STRENGTHS)
+    scale = Scale(int(size["n"] or 0), 0, int(size["b"] or 0), shard_tokens, order, strengths or STRENGTHS)
     route = Route(scale.shards, size["k"], fan)
     words = tables.store(_by_block(route.exchange(_ask_words(blocks, scale, route), ASK_WORDS, ANSWER_WORDS, _serve_words), 1))
     scale.known = int(words.agg(F.sum("extra1")).first()[0] or 0)
@@ -520,7 +524,7 @@ def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS,
     for k in range(2, order + 1):
         release(spark)
         needed = state.drop("doc_ids", "n_train", "n_begins")
-        answers = _by_block(route.exchange(_ask(needed, k, scale, route), ASK, ANSWER, _serve(scale.strength(k), scale.shards)), k).drop(f"extra{k}")
+        answers = _by_block(route.exchange(_ask(needed, k, scale, route), ASK, LAST_ANSWER if k == order else ANSWER, _serve(scale.strength(k), k == order)), k).drop(f"extra{k}")
         state = state.join(tables.store(answers) if k < order else answers, "block", "left")
     schema = T.StructType([
         docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
@@ -545,6 +549,7 @@ def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS,
                 cells = [row["doc_ids"], block.held, block.lengths.astype(np.int64), np.add.reduceat(known, heads), np.full(len(heads), scale.tokens), np.add.reduceat(base, heads), np.add.reduceat(logs, heads)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cells, wanted, strict=True)], schema=wanted)
                 del block, levels, base, logs
+                trim()
 
     scored = stored(state.drop("n_train", "n_begins").mapInArrow(run, schema), "scores")
     tables.drop()

@@ -22,7 +22,9 @@ def test_elias_fano(values, targets):
     ef = EliasFano(values)
     assert (ef[np.arange(len(values))] == values).all()
     probe = np.concatenate([np.array(targets, np.uint64), values, values + np.uint64(1)])
-    assert (ef.next_geq(probe) == np.searchsorted(values, probe, "left")).all()
+    place = np.searchsorted(values, probe, "left")
+    assert (ef.next_geq(probe) == place).all()
+    assert (ef.find(probe) == [p if p < len(values) and values[p] == x else -1 for p, x in zip(place, probe, strict=True)]).all()
 
 
 def test_elias_fano_dense():
@@ -40,9 +42,10 @@ def test_trie_lookups():
     present = np.unique(v)
     heads = np.append(np.searchsorted(v, present), len(v))
     p = np.array([pairs[k] / 60 for k in keys])
-    trie = NgramTrie(heads, w * np.uint64(977), quantised(p))
+    words = np.unique(w)
+    trie = NgramTrie(heads, words * np.uint64(977), np.searchsorted(words, w), quantised(p))
     asked = [(k, b) for k in range(len(present)) for b in range(310)]
-    codes = trie.codes_at(trie.places(np.array([k for k, _ in asked]), np.array([b for _, b in asked], np.uint64) * np.uint64(977)))
+    codes = trie.codes_at(trie.places(np.array([k for k, _ in asked]), trie.numbers(np.array([b for _, b in asked], np.uint64) * np.uint64(977))))
     true = [pairs.get((int(present[k]), b), 0) / 60 for k, b in asked]
     assert [c > 0 for c in codes] == [t > 0 for t in true]
     assert all(abs(log10_of(c) - math.log10(t)) < 2e-4 for c, t in zip(codes, true, strict=True) if t)
