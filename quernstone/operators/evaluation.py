@@ -8,6 +8,113 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quernstone.functions import similarity as S
+from quernstone.functions import text as X
+from quernstone.functions.rules import first_case, let, looked_up
+from quernstone.operators import ontology
+
+# Classes of the evaluation, spellings of them, and words that tell one.
+EVAL_TYPES = [
+    "Thing", "Place", "Organization", "Service", "Concept", "Event", "TouristAttraction", "Monument", "Museum", "Castle", "Alcazar", "Basilica", "Cathedral", "Church", "Chapel", "ArcheologicalSite",
+    "HistoricalOrCulturalResource", "Square", "TownHall", "BullRing", "SportsCenter", "CultureCenter", "ExhibitionHall", "EducationalCenter", "DestinationExperience", "RetailAndFashion", "TourismService",
+    "Accommodation", "AccommodationEstablishment", "FoodEstablishment", "TransportInfrastructure", "EventOrganisationCompany", "EventAttendanceFacility", "PublicService", "Stadium",
+]
+EVAL_ALIASES = {
+    "hotel": "AccommodationEstablishment", "hostel": "AccommodationEstablishment", "hostal": "AccommodationEstablishment", "apartamento turistico": "AccommodationEstablishment", "apartments": "AccommodationEstablishment",
+    "restaurant": "FoodEstablishment", "restaurante": "FoodEstablishment", "bar": "FoodEstablishment", "cafeteria": "FoodEstablishment", "mercado gastronomico": "FoodEstablishment", "museum": "Museum", "museo": "Museum",
+    "monument": "Monument", "monumento": "Monument", "castle": "Castle", "castillo": "Castle", "alcazar": "Alcazar", "basilica": "Basilica", "cathedral": "Cathedral", "catedral": "Cathedral", "church": "Church",
+    "iglesia": "Church", "chapel": "Chapel", "capilla": "Chapel", "square": "Square", "plaza": "Square", "townhall": "TownHall", "ayuntamiento": "TownHall", "bullring": "BullRing", "plaza de toros": "BullRing",
+    "sports center": "SportsCenter", "polideportivo": "SportsCenter", "culture center": "CultureCenter", "centro cultural": "CultureCenter", "exhibition hall": "ExhibitionHall", "sala de exposiciones": "ExhibitionHall",
+    "educational center": "EducationalCenter", "academia": "EducationalCenter", "school": "EducationalCenter", "festival": "Event", "concierto": "Event", "evento": "Event", "destination experience": "DestinationExperience",
+    "tourism service": "TourismService", "servicio turistico": "TourismService", "retail": "RetailAndFashion", "fashion": "RetailAndFashion", "shopping": "RetailAndFashion", "taxi": "TransportInfrastructure",
+    "bus": "TransportInfrastructure", "train station": "TransportInfrastructure", "estacion": "TransportInfrastructure", "airport": "TransportInfrastructure", "public service": "PublicService", "parking": "PublicService",
+    "aparcamiento": "PublicService", "stadium": "Stadium", "estadio": "Stadium", "event organisation company": "EventOrganisationCompany", "event organization company": "EventOrganisationCompany",
+    "organizador de eventos": "EventOrganisationCompany",
+}
+EVAL_WORDS = [
+    ("plaza de toros", "BullRing"), ("centro cultural", "CultureCenter"), ("sala de exposiciones", "ExhibitionHall"), ("bus turistico", "TransportInfrastructure"), ("autobus turistico", "TransportInfrastructure"),
+    ("aparcamiento", "PublicService"), ("parking", "PublicService"), ("festival", "Event"), ("concierto", "Event"), ("evento", "Event"), ("hotel", "AccommodationEstablishment"), ("hostal", "AccommodationEstablishment"),
+    ("restaurante", "FoodEstablishment"), ("cafeteria", "FoodEstablishment"), ("academia", "EducationalCenter"), ("museo", "Museum"), ("monumento", "Monument"), ("castillo", "Castle"), ("alcazar", "Alcazar"),
+    ("basilica", "Basilica"), ("catedral", "Cathedral"), ("iglesia", "Church"), ("capilla", "Chapel"), ("plaza", "Square"), ("ayuntamiento", "TownHall"), ("taxi", "TransportInfrastructure"), ("estadio", "Stadium"),
+]
+EVAL_CONTEXT = [
+    ("taxi", "TransportInfrastructure"), ("bus turistico", "TransportInfrastructure"), ("autobus turistico", "TransportInfrastructure"), ("festival", "Event"), ("concierto", "Event"), ("seminario", "Event"),
+    ("congreso", "Event"), ("hotel", "AccommodationEstablishment"), ("hostal", "AccommodationEstablishment"), ("apartamento", "AccommodationEstablishment"), ("restaurante", "FoodEstablishment"),
+    ("cafeteria", "FoodEstablishment"), ("mercado", "FoodEstablishment"), ("academia", "EducationalCenter"), ("colegio", "EducationalCenter"), ("centro cultural", "CultureCenter"), ("sala de exposiciones", "ExhibitionHall"),
+    ("museo", "Museum"), ("castillo", "Castle"), ("alcazar", "Alcazar"), ("capilla", "Chapel"), ("catedral", "Cathedral"), ("iglesia", "Church"), ("basilica", "Basilica"), ("plaza de toros", "BullRing"),
+    ("aparcamiento", "PublicService"), ("parking", "PublicService"), ("estadio", "Stadium"),
+]
+
+# Types that the looser comparison takes for another, in lower case.
+TYPE_EQUIVALENCES = {
+    "accomodationestablishment": "accommodationestablishment", "culturecentre": "culturecenter", "exibitionhall": "exhibitionhall", "eductionalcenter": "educationalcenter", "foodestablisment": "foodestablishment",
+    "townh": "townhall", "tourismentity": "place", "thing": "place", "location": "place", "concept": "place", "touristattractionsite": "touristattraction", "historicalorculturalresource": "touristattraction",
+    "culturalheritage": "touristattraction", "tourismresource": "touristattraction", "tourismorrelatedfacility": "tourismservice", "eventattendancefacility": "event", "partyandentertainmentfacility": "event",
+    "localbusiness": "organization", "passengertransportcompany": "transportinfrastructure", "publictransportstop": "transportinfrastructure", "vehiclerentalcompany": "transportinfrastructure",
+    "privatehirecompany": "transportinfrastructure", "aparthotel": "accommodationestablishment", "hostel": "accommodationestablishment", "hotel": "accommodationestablishment", "residence": "accommodationestablishment",
+    "restaurant": "foodestablishment",
+}
+
+
+def _folded(c: Column) -> Column:
+    """Lower case without accents; underscores, hyphens and slashes are spaces."""
+    return F.trim(F.regexp_replace(F.regexp_replace(X.strip_accents(F.lower(F.trim(F.coalesce(c, F.lit(""))))), r"[_\-/]+", " "), r"\s+", " "))
+
+
+def eval_type(c: Column) -> Column:
+    """The evaluation's class of a raw one: itself, by alias, by a word in it, or by its words run together; else Thing."""
+    def judged(x: Column) -> Column:
+        words = F.filter(F.split(x["raw"], r"[_\-\s]+"), lambda w: w != "")
+        joined = F.concat_ws("", F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))))
+        told = first_case([(cls, F.contains(x["key"], F.lit(word))) for word, cls in EVAL_WORDS], None)
+        known = lambda v: F.when(v.isin(EVAL_TYPES), v)
+        return F.coalesce(known(x["raw"]), looked_up(EVAL_ALIASES, x["key"]), told, known(joined), F.lit("Thing"))
+
+    return let(judged, raw=F.trim(F.coalesce(c, F.lit(""))), key=_folded(c))
+
+
+def eval_type_in_context(c: Column, name: Column, page_text: Column) -> Column:
+    """The evaluation's class, or where it is Thing the one that the name or the page tells."""
+    def judged(x: Column) -> Column:
+        told = first_case([(cls, x["said"].rlike(rf"\b{word}\b")) for word, cls in EVAL_CONTEXT], "Thing")
+        return F.when(x["cls"] != "Thing", x["cls"]).otherwise(told)
+
+    blank = lambda v: F.coalesce(v, F.lit(""))
+    return let(judged, cls=eval_type(c), said=_folded(F.concat_ws(" ", blank(name), blank(page_text))))
+
+
+def equivalent_type(c: Column) -> Column:
+    """A type in lower case without its address, by its equivalence where it has one."""
+    text = X.squeeze(F.regexp_replace(X.strip_accents(F.lower(F.trim(F.coalesce(c, F.lit(""))))), r"[^a-z0-9\s\-_#/.:]", " "))
+    local = F.when(F.contains(text, F.lit("#")), F.substring_index(text, "#", -1)).otherwise(F.substring_index(F.regexp_replace(text, "/+$", ""), "/", -1))
+    return let(lambda x: F.coalesce(looked_up(TYPE_EQUIVALENCES, x["local"]), x["local"]), local=local)
+
+
+def best_pairs(truth: DataFrame, found: DataFrame, reach: DataFrame, name_weight: float = 0.35, class_weight: float = 0.65) -> DataFrame:
+    """Each true entity (gt_id, url, name, type) with its best prediction (url, name, type, rank) on the same page.
+
+    Best is by overall, class and name similarity, then by the smaller rank; ``reach`` is the taxonomy's closure. An
+    entity without a prediction on its page comes with nulls. Distances are looked up for the pairs of classes at hand.
+    """
+    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"[^\p{L}\p{N}_\s]", " "), r"\s+", " "))
+    left = truth.select("gt_id", "url", F.col("name").alias("gt_name"), eval_type(F.col("type")).alias("gt_type"), X.eval_name(F.col("name")).alias("gt_key"))
+    right = found.select("url", F.col("name").alias("pred_name"), eval_type(F.col("type")).alias("pred_type"), X.eval_name(F.col("name")).alias("pred_key"), "rank")
+    pairs = left.join(right, "url", "left")
+    asked = pairs.filter("pred_type IS NOT NULL").select(F.col("gt_type").alias("source"), F.col("pred_type").alias("target")).distinct()
+    measured = ontology.distances_of(reach, asked)
+    same = F.coalesce(F.col("gt_type") == F.col("pred_type"), F.lit(False))
+    joined = pairs.join(measured.withColumnsRenamed({"source": "gt_type", "target": "pred_type"}), ["gt_type", "pred_type"], "left")
+    distance = F.when(same, F.lit(0)).otherwise(F.col("distance"))
+    close = F.when(same, 1.0).when(F.col("pred_type").isNull(), None).otherwise(F.round(ontology.similarity(F.coalesce("distance", F.lit(999)), F.col("gt_type"), F.col("pred_type"), F.coalesce("depth_gap", F.lit(0))), 6))
+    scored = joined.withColumn("class_distance", distance.cast("long")).withColumn("class_similarity", close).withColumn("name_similarity", F.round(S.ratio(plain(F.col("gt_key")), plain(F.col("pred_key"))), 6))
+    scored = scored.withColumn("global_similarity", F.round(name_weight * F.col("name_similarity") + class_weight * F.col("class_similarity"), 6))
+    columns = ["url", "gt_name", "gt_type", "pred_name", "pred_type", "rank", "class_distance", "class_similarity", "name_similarity", "global_similarity", (F.col("gt_key") == F.col("pred_key")).alias("exact_name"), same.alias("exact_type")]
+    order = F.struct("global_similarity", "class_similarity", "name_similarity", -F.coalesce("rank", F.lit(9999)), "pred_name")
+    best = scored.groupBy("gt_id").agg(F.max_by(F.struct(*columns), order).alias("x"), F.first(F.struct("url", "gt_name", "gt_type"), True).alias("t"))
+    own = lambda c: F.coalesce(f"x.{c}", f"t.{c}").alias(c)
+    rest = ["pred_name", "pred_type", "rank", "class_distance", "class_similarity", "name_similarity", "global_similarity", "exact_name", "exact_type"]
+    return best.select("gt_id", own("url"), own("gt_name"), own("gt_type"), *[F.col(f"x.{c}").alias(c) for c in rest]).withColumn("exact_match", F.col("exact_name") & F.col("exact_type"))
+
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))

@@ -20,11 +20,11 @@ def closure(edges: DataFrame, max_rounds: int = 16) -> DataFrame:
     """
     nodes = edges.select(F.col("child").alias("class")).union(edges.select("parent")).distinct()
     direct = edges.select(F.col("child").alias("class"), F.col("parent").alias("ancestor"), F.lit(1).alias("steps"))
-    reach = stored(nodes.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("steps")).unionByName(direct).coalesce(1), "reach")
+    reach = stored(nodes.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("steps")).unionByName(direct), "reach")
     known = reach.count()
     for _ in range(max_rounds):
         far = reach.alias("a").join(reach.alias("b"), F.col("a.ancestor") == F.col("b.class")).select(F.col("a.class"), F.col("b.ancestor"), (F.col("a.steps") + F.col("b.steps")).alias("steps"))
-        reach = stored(far.groupBy("class", "ancestor").agg(F.min("steps").alias("steps")).coalesce(1), "reach")
+        reach = stored(far.groupBy("class", "ancestor").agg(F.min("steps").alias("steps")), "reach")
         before, known = known, reach.count()
         if known == before:
             break
@@ -51,6 +51,16 @@ def distances(reach: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("a.class").alias("source"), F.col("b.class").alias("target")).agg(F.min(total).cast("long").alias("distance"), F.max_by(F.col("a.ancestor"), F.col("a.depth")).alias("lca"))
 
 
+def distances_of(reach: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(source, target, distance, depth_gap) of the pairs (source, target) that have a common ancestor."""
+    up = lambda side: reach.select(F.col("class").alias(side), "ancestor", F.col("steps").alias(f"{side}_steps"))
+    met = pairs.select("source", "target").distinct().join(up("source"), "source").join(up("target"), ["target", "ancestor"])
+    near = met.groupBy("source", "target").agg(F.min(F.col("source_steps") + F.col("target_steps")).cast("long").alias("distance"))
+    depth = reach.groupBy("class").agg(F.max("steps").alias("depth"))
+    both = near.join(depth.toDF("source", "d1"), "source").join(depth.toDF("target", "d2"), "target")
+    return both.select("source", "target", "distance", F.abs(F.col("d1") - F.col("d2")).alias("depth_gap"))
+
+
 def similarity(distance: Column, source: Column, target: Column, depth_gap: Column) -> Column:
     """1 for equal classes, falling with distance, less where a class is generic or far apart in depth."""
     base = F.when(distance == 0, 1.0).when(distance == 1, 0.83).when(distance == 2, 0.66).when(distance == 3, 0.50).when(distance == 4, 0.33).otherwise(F.greatest(F.lit(0.10), 1.0 - 0.18 * distance))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quernstone.functions import similarity as S
 from quernstone.functions import text as X
 from quernstone.functions import urls as U
 from quernstone.functions import vocabulary as V
 from quernstone.functions.rules import clamped, looked_up
+from quernstone.operators import ranking
 from quernstone.plans.components import connected_components
 from quernstone.plans.scratch import stored
 
@@ -44,12 +46,22 @@ def prepared(entities: DataFrame) -> DataFrame:
     ).withColumn("cls", X.nz(F.col("cls")))
 
 
-def blocked_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of ids that share a word of a name, an external id or a source page.
+#: A pair without a common alias or external id scores 0.70 at most.
+UNNAMED_MOST = 0.70
 
-    Without any of these a pair's score is at most 0.40, so no pair that could merge is lost.
+
+def blocked_pairs(rows: DataFrame, least: float = 0.0) -> DataFrame:
+    """Pairs of ids that can reach the score ``least``, by what they have to share.
+
+    Above UNNAMED_MOST that is an alias or an external id; below, a word of a name, an external id or a source page, without
+    any of which a pair's score is at most 0.40. So no pair that could merge is lost, and a common word blocks nothing above.
     """
-    keys = F.array_compact(F.concat(F.transform("words", lambda w: F.concat(F.lit("w:"), w)), F.array(F.concat(F.lit("x:"), F.col("external_id")), F.concat(F.lit("s:"), F.col("source")))))
+    external = F.concat(F.lit("x:"), F.col("external_id"))
+    tagged = lambda tag, c: F.transform(c, lambda w: F.concat(F.lit(tag), w))
+    if least > UNNAMED_MOST:
+        keys = F.array_compact(F.concat(tagged("a:", "aliases"), F.array(external)))
+    else:
+        keys = F.array_compact(F.concat(tagged("w:", "words"), F.array(external, F.concat(F.lit("s:"), F.col("source")))))
     keyed = rows.select("id", F.explode(F.array_distinct(keys)).alias("key"))
     return keyed.alias("a").join(keyed.alias("b"), "key").filter("a.id < b.id").select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
@@ -73,10 +85,10 @@ def match_score(l: str = "l", r: str = "r") -> Column:
     return F.when(given & equal("external_id"), 1.0).otherwise(clamped(score, 0.0, 1.0))
 
 
-def scored_pairs(entities: DataFrame) -> DataFrame:
-    """(a, b, score) of every blocked pair."""
+def scored_pairs(entities: DataFrame, least: float = 0.0) -> DataFrame:
+    """(a, b, score) of every pair that can reach the score ``least``."""
     rows = prepared(entities)
-    sides = blocked_pairs(rows).join(rows.alias("l"), F.col("a") == F.col("l.id")).join(rows.alias("r"), F.col("b") == F.col("r.id"))
+    sides = blocked_pairs(rows, least).join(rows.alias("l"), F.col("a") == F.col("l.id")).join(rows.alias("r"), F.col("b") == F.col("r.id"))
     return sides.select("a", "b", F.round(match_score(), 6).alias("score"))
 
 
@@ -95,10 +107,18 @@ def merge_entities(entities: DataFrame, threshold: float = 0.75) -> DataFrame:
 
     Components don't depend on the order of rows, unlike a first-fit merge. An entity without an external id
     that pairs with entities of different ones stays with the best pair's id, so that it doesn't join them.
+    Entities that agree in all that is compared are one before pairs are made, so many equal ones are no block.
     """
-    links = stored(one_identity(scored_pairs(entities).filter(F.col("score") >= threshold), entities), "links")
-    groups = connected_components(links).withColumnsRenamed({"node": "id", "component": "group_id"})
-    return entities.select("id").join(groups, "id", "left").select("id", F.coalesce("group_id", "id").alias("group_id"))
+    what = ["name", "class", "url", "external_id", "image", "description"]
+    alike = stored(entities.select("id", F.xxhash64(*[F.coalesce(c, F.lit("\0")) for c in what]).alias("h1"), F.sha1(F.concat_ws("\1", *[F.coalesce(c, F.lit("\0")) for c in what])).alias("h2")), "alike")
+    named = F.coalesce(F.trim("name"), F.lit("")) != ""
+    firsts = stored(alike.groupBy("h1", "h2").agg(F.min("id").alias("first")), "firsts")
+    heads = stored(entities.join(firsts.select(F.col("first").alias("id")), "id", "left_semi"), "heads")
+    links = stored(one_identity(scored_pairs(heads, threshold).filter(F.col("score") >= threshold), heads), "links")
+    groups = connected_components(links).withColumnsRenamed({"node": "first", "component": "group"})
+    unnamed = entities.filter(~named & F.col("external_id").isNull()).select("id", F.lit(True).alias("alone"))
+    merged = alike.join(firsts, ["h1", "h2"]).join(groups, "first", "left").join(unnamed, "id", "left")
+    return merged.select("id", F.when(F.col("alone"), F.col("id")).otherwise(F.coalesce("group", "first")).alias("group_id"))
 
 
 def weak_variants(entities: DataFrame, least: float = 0.45) -> DataFrame:
@@ -134,6 +154,26 @@ def near_points(points: DataFrame, km: float) -> DataFrame:
     return own.join(other, ["row", "column"]).filter("a < b").withColumn("km", far).filter(F.col("km") <= km).select("a", "b", F.round("km", 6).alias("km")).distinct()
 
 
+#: Classes that are broadcast at once.
+CLASSES = 4096
+
+
+def nearest_classes(rows: DataFrame, classes: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+    """(key, class_id, score, rank): the k nearest classes (class_id, class_vector) of each row by cosine.
+
+    Classes are counted, and taken in blocks of a bounded size; each block's best few are merged.
+    """
+    n = classes.count()
+    blocks = -(-n // CLASSES)
+    every = None
+    for block in range(max(1, blocks)):
+        some = classes if blocks <= 1 else classes.filter(F.pmod(F.xxhash64("class_id"), F.lit(blocks)) == block)
+        scored = rows.select(key, vector).join(F.broadcast(some.select("class_id", "class_vector"))).select(key, "class_id", S.cosine(F.col(vector), F.col("class_vector")).alias("score"))
+        best = ranking.top_k(scored, [key], [F.desc("score"), "class_id"], k).select(key, "class_id", "score")
+        every = best if every is None else every.unionByName(best)
+    return ranking.top_k(every, [key], [F.desc("score"), "class_id"], k) if blocks > 1 else every.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "class_id")))
+
+
 def cosine_groups(vectors: DataFrame, keys: list[str], least: float = 0.86) -> DataFrame:
     """(keys, id, head): first-fit clusters inside each block of a bounded page, in id order, by cosine with the head.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import text as X
 from quernstone.functions import urls as U
-from quernstone.operators import extract, ranking, scoring
+from quernstone.operators import extract, plausible, ranking, scoring
 from quernstone.sources import html
 from quernstone.plans.scratch import stored
 
@@ -28,6 +28,6 @@ def entities_of_pages(pages: DataFrame) -> DataFrame:
     typed = named.withColumn("primary_class", F.coalesce(X.nz(scoring.leading_class(name)), scoring.rescued_class(F.lit("Unknown"), name)))
     typed = typed.withColumn("role", scoring.mention_role(name, X.heading(F.col("h1")), context))
     evidence = scoring.evidence(name, context, F.lit(False), F.lit(False), F.lit(False))["score"]
-    scored = typed.withColumn("evidence", evidence).withColumn("reason", scoring.candidate_reason(name, F.col("primary_class"), F.col("page_type"), F.col("role")))
+    scored = typed.withColumn("evidence", evidence).withColumn("reason", plausible.candidate_verdict(name, F.col("primary_class"), F.col("page_type"), F.col("role"), context))
     judged = scored.withColumn("listing", F.col("page_type").isin("listing_page", "category_page")).withColumn("penalty", F.when(F.col("reason") == "keep", 0).otherwise(6))
     return ranking.select_per_page(judged, "page_id", [F.desc("evidence"), F.desc(F.length("name")), F.asc("pos")], "listing", "penalty").select("page_id", "url", "name", "primary_class", "page_type", "role", "evidence", "reason", "rank")

@@ -86,7 +86,7 @@ def url_plausible_link(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", U.plausible_link(link).alias("plausible"))
 
 
-_ENTITY_SQL = f"SELECT {_HOST} AS page, regexp_extract(url, '[.]([a-z]+)(/|$|[?#])', 1) AS cls FROM pages WHERE page_id % 3 <> 0"
+_ENTITY_SQL = f"SELECT {_HOST} AS page, regexp_extract(url, '[.]([a-z]+)(/|$|[?#])', 1) AS cls FROM pages WHERE regexp_matches(url, '[.][a-z]+(/|$|[?#])')"
 
 
 @REGISTRY.add(f"""WITH e AS ({_ENTITY_SQL}), p AS (SELECT DISTINCT {_HOST} AS page FROM pages),
@@ -94,15 +94,15 @@ c AS (SELECT page, cls, count(*) AS n FROM e GROUP BY ALL)
 SELECT p.page, c.cls, coalesce(c.n, 0) AS n FROM p LEFT JOIN c USING (page)""")
 def page_summary(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(U.host(F.col("url")).alias("page"), F.regexp_extract("url", r"[.]([a-z]+)(/|$|[?#])", 1).alias("cls"), "page_id")
-    return evaluation.page_summary(pages, pages.filter("page_id % 3 <> 0"), "page", "cls")
+    return evaluation.page_summary(pages, pages.filter("cls <> ''"), "page", "cls")
 
 
 @REGISTRY.add(f"""WITH e AS ({_ENTITY_SQL}), p AS (SELECT DISTINCT {_HOST} AS page FROM pages),
 c AS (SELECT page, count(*) AS n FROM e GROUP BY page)
 SELECT coalesce(c.n, 0) AS entities, count(*) AS pages FROM p LEFT JOIN c USING (page) GROUP BY 1""")
 def page_count_histogram(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(U.host(F.col("url")).alias("page"), "page_id")
-    return evaluation.count_histogram(pages, pages.filter("page_id % 3 <> 0"), "page")
+    pages = table(spark, sf_dir, "pages").select(U.host(F.col("url")).alias("page"), "url")
+    return evaluation.count_histogram(pages, pages.filter(F.col("url").rlike(r"[.][a-z]+(/|$|[?#])")), "page")
 
 
 @REGISTRY.add(f"SELECT p.page_id, p.url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = p.page_id AND d.lang = 'en')")
@@ -164,14 +164,19 @@ def page_intent_case(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", scoring.page_intent(F.lit(""), F.lit(""), F.col("url")).alias("intent"))
 
 
-@REGISTRY.add()
+@REGISTRY.add("SELECT DISTINCT trim(url) AS url FROM pages WHERE url IS NOT NULL AND trim(url) <> '' AND NOT regexp_matches(url, '[<\\]]')")
 def sitemap_expand(spark, sf_dir):
-    """Sitemaps written from the pages' own addresses: an index of hosts, and a map for each."""
-    pages = table(spark, sf_dir, "pages").select(U.host(F.col("url")).alias("host"), F.col("url").alias("loc"))
-    locs = pages.groupBy("host").agg(F.concat(F.lit("<urlset>"), F.concat_ws("", F.array_sort(F.collect_set(F.concat(F.lit("<url><loc>"), F.replace("loc", F.lit("&"), F.lit("&amp;")), F.lit("</loc></url>"))))), F.lit("</urlset>")).alias("xml"))
-    maps = locs.select(F.concat(F.lit("https://"), "host", F.lit("/sitemap.xml")).alias("url"), "xml")
-    index = maps.agg(F.concat(F.lit("<sitemapindex>"), F.concat_ws("", F.array_sort(F.collect_list(F.concat(F.lit("<loc>"), "url", F.lit("</loc>"))))), F.lit("</sitemapindex>")).alias("xml")).select(F.lit("https://index/sitemap.xml").alias("url"), "xml")
-    return files.expand_sitemaps(index.unionByName(maps), index.select("url"))
+    """Sitemaps of bounded size written from the pages' own addresses, indexes of them, and an index of indexes."""
+    locs = table(spark, sf_dir, "pages").select("url").filter("url IS NOT NULL AND trim(url) <> '' AND NOT url RLIKE '[<\\\\]]'").distinct()
+    n = locs.count()
+    tag = lambda c: F.concat(F.lit("<loc>"), F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("</loc>"))
+    written = lambda rows, root: F.concat(F.lit(f"<{root}>"), F.concat_ws("", F.array_sort(F.collect_list(rows))), F.lit(f"</{root}>")).alias("xml")
+    address = lambda kind, c: F.concat(F.lit(f"https://maps/{kind}-"), c.cast("string"), F.lit(".xml")).alias("url")
+    part = F.pmod(F.xxhash64("url"), F.lit(n // 1000 + 1)).alias("part")
+    maps = locs.groupBy(part).agg(written(F.concat(F.lit("<url>"), tag(F.col("url")), F.lit("</url>")), "urlset")).select(address("map", F.col("part")), "xml")
+    group = F.pmod(F.xxhash64("url"), F.lit(n // 1_000_000 + 1)).alias("part")
+    indexes = maps.groupBy(group).agg(written(tag(F.col("url")), "sitemapindex")).select(address("index", F.col("part")), "xml")
+    return files.expand_sitemaps(maps.unionByName(indexes), indexes.select("url"))
 
 
 @REGISTRY.add(f"WITH p AS (SELECT {_HOST} AS host, page_id, url, row_number() OVER (PARTITION BY {_HOST} ORDER BY length(url) DESC, page_id) AS rank, count(*) OVER (PARTITION BY {_HOST}) AS n FROM pages) SELECT host, page_id, rank FROM p WHERE rank <= greatest(3, least(8, n))")

@@ -84,10 +84,10 @@ def fill_if_missing_left(spark, sf_dir):
 
 
 @REGISTRY.add("""SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn FROM events e
-WHERE NOT EXISTS (SELECT 1 FROM events p WHERE p.user_id = e.user_id AND p.event_id % 97 = 0)) WHERE rn = 1""")
+WHERE NOT EXISTS (SELECT 1 FROM events p WHERE p.user_id = e.user_id AND p.event_type = 'purchase' AND p.value > 100)) WHERE rn = 1""")
 def missing_parent_anti(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
-    return ranking.rows_for_absent(events, events.filter("event_id % 97 = 0"), events, "user_id", [F.desc("value"), "event_id"]).select("user_id", "event_id")
+    return ranking.rows_for_absent(events, events.filter("event_type = 'purchase' AND value > 100"), events, "user_id", [F.desc("value"), "event_id"]).select("user_id", "event_id")
 
 
 @REGISTRY.add("""WITH k AS (SELECT doc_id, n_chars, CASE WHEN lang = 'en' AND source <> '' THEN 'classname|museum|' || source WHEN doc_id % 5 = 0 THEN 'id|' || source

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quernstone.functions import similarity as S
-from quernstone.operators import ranking, resolve
+from quernstone.operators import resolve
+from quernstone.plans.scratch import stored
 from quernstone.queries.common import Literal, Registry, quoted, table
 
 REGISTRY = Registry()
@@ -18,9 +19,18 @@ PLACES = Literal("id long, name string, class string, url string, external_id st
 ])
 
 
+def page_entities(spark, sf_dir):
+    """The entities that the page pipeline yields from all pages, as rows to be merged across pages."""
+    from quernstone.plans.pipeline import entities_of_pages
+
+    rows = entities_of_pages(table(spark, sf_dir, "pages"))
+    none = F.lit(None).cast("string")
+    return stored(rows.select(F.xxhash64("page_id", "rank").alias("id"), "name", F.col("primary_class").alias("class"), "url", none.alias("external_id"), none.alias("image"), F.col("name").alias("description")), "entities")
+
+
 @REGISTRY.add()
 def blocked_fuzzy_merge(spark, sf_dir):
-    return resolve.merge_entities(PLACES.frame(spark))
+    return resolve.merge_entities(page_entities(spark, sf_dir))
 
 
 @REGISTRY.add()
@@ -59,15 +69,14 @@ def substring_anti(spark, sf_dir):
     return extract.drop_contained(NAMES.frame(spark), ["page"])
 
 
-@REGISTRY.add("""WITH c AS (SELECT vec_id AS class_id, embedding FROM embeddings WHERE vec_id < 8),
+@REGISTRY.add("""WITH c AS (SELECT label AS class_id, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label),
 s AS (SELECT e.vec_id, c.class_id, list_cosine_similarity(e.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS score FROM embeddings e, c),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, class_id) AS rank FROM s) SELECT vec_id, class_id, round(score, 6) AS score, rank FROM r WHERE rank <= 3""")
 def cosine_topk(spark, sf_dir):
-    """Every vector against a fixed set of class vectors, which the class list bounds."""
+    """Every vector against the first vector of each label."""
     e = table(spark, sf_dir, "embeddings")
-    classes = F.broadcast(e.filter("vec_id < 8").select(F.col("vec_id").alias("class_id"), F.col("embedding").alias("class_vector")))
-    scored = e.join(classes).select("vec_id", "class_id", S.cosine(F.col("embedding"), F.col("class_vector")).alias("score"))
-    return ranking.top_k(scored, ["vec_id"], [F.desc("score"), "class_id"], 3).select("vec_id", "class_id", F.round("score", 6).alias("score"), "rank")
+    classes = stored(e.groupBy(F.col("label").alias("class_id")).agg(F.min_by("embedding", "vec_id").alias("class_vector")), "classes")
+    return resolve.nearest_classes(e, classes, "vec_id", "embedding", 3).select("vec_id", "class_id", F.round("score", 6).alias("score"), "rank")
 
 
 @REGISTRY.add()

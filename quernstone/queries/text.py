@@ -36,18 +36,20 @@ def text_mojibake(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.md5(X.repair_mojibake(F.col("text"))).alias("digest"), F.col("text").rlike("Ç|ƒ|Â").alias("had"))
 
 
-NOISY = Literal("id long, raw string", [
-    (1, "ES EN FR IT PT DE Catedral de Burgos. Leer más sobre ella"), (2, "Leer más Saber más Plaza Mayor"), (3, "Ruta del río"), (4, "Castillo Mostrar más detalles"),
-    (5, "Museo Ir a la web"), (6, "  Puente   viejo - "), (7, "Torre ES EN FR IT PT DE alta"),
-])
-
-
-@REGISTRY.add(rf"""WITH {NOISY.values('n')}, a AS (SELECT id, regexp_replace(trim(regexp_replace(raw, '\s+', ' ', 'g')), '(?i)^(\s*((ES\s*[▼▾]?\s*)?ES\s+EN\s+FR\s+IT\s+PT\s+DE\s+|(Leer|Saber|Mostrar)\s+m[aá]s\s+))+', '') AS s FROM n),
-b AS (SELECT id, trim(regexp_replace(s, '(?i)\s+(Leer|Mostrar)\s+m[aá]s( .*)?$', '')) AS s FROM a),
-c AS (SELECT id, regexp_replace(regexp_replace(s, '(?i)\bES\s+EN\s+FR\s+IT\s+PT\s+DE\b', ' ', 'g'), '(?i)\s+Ir a\s+', ' ', 'g') AS s FROM b)
-SELECT id, trim(regexp_replace(s, '\s+', ' ', 'g'), ' -|,.;:') AS cleaned FROM c""")
+_NAV = [
+    (r"(?i)^(\s*((ES\s*[▼▾]?\s*)?ES\s+EN\s+FR\s+IT\s+PT\s+DE\s+|(Leer|Saber|Mostrar)\s+m[aá]s\s+))+", ""), (r"(?i)\s+(Leer|Mostrar)\s+m[aá]s( .*)?$", ""),
+    (r"(?i)\bES\s+EN\s+FR\s+IT\s+PT\s+DE\b", " "), (r"(?i)\s+Ir a\s+", " "), (r"\s+", " "),
+]
+# Every third text gets a language bar and a call to read on, which the invented prose doesn't have.
+_NAVIGATED = "CASE WHEN doc_id % 3 = 0 THEN 'ES EN FR IT PT DE ' || text || ' Ir a inicio Leer más ahora' ELSE text END"
+_NAV_SQL = "trim(regexp_replace(" + _NAVIGATED + r", '\s+', ' ', 'g'))"
+for _pattern, _by in _NAV:
+    _NAV_SQL = f"regexp_replace({_NAV_SQL}, {quoted(_pattern)}, {quoted(_by)}, 'g')"
+
+
+@REGISTRY.add(f"SELECT doc_id, md5(trim({_NAV_SQL}, ' -|,.;:')) AS cleaned FROM documents")
 def text_nav_noise(spark, sf_dir):
-    return NOISY.frame(spark).select("id", X.strip_navigation(F.col("raw")).alias("cleaned"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(X.strip_navigation(F.expr(_NAVIGATED))).alias("cleaned"))
 
 
 _MARKERS = ["licensed under", "released under", "this work is"]
@@ -62,10 +64,10 @@ def footer_cut(spark, sf_dir):
 _EDGE = ["the", "and", "of", "to", "in", "de", "la"]
 
 
-@REGISTRY.add(rf"""WITH t AS (SELECT doc_id, trim(regexp_replace(text[1:120], '\s+', ' ', 'g')) AS s FROM documents)
-SELECT doc_id, trim(regexp_replace(regexp_replace(s, '(?i)^(({"|".join(_EDGE)})\s+)+', ''), '(?i)(\s+({"|".join(_EDGE)}))+$', ''), ' -|,;:') AS name FROM t""")
+@REGISTRY.add(rf"""WITH t AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS s FROM documents)
+SELECT doc_id, md5(trim(regexp_replace(regexp_replace(s, '(?i)^(({"|".join(_EDGE)})\s+)+', ''), '(?i)(\s+({"|".join(_EDGE)}))+$', ''), ' -|,;:')) AS name FROM t""")
 def name_edge_clean(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", X.strip_edges(F.substring("text", 1, 120), _EDGE, _EDGE).alias("name"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(X.strip_edges(F.col("text"), _EDGE, _EDGE)).alias("name"))
 
 
 @REGISTRY.add(r"SELECT doc_id, trim(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), '.')[1]) AS short, trim(regexp_replace(text, '\s+', ' ', 'g'))[1:300] AS long FROM documents")
@@ -79,9 +81,9 @@ def token_diversity(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.size(words).cast("long").alias("n_tokens"), F.size(F.array_distinct(words)).cast("long").alias("n_distinct"))
 
 
-@REGISTRY.add(r"SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text[1:60])), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')) AS slug FROM documents")
+@REGISTRY.add(r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'))) AS slug FROM documents")
 def text_slug(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", X.slug(F.substring("text", 1, 60)).alias("slug"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(X.slug(F.col("text"))).alias("slug"))
 
 
 @REGISTRY.add(f"SELECT doc_id, nullif(trim(regexp_extract(text, {quoted(P.EMAIL)})), '') AS email FROM documents")
@@ -97,26 +99,27 @@ def extract_phone(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", P.phone(F.col("text")).alias("phone"))
 
 
-OFFERS = Literal("id long, text string", [
-    (1, "Abierto 10:00 - 14:30, entrada 5,50 €, 4,5/5"), (2, "Calle Mayor 12, 31001 Pamplona, desde 1512"), (3, "lat: 42.34 lng: -3.70"), (4, "https://maps/@42.8125,-1.6458,15z"),
-    (5, "?q=40.4,-3.7"), (6, "lat: 142.0 lng: 8.0"), (7, "nada"), (8, "precio 12€ y 3/5; 9:30–20:00"),
-])
+# Whole documents, and in front of some of them an offer, which the invented prose doesn't have.
+_OFFERED = """CASE doc_id % 7 WHEN 0 THEN 'Abierto 10:00 - 14:30, entrada 5,50 €, 4,5/5. ' WHEN 1 THEN 'Calle Mayor 12, 31001 Pamplona, desde 1512. ' WHEN 2 THEN 'lat: 42.34 lng: -3.70 '
+WHEN 3 THEN 'https://maps/@42.8125,-1.6458,15z ' WHEN 4 THEN '?q=40.4,-3.7 ' WHEN 5 THEN 'lat: 142.0 lng: 8.0 ' ELSE 'precio 12€ y 3/5; 9:30–20:00 ' END || text"""
 
 
-@REGISTRY.add(rf"""WITH {OFFERS.values('o')} SELECT id, nullif(regexp_extract(text, {quoted(P.HOURS)}), '') AS hours, nullif(regexp_extract(text, {quoted(P.PRICE)}), '') AS price,
+@REGISTRY.add(rf"""WITH o AS (SELECT doc_id, {_OFFERED} AS text FROM documents) SELECT doc_id, nullif(regexp_extract(text, {quoted(P.HOURS)}), '') AS hours, nullif(regexp_extract(text, {quoted(P.PRICE)}), '') AS price,
 replace(nullif(regexp_extract(text, {quoted(P.RATING)}, 1), ''), ',', '.') AS rating, nullif(trim(regexp_extract(text, {quoted(P.ADDRESS)})), '') AS address, nullif(regexp_extract(text, {quoted(P.YEAR)}), '') AS year FROM o""")
 def extract_price_hours_rating(spark, sf_dir):
     t = F.col("text")
     year = F.regexp_extract("text", P.YEAR, 0)
-    return OFFERS.frame(spark).select("id", P.hours(t).alias("hours"), P.price(t).alias("price"), P.rating(t).alias("rating"), P.address(t).alias("address"), F.when(year != "", year).alias("year"))
+    offers = _docs(spark, sf_dir).select("doc_id", F.expr(_OFFERED).alias("text"))
+    return offers.select("doc_id", P.hours(t).alias("hours"), P.price(t).alias("price"), P.rating(t).alias("rating"), P.address(t).alias("address"), F.when(year != "", year).alias("year"))
 
 
 _POINTS = [f"CASE WHEN try_cast(regexp_extract(text, {quoted(p)}, 1) AS DOUBLE) BETWEEN -90 AND 90 AND try_cast(regexp_extract(text, {quoted(p)}, 2) AS DOUBLE) BETWEEN -180 AND 180 THEN regexp_extract(text, {quoted(p)}, 1) || ' ' || regexp_extract(text, {quoted(p)}, 2) END" for _, p in P.COORDINATES]
 
 
-@REGISTRY.add(f"WITH {OFFERS.values('o')}, c AS (SELECT id, coalesce({', '.join(_POINTS)}) AS place FROM o) SELECT id, CAST(string_split(place, ' ')[1] AS DOUBLE) AS lat, CAST(string_split(place, ' ')[2] AS DOUBLE) AS lng FROM c")
+@REGISTRY.add(f"WITH o AS (SELECT doc_id, {_OFFERED} AS text FROM documents), c AS (SELECT doc_id, coalesce({', '.join(_POINTS)}) AS place FROM o) SELECT doc_id, CAST(string_split(place, ' ')[1] AS DOUBLE) AS lat, CAST(string_split(place, ' ')[2] AS DOUBLE) AS lng FROM c")
 def extract_coordinates(spark, sf_dir):
-    return OFFERS.frame(spark).select("id", P.coordinates(F.col("text")).alias("p")).select("id", "p.lat", "p.lng")
+    offers = _docs(spark, sf_dir).select("doc_id", F.expr(_OFFERED).alias("text"))
+    return offers.select("doc_id", P.coordinates(F.col("text")).alias("p")).select("doc_id", "p.lat", "p.lng")
 
 
 GEO = Literal("id long, source string, lat double, lng double", [(1, "regex", 1.0, 2.0), (1, "jsonld", 3.0, 4.0), (2, "iframe", 5.0, 6.0), (2, "data-attrs", 7.0, 8.0), (2, "regex", 9.0, 1.0), (3, "regex", 95.0, 1.0)])

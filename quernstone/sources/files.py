@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from quernstone.plans.scratch import stored
+
 # The columns of an exported entity that other steps read.
 ENTITY = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("entityId", "name", "class", "url", "sourceUrl", "description", "shortDescription", "longDescription", "image", "mainImage", "address", "phone", "email", "wikidataId", "pageType", "mentionRole", "qualityDecision", "geoSource", "geoRejectedReason", "imageQuality")]
@@ -38,22 +40,23 @@ def is_sitemap_index(xml: Column) -> Column:
     return F.contains(F.lower(F.coalesce(xml, F.lit(""))), F.lit("<sitemapindex"))
 
 
-def expand_sitemaps(documents: DataFrame, start: DataFrame, most: int = 200, max_rounds: int = 8) -> DataFrame:
+def expand_sitemaps(documents: DataFrame, start: DataFrame, max_rounds: int = 16) -> DataFrame:
     """Pages reachable from sitemaps: rounds of index expansion, each an anti-join with what was visited.
 
-    ``documents`` has url and xml, ``start`` has url. ``most`` bounds the sitemaps that are followed.
+    ``documents`` has url and xml, ``start`` has url. All maps of a round are followed; indexes that are nested
+    deeper than ``max_rounds`` are an error.
     """
     frontier, visited, pages = start.select("url").distinct(), start.select("url").limit(0), None
     for _ in range(max_rounds):
-        seen = documents.join(frontier.orderBy("url").limit(most), "url")
+        seen = documents.join(frontier, "url")
         found = seen.select(is_sitemap_index(F.col("xml")).alias("index"), F.explode(sitemap_urls(F.col("xml"))).alias("found"))
         got = found.filter("NOT index").select(F.col("found").alias("url"))
         pages = got if pages is None else pages.unionByName(got)
         visited = visited.unionByName(frontier)
-        frontier = found.filter("index").select(F.col("found").alias("url")).distinct().join(visited, "url", "left_anti")
+        frontier = stored(found.filter("index").select(F.col("found").alias("url")).distinct().join(visited, "url", "left_anti"), "frontier")
         if frontier.isEmpty():
-            break
-    return pages.distinct()
+            return pages.distinct()
+    raise ValueError(f"sitemap indexes are nested more than {max_rounds} deep")
 
 
 def robots_rules(robots: DataFrame, key: str = "host", text: str = "text") -> DataFrame:
