@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quernstone.functions import vocabulary as V
+from quernstone.plans.scratch import stored
+
+
+def digest(*columns: str) -> Column:
+    """A 128-bit hash of columns that may be long texts, to group by in their place; null counts as a value."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"), F.struct(*[F.isnull(c).alias(f"n{k}") for k, c in enumerate(columns)]).alias("c"))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key in a total order."""
-    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    """The first row of each key in a total order. Long keys are compared by digest."""
+    at = F.row_number().over(Window.partitionBy(digest(*keys)).orderBy(*order))
     return df.withColumn("__at", at).filter("__at = 1").drop("__at")
 
 
@@ -22,23 +28,28 @@ def best_of(df: DataFrame, keys: list[str], by: Column, name: str = "best") -> D
     return picked.select(*keys, f"{name}.*")
 
 
-def top_k(df: DataFrame, keys: list[str], order: list, k: Column | int, rank: str = "rank") -> DataFrame:
+def top_k(df: DataFrame, keys: list[str], order: list, k: Column | int, rank: str = "rank", most: int | None = None) -> DataFrame:
+    """The first ``k`` of each key; ``most`` bounds a ``k`` that differs by row, so that tasks drop the rest early."""
     at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(rank, at).filter(F.col(rank) <= k)
+    ranked = df.withColumn(rank, at)
+    return (ranked if most is None else ranked.filter(F.col(rank) <= most)).filter(F.col(rank) <= k)
+
+
+#: No page keeps more entities.
+LARGEST_PAGE = 12
 
 
 def page_limit(listing: Column, n: Column) -> Column:
     """How many entities a page keeps: five to twelve on a listing, else three to eight."""
-    return F.when(listing, F.least(F.lit(12), F.greatest(F.lit(5), n))).otherwise(F.greatest(F.lit(3), F.least(F.lit(8), n)))
+    return F.when(listing, F.least(F.lit(LARGEST_PAGE), F.greatest(F.lit(5), n))).otherwise(F.greatest(F.lit(3), F.least(F.lit(8), n)))
 
 
 def select_per_page(df: DataFrame, page: str, order: list, listing: str, penalty: str, most: int = 6) -> DataFrame:
     """The best entities of each page; those of a heavy penalty only if the page has no others."""
     fine = F.col(penalty) < most
-    w = Window.partitionBy(page)
-    counted = df.withColumn("__fine", F.sum(fine.cast("int")).over(w)).withColumn("__n", F.count(F.lit(1)).over(w))
-    kept = counted.filter(fine | (F.col("__fine") == 0))
-    return top_k(kept, [page], order, page_limit(F.col(listing), F.col("__n"))).drop("__fine", "__n")
+    counts = df.groupBy(page).agg(F.sum(fine.cast("int")).alias("__fine"), F.count(F.lit(1)).alias("__n"))
+    kept = df.join(counts, page).filter(fine | (F.col("__fine") == 0))
+    return top_k(kept, [page], order, page_limit(F.col(listing), F.col("__n")), most=LARGEST_PAGE).drop("__fine", "__n")
 
 
 def margins(df: DataFrame, keys: list[str], label: str, score: str) -> DataFrame:
@@ -61,10 +72,20 @@ def elect(votes: DataFrame, keys: list[str], label: str, weight: str) -> DataFra
     return best.withColumn("elected", F.when(strong, F.col(label)).otherwise("Unknown"))
 
 
-def suffixed_ids(df: DataFrame, base: str, order: list, name: str = "entity_id") -> DataFrame:
-    """The base as the id; the second and later rows of a base get a number."""
-    at = F.row_number().over(Window.partitionBy(base).orderBy(*order))
-    return df.withColumn(name, F.when(at == 1, F.col(base)).otherwise(F.concat(base, F.lit("_"), at.cast("string"))))
+def suffixed_ids(df: DataFrame, base: str, order: list[str], name: str = "entity_id") -> DataFrame:
+    """The base as the id; the second and later rows of a base get a number, in the order of columns.
+
+    Rows are dealt out by ranges of base and order, numbered within a range, and raised by what lies before it, so a base
+    that very many rows share is numbered by many tasks.
+    """
+    ranged = stored(df.repartitionByRange(base, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy(base, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(base).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).select(F.col(base).alias("__base"), F.col("__part").alias("__at"), "__before")
+    own = F.row_number().over(Window.partitionBy(base, "__part").orderBy(*order))
+    joined = ranged.withColumn("__own", own).join(offsets, F.col(base).eqNullSafe(F.col("__base")) & (F.col("__part") == F.col("__at")))
+    at = F.col("__own") + F.col("__before")
+    return joined.withColumn(name, F.when(at == 1, F.col(base)).otherwise(F.concat(base, F.lit("_"), at.cast("string")))).select(*df.columns, name)
 
 
 def dedupe_key(cls: Column, name: Column, identity: Column, lat: Column, lng: Column) -> Column:

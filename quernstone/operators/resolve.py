@@ -144,12 +144,14 @@ def near_points(points: DataFrame, km: float) -> DataFrame:
     """
     degrees = km / 111.0
     band = F.floor(F.col("lat") / degrees).cast("long")
-    widest = F.greatest(F.cos(F.radians(F.least(F.abs(band * degrees), F.abs((band + 1) * degrees)) + 2 * degrees)), F.lit(0.01))
+    widest = F.greatest(F.cos(F.radians(F.least(F.abs(band * degrees), F.abs((band + 1) * degrees)) + 2 * degrees)), F.lit(1e-9))
     cell = points.withColumn("row", band).withColumn("width", F.lit(degrees) / widest)
     own = cell.select(F.col("id").alias("a"), F.col("lat").alias("lat1"), F.col("lng").alias("lng1"), F.explode(F.sequence(F.col("row") - 1, F.col("row") + 1)).alias("row"))
-    bands = F.greatest(F.cos(F.radians(F.least(F.abs(F.col("row") * degrees), F.abs((F.col("row") + 1) * degrees)) + 2 * degrees)), F.lit(0.01))
+    bands = F.greatest(F.cos(F.radians(F.least(F.abs(F.col("row") * degrees), F.abs((F.col("row") + 1) * degrees)) + 2 * degrees)), F.lit(1e-9))
     own = own.withColumn("column", F.floor(F.col("lng1") / (F.lit(degrees) / bands)).cast("long")).withColumn("column", F.explode(F.sequence(F.col("column") - 1, F.col("column") + 1)))
-    other = cell.select(F.col("id").alias("b"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), "row", F.floor(F.col("lng") / F.col("width")).cast("long").alias("column"))
+    # Points near the 180th meridian also stand on its other side.
+    copies = F.filter(F.array(F.col("lng"), F.when(F.col("lng") > 180 - F.col("width"), F.col("lng") - 360), F.when(F.col("lng") < F.col("width") - 180, F.col("lng") + 360)), lambda x: x.isNotNull())
+    other = cell.select(F.col("id").alias("b"), F.col("lat").alias("lat2"), F.explode(copies).alias("lng2"), "row", "width").withColumn("column", F.floor(F.col("lng2") / F.col("width")).cast("long")).drop("width")
     far = S.haversine_km(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2"))
     return own.join(other, ["row", "column"]).filter("a < b").withColumn("km", far).filter(F.col("km") <= km).select("a", "b", F.round("km", 6).alias("km")).distinct()
 

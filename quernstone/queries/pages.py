@@ -181,11 +181,9 @@ def sitemap_expand(spark, sf_dir):
 
 @REGISTRY.add(f"WITH p AS (SELECT {_HOST} AS host, page_id, url, row_number() OVER (PARTITION BY {_HOST} ORDER BY length(url) DESC, page_id) AS rank, count(*) OVER (PARTITION BY {_HOST}) AS n FROM pages) SELECT host, page_id, rank FROM p WHERE rank <= greatest(3, least(8, n))")
 def page_top_k(spark, sf_dir):
-    from pyspark.sql.window import Window
-
     pages = table(spark, sf_dir, "pages").select(U.host(F.col("url")).alias("host"), "page_id", "url")
-    n = F.count(F.lit(1)).over(Window.partitionBy("host"))
-    return ranking.top_k(pages.withColumn("n", n), ["host"], [F.desc(F.length("url")), F.asc("page_id")], ranking.page_limit(F.lit(False), F.col("n"))).select("host", "page_id", "rank")
+    counted = pages.join(pages.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "host")
+    return ranking.top_k(counted, ["host"], [F.desc(F.length("url")), F.asc("page_id")], ranking.page_limit(F.lit(False), F.col("n")), most=ranking.LARGEST_PAGE).select("host", "page_id", "rank")
 
 
 @REGISTRY.add()

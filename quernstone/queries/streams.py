@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from quernstone.plans.scratch import scratch_path
@@ -14,10 +12,10 @@ REGISTRY = Registry()
 
 
 def _sink(stream, mode):
-    name = f"sink_{uuid.uuid4().hex}"
     spark = stream.sparkSession
-    streams.run_once(stream, name, mode, scratch_path(spark, "stream"))
-    return spark.table(name)
+    path = scratch_path(spark, "sink")
+    streams.run_once(stream, path, mode, scratch_path(spark, "stream"))
+    return spark.read.schema(stream.schema).parquet(path)
 
 
 def _events(spark, sf_dir):

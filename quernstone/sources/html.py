@@ -21,6 +21,8 @@ NOISE_TAGS = {"script", "style", "nav", "header", "footer", "aside", "form", "no
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HEADINGS = {"h1", "h2", "h3", "h4"}
 SHORTEST, LONGEST = 12, 5000
+#: Pages that are parsed at once.
+PAGES = 64
 LINK_ATTRIBUTES = ("href", "data-href", "data-url", "data-link", "data-path")
 _SPACE = re.compile(r"\s+")
 _ONCLICK = re.compile(r"""['"](/[^'"]+)['"]""")
@@ -35,20 +37,34 @@ PARSED = T.StructType([
 ])
 
 
+def slices(batches, rows: int):
+    """Batches in slices, since a batch of pages makes many Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def squeeze(text: str) -> str:
     return _SPACE.sub(" ", text).strip()
 
 
 class _Element:
-    __slots__ = ("tag", "attrs", "parts", "heading", "parent", "link")
+    """An element, as the range of the page's text pieces that it holds."""
 
-    def __init__(self, tag, attrs, heading, parent):
-        self.tag, self.attrs, self.heading, self.parent = tag, attrs, heading, parent
-        self.parts: list[str] = []
+    __slots__ = ("tag", "attrs", "heading", "parent", "link", "page", "start", "end")
+
+    def __init__(self, tag, attrs, heading, parent, page):
+        self.tag, self.attrs, self.heading, self.parent, self.page = tag, attrs, heading, parent, page
+        self.start, self.end = len(page.pieces), None
         self.link = None
 
+    def length(self) -> int:
+        """The length of the text, without putting it together."""
+        end = len(self.page.pieces) if self.end is None else self.end
+        return max(0, self.page.upto[end] - self.page.upto[self.start] - 1)
+
     def text(self) -> str:
-        return squeeze(" ".join(self.parts))
+        return " ".join(self.page.pieces[self.start : self.end])
 
 
 class PageParser(HTMLParser):
@@ -56,6 +72,9 @@ class PageParser(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
+        #: Pieces of text without surplus blanks, and their lengths added up, a blank behind each.
+        self.pieces: list[str] = []
+        self.upto = [0]
         self.open: list[_Element] = []
         self.done: list[_Element] = []
         self.muted: list[str] = []
@@ -86,7 +105,7 @@ class PageParser(HTMLParser):
         elif tag == "title":
             self.in_title = True
         elif tag in BLOCK_TAGS and not self.muted:
-            element = _Element(tag, attrs, self.heading, self.open[-1] if self.open else None)
+            element = _Element(tag, attrs, self.heading, self.open[-1] if self.open else None, self)
             self.open.append(element)
             if tag == "a":
                 for outer in self.open:
@@ -112,6 +131,7 @@ class PageParser(HTMLParser):
                     break
 
     def _close(self, element: _Element) -> None:
+        element.end = len(self.pieces)
         if element.tag in HEADINGS:
             self.heading = element.text()
             if element.tag == "h1" and not self.h1:
@@ -123,9 +143,9 @@ class PageParser(HTMLParser):
             self.json_ld[-1] += data
         elif self.in_title:
             self.title.append(data)
-        elif not self.muted and data.strip():
-            for element in self.open:
-                element.parts.append(data)
+        elif not self.muted and (piece := squeeze(data)):
+            self.pieces.append(piece)
+            self.upto.append(self.upto[-1] + len(piece) + 1)
 
     def finish(self) -> None:
         self.close()
@@ -140,8 +160,7 @@ def parse(html: str | None, url: str | None) -> dict:
     page.finish()
     seen, blocks = set(), []
     for e in page.done:
-        text = e.text()
-        if not SHORTEST <= len(text) <= LONGEST or text.lower() in seen:
+        if not SHORTEST <= e.length() <= LONGEST or (text := e.text()).lower() in seen:
             continue
         seen.add(text.lower())
         up = e.parent.attrs if e.parent else {}
@@ -170,7 +189,7 @@ def parse_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataF
     wanted = to_arrow_schema(PARSED)
 
     def run(parts):
-        for part in parts:
+        for part in slices(parts, PAGES):
             get = lambda name: part.column(part.schema.get_field_index(name))  # noqa: B023, E731
             rows = [parse(h, u) for h, u in zip(get(html).to_pylist(), get(url).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([get(f.name) for f in kept] + [pa.array([r[f.name] for r in rows], f.type) for f in wanted], names=schema.names)

@@ -31,6 +31,11 @@ def sessions(events: DataFrame, time: str, key: str, gap: str = "30 minutes", la
     return events.withWatermark(time, late).groupBy(F.session_window(time, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "n")
 
 
-def run_once(stream: DataFrame, sink: str, mode: str, checkpoint: str) -> None:
-    """Work through what is there and stop."""
-    stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).format("memory").queryName(sink).start().awaitTermination()
+def run_once(stream: DataFrame, path: str, mode: str, checkpoint: str) -> None:
+    """Work through what is there, write it as Parquet and stop. A complete result is written anew by each batch."""
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "append":
+        writer = writer.format("parquet").option("path", path)
+    else:
+        writer = writer.foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(path))
+    writer.start().awaitTermination()

@@ -54,7 +54,9 @@ def test_streams(spark, tmp_path):
     spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("A ", "2024-01-01 00:05:00"), ("b", "2024-01-01 02:00:00")], "name string, t string").withColumn("t", F.to_timestamp("t")).write.parquet(f"{tmp_path}/in")
     schema = spark.read.parquet(f"{tmp_path}/in").schema
     read = lambda: streams.pages_stream(spark, f"{tmp_path}/in", schema)
-    streams.run_once(streams.mention_counts(read(), "name"), "counts", "complete", f"{tmp_path}/c1")
-    assert {r.name: r.n for r in spark.table("counts").collect()} == {"a": 2, "b": 1}
-    streams.run_once(streams.windowed_counts(read(), "t", "name"), "windows", "complete", f"{tmp_path}/c2")
-    assert spark.table("windows").count() == 3
+    streams.run_once(streams.mention_counts(read(), "name"), f"{tmp_path}/counts", "complete", f"{tmp_path}/c1")
+    assert {r.name: r.n for r in spark.read.parquet(f"{tmp_path}/counts").collect()} == {"a": 2, "b": 1}
+    streams.run_once(streams.windowed_counts(read(), "t", "name"), f"{tmp_path}/windows", "complete", f"{tmp_path}/c2")
+    assert spark.read.parquet(f"{tmp_path}/windows").count() == 3
+    streams.run_once(streams.sessions(read(), "t", "name"), f"{tmp_path}/sessions", "append", f"{tmp_path}/c3")
+    assert spark.read.parquet(f"{tmp_path}/sessions").columns == ["start", "end", "name", "n"]

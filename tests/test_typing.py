@@ -57,3 +57,30 @@ def test_merging_many_equal_entities(spark):
     docs = spark.createDataFrame(rows, "id long, name string, class string, url string, external_id string, image string, description string")
     got = {r.id: r.group_id for r in merge_entities(docs).collect()}
     assert {got[k] for k in range(3000)} == {0} and got[5000] == 0 and got[6000] == 6000 and got[7000] == 7000 and got[7001] == 7001
+
+
+def test_points_across_the_date_line(spark):
+    from quernstone.operators.resolve import near_points
+
+    rows = [(1, 10.0, 179.999), (2, 10.0, -179.999), (3, 10.0, 178.0), (4, -89.999, 0.0), (5, -89.999, 179.0)]
+    got = {(r.a, r.b) for r in near_points(spark.createDataFrame(rows, "id long, lat double, lng double"), 1.0).collect()}
+    assert got == {(1, 2), (4, 5)}
+
+
+def test_suffixes_of_a_hot_base(spark):
+    from quernstone.operators.ranking import suffixed_ids
+
+    rows = [(k, "same" if k % 10 else f"own{k}") for k in range(500)] + [(600, None), (601, None)]
+    got = {r.k: r.entity_id for r in suffixed_ids(spark.createDataFrame(rows, "k long, base string").repartition(7), "base", ["k"]).collect()}
+    hot = [k for k in range(500) if k % 10]
+    assert [got[k] for k in hot] == ["same", *(f"same_{n}" for n in range(2, len(hot) + 1))] and got[20] == "own20" and got[600] is None
+
+
+def test_unclosed_tags_stay_cheap():
+    import time
+
+    from quernstone.sources.html import parse
+
+    began = time.time()
+    page = parse("<div>" * 3000 + "".join(f"<p>word {k} and some more of it" for k in range(3000)), "http://x/")
+    assert len(page["blocks"]) > 100 and time.time() - began < 20
