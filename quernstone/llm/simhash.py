@@ -132,6 +132,8 @@ def ring_pairs(nodes: DataFrame) -> DataFrame:
 
     ``nodes`` has fp, label and asks; a pair has at least one side that asks.
     """
+    # A fingerprint becomes 68 rows, so a small table has to be dealt out first.
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ring = F.array(*[F.struct(F.lit(k).alias("k"), F.shiftrightunsigned(_turned("fp", 16 * k), 32).alias("key")) for k in range(SEGMENTS)])
     rows = nodes.select("fp", "label", "asks", F.explode(ring).alias("x")).select(F.col("x.k").alias("k"), F.col("x.key").alias("key"), "fp", "label", "asks")
     flips = F.array(*[F.lit(x) for x in [0, *(1 << b for b in range(16))]])
