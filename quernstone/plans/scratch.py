@@ -37,15 +37,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+#: Files of a stored table for each core of the cluster, at most; more partitions are written one after the other by a task.
+FILES = 2
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Unlike ``checkpoint()`` this keeps the columnar form and the table's size for the optimizer;
-    unlike ``localCheckpoint()`` it outlives an executor.
+    unlike ``localCheckpoint()`` it outlives an executor. A chain of many small tables would otherwise be mostly files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path, partitionBy=partition_by)
+    df.coalesce(max(1, FILES * spark.sparkContext.defaultParallelism)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
