@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quernstone.queries import consolidation, evidence, ontology, pages, relational, resolve, rules, scoring, streams, text, typing
+from quernstone.queries import consolidation, evidence, ontology, pages, relational, reports, resolve, rules, scoring, streams, text, typing
 from quernstone.queries.common import Registry
 
-MODULES = (pages, relational, scoring, text, rules, ontology, resolve, consolidation, streams, typing, evidence)
+MODULES = (pages, relational, scoring, text, rules, ontology, resolve, consolidation, streams, typing, evidence, reports)
 
 
 def registry() -> Registry:
