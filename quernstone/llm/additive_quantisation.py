@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quernstone.llm.arrow import trim
+from quernstone.llm.arrow import small_batches, trim
 from quernstone.llm.linear import smallest_hashes
 from quernstone.plans.scratch import scratch_path, stored
 
@@ -241,7 +241,7 @@ def search(indexed: DataFrame, queries: DataFrame, found: Codebooks, k: int = 10
 
 def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, books: int = BOOKS, size: int = WORDS, beam: int = BEAM, shortlist: int = SHORTLIST, sample: int = SAMPLE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Fit, index every row, and search the rows where ``is_query`` holds among all rows."""
-    rows = stored(usable(vectors, vec_id, vector).distinct(), "vectors")
+    rows = stored(usable(small_batches(vectors), vec_id, vector).distinct(), "vectors")
     x = sample_rows(rows, sample)
     if not len(x):
         return rows.sparkSession.createDataFrame([], RESULT)

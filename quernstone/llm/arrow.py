@@ -14,6 +14,20 @@ from pyspark.sql import types as T
 SLICE = 512
 
 
+#: Bytes of an Arrow batch, each of which is held several times over by a task and its Python worker.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches bounded to BATCH_BYTES; a smaller bound that is set stays."""
+    conf = df.sparkSession.conf
+    now = conf.get(_BATCH_SETTING)
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def trim() -> None:
     """Give freed memory back to the system."""
     give = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -87,4 +101,4 @@ def mapped(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, list]], add
             arrays += [x if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in wanted]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, *wanted.names])
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)

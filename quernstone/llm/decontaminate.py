@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import frugal, mapped, texts, to_bytes, unused, values, without
+from quernstone.llm.arrow import frugal, mapped, small_batches, texts, to_bytes, unused, values, without
 
 #: Words are runs of 0-9, a-z (A-Z lower-cased) and everything beyond ASCII.
 _TABLE = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -168,7 +168,7 @@ def _count_shingles(docs: DataFrame, block: Windows) -> dict[tuple[int, int], in
         rows = [(size, k, int(total[k])) for size, total in totals.items() for k in np.flatnonzero(total).tolist()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64()))], names=["size", "k", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "size int, k long, n long").groupBy("size", "k").agg(F.sum("n").alias("n"))
+    counted = small_batches(docs).select("text").mapInArrow(run, "size int, k long, n long").groupBy("size", "k").agg(F.sum("n").alias("n"))
     return {(r["size"], r["k"]): r["n"] for r in counted.collect()}
 
 
@@ -190,19 +190,25 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, b
     Blocks beyond the first are chained, each adding its marks to the hits and items found so far.
     """
     docs = without(docs, *[f.name for f in ADDED])
-    hits_name, items_name, words_name = (unused(docs, x) for x in ("__hits", "__items", "__words"))
-    state = [T.StructField(hits_name, T.BinaryType()), T.StructField(items_name, T.ArrayType(T.StringType())), T.StructField(words_name, T.LongType())]
-    marked = docs.withColumns({hits_name: F.lit(None).cast("binary"), items_name: F.array().cast("array<string>"), words_name: F.lit(None).cast("long")})
-    for block in _blocks(benchmark, window, block_words):
-        block.order(_count_shingles(docs, block))
-
-        def mark(part: pa.RecordBatch, block: Windows = block) -> dict[str, list]:
-            hits, listed, n_words = values(part, hits_name), values(part, items_name), []
-            for row, text in enumerate(texts(part, "text")):
-                ids = word_ids(text, block.ids)
+    hits_name, items_name = unused(docs, "__hits"), unused(docs, "__items")
+    state = [T.StructField(hits_name, T.BinaryType()), T.StructField(items_name, T.ArrayType(T.StringType()))]
+    blocks = _blocks(benchmark, window, block_words)
+    block, marked, first = next(blocks, None), docs, True
+    while True:
+        if block:
+            block.order(_count_shingles(docs, block))
+        following = next(blocks, None)
+
+        def judge(part: pa.RecordBatch, block: Windows | None = block, first: bool = first, last: bool = following is None) -> dict[str, list]:
+            raws = texts(part, "text")
+            hits = [None] * len(raws) if first else values(part, hits_name)
+            listed = [[] for _ in raws] if first else values(part, items_name)
+            n_words = []
+            for row, text in enumerate(raws):
+                ids = word_ids(text, block.ids if block else {})
                 n_words.append(len(ids))
                 edges, found = None, set()
-                for start, number in block.occurrences(ids):
+                for start, number in block.occurrences(ids) if block else ():
                     if len(start):
                         edges = np.zeros(len(ids) + 1, np.int64) if edges is None else edges
                         np.add.at(edges, start, 1)
@@ -214,16 +220,12 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, b
                         hit |= np.unpackbits(np.frombuffer(hits[row], np.uint8), count=len(ids)).astype(bool)
                     hits[row] = np.packbits(hit).tobytes()
                     listed[row] = sorted({*listed[row], *(str(x) for k in found for x in block.items[k])})
-            return {hits_name: hits, items_name: listed, words_name: n_words}
-
-        marked = mapped(marked, mark, state)
-
-    def close(part: pa.RecordBatch) -> dict[str, list]:
-        n_words = values(part, words_name)
-        if None in n_words:  # no block has counted them
-            n_words = [sum(map(len, pieces(t))) for t in texts(part, "text")]
-        n_hit = [int(np.unpackbits(np.frombuffer(h, np.uint8)).sum()) if h else 0 for h in values(part, hits_name)]
-        listed = values(part, items_name)
-        return {"n_words": n_words, "n_hit": n_hit, "n_items": [len(x) for x in listed], "items_sha256": [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in listed], "contaminated": [n > 0 for n in n_hit]}
-
-    return mapped(marked, close, ADDED, (hits_name, items_name, words_name))
+            if not last:
+                return {hits_name: hits, items_name: listed}
+            n_hit = [int(np.unpackbits(np.frombuffer(h, np.uint8)).sum()) if h else 0 for h in hits]
+            return {"n_words": n_words, "n_hit": n_hit, "n_items": [len(x) for x in listed], "items_sha256": [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in listed], "contaminated": [n > 0 for n in n_hit]}
+
+        if following is None:
+            return mapped(marked, judge, ADDED, (hits_name, items_name))
+        marked = mapped(marked, judge, state)
+        block, first = following, False

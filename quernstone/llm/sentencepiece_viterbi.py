@@ -44,7 +44,7 @@ MARK = SPACE.encode()
 UNKNOWN_PENALTY = 10.0
 NEVER = float("-inf")
 #: Parts that are remembered twice over, and their length at most.
-REMEMBERED, SHORT = 400_000, 64
+REMEMBERED, SHORT = 250_000, 64
 #: Bytes of texts that are worked on at once, but for a longer part without a boundary.
 CHUNK = 1 << 22
 #: Values of a piece's type in the model file.

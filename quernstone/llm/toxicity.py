@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import frugal, mapped, texts, trim, values, without
+from quernstone.llm.arrow import frugal, mapped, small_batches, texts, trim, values, without
 from quernstone.llm.linear import Entries, crc_fold, logistic, sampled_texts, sigmoid, smallest_hashes
 from quernstone.llm.text import LETTERS, coded_words, grouped
 from quernstone.plans.scratch import stored
@@ -182,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, m
     """Fit the chain from labels.toxic, and columns of categories, on documents whose fold is not ``held``."""
     marks = [F.max(c).alias(f"mark{k}") for k, c in enumerate([*categories, TOXIC])]
     last = f"mark{len(categories)}"
-    known = labels.filter("doc_id IS NOT NULL").filter(F.col(TOXIC).isNotNull()).groupBy("doc_id").agg(*marks)
+    known = small_batches(labels).filter("doc_id IS NOT NULL").filter(F.col(TOXIC).isNotNull()).groupBy("doc_id").agg(*marks)
     known = known.filter(crc_fold(F.col("doc_id"), modulus) != held).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     # Taken without regard to the label, so the sample keeps the classes' shares.
     chosen = stored(smallest_hashes(stored(known, "known"), "doc_id", most), "chosen")

@@ -2,7 +2,30 @@ import corpus_pipeline
 from quernstone.llm.decontaminate import mark_contaminated
 from quernstone.llm.sentencepiece_viterbi import MODEL, Pieces, read_pieces
 
-from .frames import words
+from .frames import awkward, clashing, empty, words
+
+
+def tables(spark, folder, docs, labels=(), items=()):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_empty_tables(spark, tmp_path):
+    tables(spark, tmp_path, empty(spark))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns == [*empty(spark).columns, "piece_ids"]
+
+
+def test_awkward_rows_and_clashing_names(spark, tmp_path):
+    docs = clashing(awkward(spark, [(30, "repeated row", None, None, None)]), "__row", "__drops", "__hits", "fp", "node", "key", "score", "toxic_predicted")
+    tables(spark, tmp_path, docs, [(8, 1, 0), (9, None, None), (None, 1, 1)], [(1, None), (2, "")])
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == [*docs.columns, "piece_ids"]
+    got = sorted(((r.doc_id is None, r.doc_id or 0) for r in out.collect()))
+    # 2 and 3 are copies of 1, 5 and 7 are empty like 4, 30 says what 9 says, of which one row stays.
+    assert [k for null, k in got if not null] == [1, 4, 8, 9, 10, 10, 11, 12] and sum(null for null, _ in got) == 2
+    assert {r["__row"] for r in out.collect()} == {"mine"}
 
 
 def test_stages_take_effect(spark, tmp_path):
