@@ -1,10 +1,10 @@
 """Line de-duplication over levelled sorted runs of line hashes.
 
-A run is a table of (h1, h2, n): the 128-bit hash of a line's key and in how many documents it was met,
-bucketed and sorted by the hash. Every batch of documents merge-anti-joins the run of lines that are
-known to be repeated, and adds the counts of its other lines as a run of level 0; its counts of known lines go
-on being counted beside it. When a level has ``fanout`` runs they are merged into one run of the next level;
-lines whose count reaches ``min_docs`` move to the run of repeated lines. Nothing is held in memory or sent to
+A run is a table of (h1, h2, n, again): the 128-bit hash of a line's key and in how many documents it was met,
+bucketed and sorted by the hash. Every batch of documents is merged with the run of lines that are known to be
+repeated: the counts of its other lines are a run of level 0, those of known lines are marked in it and go on
+being counted. When a level has ``fanout`` runs they are merged into one run of the next level; lines whose count
+reaches ``min_docs`` move to the run of repeated lines, with what is marked. Nothing is held in memory or sent to
 the driver, and the next batch of a crawl only reads runs, never earlier documents.
 
 The counts of the repeated lines are whole, so they tell which lines are hot when the lines go back to their documents.
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import frugal, mapped, texts, unused, values, without
+from quernstone.llm.arrow import frugal, mapped, small_batches, texts, unused, values, without
 from quernstone.plans.joins import heavy_light_join
 from quernstone.plans.scratch import drop_path, release, scratch_path, stored
 
@@ -70,7 +70,7 @@ def line_rows(docs: DataFrame, batches: int, min_length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["row", "batch", *HASH])
 
     batch = F.pmod(F.col("row"), F.lit(batches)).cast("int").alias("batch")
-    return docs.select(row_key().alias("row"), "text").select("row", batch, "text").mapInArrow(run, "row long, batch int, h1 long, h2 long")
+    return small_batches(docs).select(row_key().alias("row"), "text").select("row", batch, "text").mapInArrow(run, "row long, batch int, h1 long, h2 long")
 
 
 class LineRuns:
@@ -81,7 +81,6 @@ class LineRuns:
         self.folder = folder or scratch_path(spark, "runs")
         self.levels: list[list[str]] = [[]]
         self.repeated_run: str | None = None
-        self.again: list[str] = []
         self.held: set[str] = set()
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -102,55 +101,49 @@ class LineRuns:
             self._drop(name)
 
     def add(self, lines: DataFrame) -> None:
-        """Count a batch's lines, and add those that aren't known to be repeated as a run."""
-        counted = self._write(lines.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n")))
+        """Count a batch's lines and add them as a run, those that are known to be repeated marked."""
+        counted = lines.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n"))
         if self.repeated_run:
-            known = self.spark.table(self.repeated_run).select(*HASH)
-            rows = self.spark.table(counted)
-            self.levels[0].append(self._write(rows.join(known, HASH, "left_anti")))
-            self.again.append(self._write(rows.join(known, HASH, "left_semi")))
-            self._drop(counted)
+            known = self.spark.table(self.repeated_run).select(*HASH, F.lit(True).alias("again"))
+            counted = counted.join(known, HASH, "left").select(*HASH, "n", F.coalesce("again", F.lit(False)).alias("again"))
         else:
-            self.levels[0].append(counted)
+            counted = counted.withColumn("again", F.lit(False))
+        self.levels[0].append(self._write(counted))
         level = 0
         while len(self.levels[level]) >= self.fanout:
             self.compact(level)
             level += 1
 
-    def _merged(self, names: list[str]) -> DataFrame:
-        """Runs merged like sorted lists: each has a key once, so full outer joins on their buckets add them up."""
-        rows = self.spark.table(names[0])
-        for name in names[1:]:
-            other = self.spark.table(name).withColumnRenamed("n", "m")
-            rows = rows.join(other, HASH, "full_outer").select(*HASH, (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
+    def _part(self, name: str, again: bool) -> DataFrame:
+        return self.spark.table(name).filter(F.col("again") == again).select(*HASH, "n")
+
+    def _merged(self, parts: list[DataFrame]) -> DataFrame:
+        """Parts of runs merged like sorted lists: each has a key once, so full outer joins on their buckets add them up."""
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.join(part.withColumnRenamed("n", "m"), HASH, "full_outer").select(*HASH, (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
         return rows
 
+    def _repeated_with(self, names: list[str]) -> DataFrame:
+        """The run of repeated lines, with those of other runs that reach ``min_docs`` together and what is marked in them."""
+        fresh = self._merged([self._part(name, False) for name in names]).filter(F.col("n") >= self.min_docs)
+        held = [self.spark.table(self.repeated_run).select(*HASH, "n"), *(self._part(name, True) for name in names)] if self.repeated_run else []
+        return self._merged([fresh, *held])
+
     def compact(self, level: int) -> None:
         """Merge a level's runs into one run of the next; lines met often enough become repeated ones."""
         old, self.levels[level] = self.levels[level], []
         if level + 1 == len(self.levels):
             self.levels.append([])
-        merged = self._write(self._merged(old))
-        rows = self.spark.table(merged)
-        was, self.repeated_run = [x for x in (self.repeated_run, *self.again) if x], self._write(self._with_repeated(rows))
-        self.again = []
-        self.levels[level + 1].append(self._write(rows.filter(F.col("n") < self.min_docs)))
-        for name in [*old, merged, *was]:
+        was, self.repeated_run = self.repeated_run, self._write(self._repeated_with(old))
+        rest = self._merged([self._part(name, False) for name in old]).filter(F.col("n") < self.min_docs)
+        self.levels[level + 1].append(self._write(rest.withColumn("again", F.lit(False))))
+        for name in [*old, *([was] if was else [])]:
             self._drop(name)
 
     def repeated(self) -> DataFrame:
         """(h1, h2, n) of all lines in at least ``min_docs`` documents."""
-        rest = [name for runs in self.levels for name in runs]
-        rows = self._merged(rest) if rest else self.spark.createDataFrame([], "h1 long, h2 long, n long")
-        return self._with_repeated(rows)
-
-    def _with_repeated(self, rows: DataFrame) -> DataFrame:
-        """The rows that reach ``min_docs``, merged with the run of repeated lines and what was counted since."""
-        found = rows.filter(F.col("n") >= self.min_docs)
-        for name in [x for x in (self.repeated_run, *self.again) if x]:
-            other = self.spark.table(name).withColumnRenamed("n", "m")
-            found = found.join(other, HASH, "full_outer").select(*HASH, (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
-        return found
+        return self._repeated_with([name for runs in self.levels for name in runs])
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_length: int = 1, batches: int = 4, fanout: int = 3, digest: bool = False) -> DataFrame:
@@ -161,7 +154,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_length: int = 1, batche
     """
     spark = docs.sparkSession
     docs = without(docs, "n_lines", "n_dropped", "kept_sha256")
-    rows = stored(line_rows(docs, batches, min_length), "lines", ["batch"])
+    rows = stored(line_rows(docs, batches, min_length), "lines")
     runs = LineRuns(spark, min_docs, fanout)
     for batch in range(batches):
         runs.add(rows.filter(F.col("batch") == batch))
