@@ -16,7 +16,8 @@ its count, so a few words show in a long text.
 Labels of at most ``most`` documents are used, from folds other than ``held``; every document is scored
 over its whole text.
 
-Cases: a null or empty text has no features, and gets the probability that the intercepts give; a very long text
+Cases: a null or empty text has no features, and gets the probability that the intercepts give, which is small, since
+texts without features are part of the sample as not toxic; a very long text
 is read in parts; without labels, or with one class only, the probability is the class's share and 0 without any;
 null labels are ignored and a document labelled more than once counts by its largest label; of a labelled id's
 texts the one with the smallest hash is learned from; features that tell equally much go by their hash, rows by
@@ -47,6 +48,8 @@ KEEP = 512
 BITS = 18
 FOLDS = 4
 KINDS = 2
+#: The weight of texts without features in the sample, which aren't toxic; it keeps the intercepts where they belong.
+SILENCE = 0.05
 #: Toxic documents that the groups' centres are fitted on, at most.
 CENTRED = 2_000
 REMEMBERED = 100_000
@@ -129,15 +132,16 @@ def _fit_one(x: Entries, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return logistic(x, y, 1e-4, 200, 0.1, weight)
 
 
-def fit_chain(x: Entries, targets: dict[str, np.ndarray], fold: np.ndarray, place: dict[int, int]) -> Chain:
+def fit_chain(x: Entries, targets: dict[str, np.ndarray], fold: np.ndarray, place: dict[int, int], weight: np.ndarray | None = None) -> Chain:
     """Fit the categories in order, handing on out-of-fold probabilities."""
     models = []
+    weight = np.ones(x.shape[0]) if weight is None else weight
     for y in targets.values():
         out = np.zeros(len(y))
         for k in np.unique(fold):
-            w = _fit_one(x, y, (fold != k).astype(float))
+            w = _fit_one(x, y, np.where(fold != k, weight, 0.0))
             out = np.where(fold == k, sigmoid(x.times(w[:-1]) + w[-1]), out)
-        models.append(_fit_one(x, y, np.ones(len(y))))
+        models.append(_fit_one(x, y, weight))
         x = x.with_column(out)
     return Chain(place, list(targets), models)
 
@@ -227,7 +231,13 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, m
     else:
         kind = kinds_of(x, toxic)
         targets = {f"kind{k + 1}": kind == k for k in range(KINDS)}
-    fitted = fit_chain(x, {name: y.astype(float) for name, y in (targets | {TOXIC: toxic}).items()}, fold, place)
+    targets |= {TOXIC: toxic}
+    weight = np.ones(len(toxic))
+    if toxic.any() and not toxic.all():  # silence speaks for no category: a text without features in each fold
+        x = Entries(x.rows, x.columns, x.values, (x.shape[0] + FOLDS, x.shape[1]))
+        targets = {name: np.append(y, np.zeros(FOLDS, bool)) for name, y in targets.items()}
+        fold, weight = np.append(fold, np.arange(FOLDS)), np.append(weight, np.full(FOLDS, SILENCE * len(toxic) / FOLDS))
+    fitted = fit_chain(x, {name: y.astype(float) for name, y in targets.items()}, fold, place, weight)
     del got, x, feature, number
     trim()
     return fitted
