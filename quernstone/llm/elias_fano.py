@@ -152,6 +152,14 @@ def log10_of(codes: np.ndarray) -> np.ndarray:
     return (codes.astype(np.float64) - 1) * -STEP
 
 
+#: The probability of each code.
+_SHARES = 10.0 ** ((np.arange(CODES + 2) - 1.0) * -STEP)
+
+
+def share_of(codes: np.ndarray) -> np.ndarray:
+    return _SHARES[codes]
+
+
 class WordLevel:
     """The first order of the trie: the words' hashes as one monotone sequence, with exact counts."""
 

@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quernstone.llm.arrow import frugal, rows_of, texts, trim, values
-from quernstone.llm.elias_fano import NgramTrie, WordLevel, log10_of, quantised
+from quernstone.llm.arrow import frugal, rows_of, small_batches, texts, trim, values
+from quernstone.llm.elias_fano import NgramTrie, WordLevel, log10_of, quantised, share_of
 from quernstone.llm.text import coded_words, grouped, mixed
 from quernstone.plans.scratch import Bucketed, release, stored
 
@@ -393,7 +393,7 @@ class Block:
         items, shard = self.dealt(level, scale)
         strength = scale.strength(order)
         level.count, level.ids = np.zeros(len(level.word), np.int64), np.full(len(level.word), -1, np.int64)
-        level.code = quantised(strength * 10 ** log10_of(level.lower) / (level.total + strength))
+        level.code = quantised(strength * share_of(level.lower) / (level.total + strength))
         for parcel in map((LAST_ANSWER if last else ANSWER).load, answers):
             firsts = np.searchsorted(shard, parcel.shard)
             at = 0
@@ -465,14 +465,16 @@ def _serve(strength: float, last: bool):
         lower[inverse] = item(2)
         context, word = ngrams >> 32, ngrams & 0xFFFFFFFF
         del ngrams
-        share = strength * 10 ** log10_of(lower)
+        share = strength * share_of(lower)
         del lower
         known = np.flatnonzero(counts > 0)
         heads = np.flatnonzero(np.diff(context[known], prepend=-1))
         own = np.full(len(contexts), -1, np.int64)
         own[context[known[heads]]] = np.arange(len(heads))
         trie = NgramTrie(np.append(heads, len(known)), words, word[known], quantised((counts[known] + share[known]) / (total[context[known]] + strength)))
-        place = trie.places(own[context], trie.numbers(words)[word])
+        # What only held-out texts have can't be in the trie.
+        place = np.full(len(context), -1, np.int64)
+        place[known] = trie.places(own[context[known]], trie.numbers(words)[word[known]])
         codes = trie.codes_at(place)
         new = np.flatnonzero(place < 0)  # an n-gram that the trie doesn't hold backs off
         codes[new] = quantised(share[new] / (total[context[new]] + strength))
@@ -512,7 +514,7 @@ def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS,
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     tables = Bucketed(spark, "block")
     blocks = tables.store(make_blocks(docs.select("doc_id", held.alias("held"), "text"), block_tokens).repartition(tables.buckets, "block"))
     size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_begins").alias("b"), F.count(F.lit(1)).alias("k")).first()
