@@ -34,10 +34,14 @@ def by_count(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column)
 
 
-def best_images(images: DataFrame, keys: list[str], src: str, score: Column) -> DataFrame:
-    """Each image address of an entity once, with its best score."""
+def best_images(images: DataFrame, keys: list[str], src: str, score: Column, tie: Column) -> DataFrame:
+    """Each image address of an entity once, with its best score; of equal scores the one with the greatest ``tie`` counts.
+
+    As with SQL's arg_max, rows without a score or a value take no part in that value.
+    """
     rest = [c for c in images.columns if c not in (*keys, src)]
-    return images.groupBy(*keys, src).agg(F.max(score).alias("best_score"), *[F.max_by(c, score).alias(c) for c in rest])
+    best = [F.max_by(c, F.when(score.isNotNull() & F.col(c).isNotNull(), F.struct(score, tie))).alias(c) for c in rest]
+    return images.groupBy(*keys, src).agg(F.max(score).alias("best_score"), *best)
 
 
 def related_capped(urls: Column, own: Column, most: int = 10) -> Column:

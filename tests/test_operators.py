@@ -157,3 +157,20 @@ def test_crawl_frontier_covers_every_host(spark, tmp_path):
     filled = [tuple(r[have[f.name]] if f.name in have else None for f in schema) for r in rows]
     spark.createDataFrame(filled, schema).write.parquet(f"{tmp_path}/pages.parquet")
     assert {r.url for r in crawl_frontier(spark, str(tmp_path)).collect()} == {f"https://h{k:02}.es/lugar/a" for k in range(30)}
+
+
+def test_equal_scores_go_to_the_first_event_as_in_sql(spark, tmp_path):
+    import duckdb
+
+    from quernstone.queries.reports import REGISTRY
+
+    rows = [(k, k % 7, "view" if k % 2 else "buy", float(k % 7)) for k in range(400)]
+    rows += [(500, 50, "view", None), (501, 51, "view", 1.0), (502, 51, "view", None), (None, 52, "view", 9.0), (503, 52, "view", 3.0), (504, 53, "buy", float("nan")), (505, 53, "buy", 2.0)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double")
+    events.orderBy("event_id").coalesce(1).write.parquet(f"{tmp_path}/first")
+    # Partitions in which the later events come first.
+    events.repartitionByRange(6, F.desc("event_id")).sortWithinPartitions(F.desc("event_id")).write.parquet(f"{tmp_path}/events.parquet")
+    got = {tuple(r) for r in REGISTRY.queries["best_image_per_source"](spark, str(tmp_path)).filter("user_id <> 53").collect()}
+    con = duckdb.connect(config={"threads": 1})
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/first/*.parquet')")
+    assert got == {tuple(r) for r in con.execute(REGISTRY.sql["best_image_per_source"]).fetchall() if r[0] != 53}
