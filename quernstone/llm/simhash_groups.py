@@ -4,8 +4,9 @@ Fingerprints of whole texts only show very close copies: at a similarity of 0.8
 differ in about ten bits, where no index is selective. So a text also has fingerprints of parts. Its
 distinct shingles are dealt into parts by their hash, two to four to a part, as many parts as its length
 asks for; PARTS of them, the same ones in every text of that length, are fingerprinted. Near copies
-have several parts in common: at a similarity of 0.8 and three shingles to a part, a pair is missed about
-once in five hundred times. A text whose length lies near a step is dealt out for both.
+have several parts in common: at a similarity of 0.8 and three shingles to a part, a pair shares none about
+once in five hundred times, and texts of ten words about once in fifty. A text whose length lies near a step is
+dealt out for both.
 
 Texts that share a part's or the whole fingerprint are in one bucket. A text that shares none joins the buckets
 of the whole fingerprints within three bits of its own, which pigeonring filtering finds.
@@ -13,11 +14,12 @@ of the whole fingerprints within three bits of its own, which pigeonring filteri
 Each pair that shares a bucket is confirmed, joined in another way or ruled out, on whole shingle sets. First
 every member is compared with the bucket's LEADERS: the text that shares most with others, and texts picked by
 hash, but for those whose lengths rule the similarity out. Then, in buckets that still hold several components, each member outside the largest one is compared
-with LEADERS members of it. That joins most of a group at a cost in proportion to the bucket. What is left are
-members outside their bucket's largest component; they are paired with all texts of such buckets by a prefix- and
-length-filtered set join on shingles, rarest first, which no pair of the wanted similarity escapes. Groups
-are the components of what is confirmed. Many texts that are nearly, but not quite, similar enough to each
-other have to be compared pair by pair.
+with LEADERS members of it. That joins most of a group at a cost in proportion to the bucket. What no bucket has
+brought together, also texts that share none, is found by a prefix- and length-filtered set join over the shingles
+of all texts, rarest first, which no pair of the wanted similarity escapes; it pairs texts of different components
+only. What is rare is told by counters of all shingles by hash; any order of shingles is exact, this one keeps
+frequent passages out of the prefixes. Groups are the components of what is confirmed. Many texts that are nearly,
+but not quite, similar enough to each other have to be compared pair by pair.
 
 Cases: texts that are equal are one node, as are all texts without words; fewer than five words are one
 shingle; a very long text is read in parts; of equal ids with different texts each text is judged by itself; a null
@@ -31,11 +33,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.arrow import mapped, texts, values
+from quernstone.llm.arrow import frugal, mapped, small_batches, texts, values
 from quernstone.llm.simhash import ring_pairs
 from quernstone.llm.text import shingles, word_hashes
 from quernstone.plans.components import connected_components
@@ -48,6 +50,8 @@ PARTS = 12
 LEADERS = 2
 #: Pairs that one copy of a shingle set is compared in, when pairs are confirmed.
 PAIRS = 1000
+#: Counters that shingles are ordered by, a power of two.
+COUNTERS = 1 << 18
 H = ["__h1", "__h2"]
 
 
@@ -191,41 +195,76 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return stored(mapped(sides, check, [T.StructField("similar", T.DoubleType())], ("set_a", "set_b")).filter(F.col("similar") >= least).select("a", "b"), "links")
 
 
-def _outside(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members outside their bucket's largest component (key, node, size, label, largest and picks of that component), and such buckets (key, n)."""
+def _outside(placed: DataFrame) -> DataFrame:
+    """Members outside their bucket's largest component: key, node, size, label, largest and picks of that component."""
     parts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m"), F.array(*_picks(LEADERS, 100)).alias("picks"))
     sizes = parts.groupBy("key").agg(F.sum("m").alias("n"), F.count(F.lit(1)).alias("labels"), F.max_by(F.struct("label", "picks"), F.struct("m", "label")).alias("most"))
     mixed = stored(sizes.filter("labels > 1").select("key", "n", F.col("most.label").alias("largest"), F.array_distinct("most.picks").alias("picks")), "mixed")
     total = mixed.agg(F.sum("n")).first()[0] or 0
-    return stored(heavy_light_join(placed, mixed, ["key"], "n", total).filter("label <> largest"), "outside"), mixed.select("key", "n")
-
-
-def _open_pairs(placed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(a, b): the pairs of different components in one bucket that can be similar, by a prefix-filtered join."""
-    outside, mixed = _outside(placed)
-    small = outside.select("node").distinct().withColumn("small", F.lit(True))
-    keys = mixed.join(outside.select("key").distinct(), "key", "left_semi")
-    total = keys.agg(F.sum("n")).first()[0] or 0
-    members = heavy_light_join(placed, keys, ["key"], "n", total, "left_semi").select("node", "label").distinct()
-    nodes = stored(members.join(small, "node", "left").select("node", "label", F.coalesce("small", F.lit(False)).alias("small")), "open")
-
-    def spread(parts):
-        for part in parts:
-            for at in range(0, part.num_rows, 64):
-                some = part.slice(at, 64)
-                found = [np.frombuffer(x, "<i8") for x in values(some, "shingles")]
-                sizes = np.array([len(x) for x in found], np.int64)
-                every = np.concatenate(found) if found else np.zeros(0, np.int64)
-                columns = [np.repeat(np.array(values(some, c)), sizes) for c in ("node", "label", "small")]
-                yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()), strict=True)), pa.array(np.repeat(sizes, sizes)), pa.array(every)], names=["node", "label", "small", "size", "shingle"])
-
-    words = stored(sets.join(nodes, "node").select("node", "label", "small", "shingles").mapInArrow(spread, "node long, label long, small boolean, size long, shingle long"), "shingles")
-    often = stored(words.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).withColumn("often", F.col("n")), "often")
-    counted = heavy_light_join(words, often, ["shingle"], "n", words.count())
-    ranked = counted.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle")))
-    prefix = stored(ranked.filter((F.col("place") <= F.col("size") - F.ceil(F.col("size") * least - 1e-6) + 1) & (F.col("often") > 1)).drop("often"), "prefixes")
-    x, y = prefix.filter("small").select("shingle", "node", "label", F.col("size").alias("m"), F.col("place").alias("i")), prefix.select("shingle", F.col("node").alias("other"), F.col("label").alias("label2"), F.col("small").alias("small2"), F.col("size").alias("n"), F.col("place").alias("j"))
-    room = F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) + 1 >= (F.col("m") + F.col("n")) * (least / (1 + least)) - 1e-6
+    return stored(heavy_light_join(placed, mixed, ["key"], "n", total).filter("label <> largest"), "outside")
+
+
+def _rarity(docs: DataFrame) -> np.ndarray:
+    """How often the distinct shingles of all texts fall on each of COUNTERS hashes."""
+    chunk = COUNTERS >> 4
+
+    def count(parts):
+        counts = np.zeros(COUNTERS, np.int64)
+        for part in frugal(parts):
+            if found := shingle_sets(texts(part, "text")):
+                counts += np.bincount((np.concatenate(found) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        counts = counts.astype("<i8")
+        yield pa.RecordBatch.from_arrays([pa.array(range(16), pa.int32()), pa.array([counts[k * chunk : (k + 1) * chunk].tobytes() for k in range(16)], pa.binary())], names=["chunk", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py(), "<i8") for x in table.column("counts"))
+        return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    kind = "chunk int, counts binary"
+    rows = small_batches(docs.select("text")).mapInArrow(count, kind).groupBy("chunk").applyInArrow(add, kind).collect()
+    found = np.zeros(COUNTERS, np.int64)
+    for row in rows:
+        found[row["chunk"] * chunk : (row["chunk"] + 1) * chunk] = np.frombuffer(row["counts"], "<i8")
+    return np.minimum(found, np.iinfo(np.uint32).max).astype(np.uint32)
+
+
+def prefix(found: np.ndarray, rarity: np.ndarray, least: float) -> np.ndarray:
+    """Of distinct shingles in order the rarest, of which two texts of that similarity have one in common."""
+    size = len(found)
+    order = np.argsort(rarity[(found & np.uint64(len(rarity) - 1)).astype(np.int64)], kind="stable")
+    return found[order[: size - int(np.ceil(size * least - 1e-6)) + 1]]
+
+
+def _prefixes(docs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """(node, size, prefix) for every text that has words."""
+    docs = docs.filter("doc_id IS NOT NULL").select("doc_id", *identity(), "text")
+    rarity = _rarity(docs)
+
+    def make(part: pa.RecordBatch) -> dict[str, list]:
+        return {"prefix": [prefix(x, rarity, least).view(np.int64) if len(x) else [] for x in shingle_sets(texts(part, "text"))]}
+
+    rows = stored(mapped(docs, make, [T.StructField("prefix", T.ArrayType(T.LongType()))], ("text",)), "prefixes")
+    own = nodes.filter("size > 0").select("node", "size", F.col("least").alias("doc_id"), *H)
+    return rows.join(own, ["doc_id", *H]).select("node", "size", "prefix").dropDuplicates(["node"])
+
+
+def _open_pairs(prefixes: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """(a, b): the pairs of texts of different components that can be similar, by a prefix-filtered join.
+
+    A shingle that only one component has pairs nothing, and a shingle's largest component isn't paired with itself.
+    """
+    labelled = stored(prefixes.join(labels, "node", "left").select("node", "size", "prefix", F.coalesce("label", "node").alias("label")), "labelled")
+    words = labelled.select("node", "label", "size", F.posexplode("prefix").alias("place", "shingle"))
+    mixed = stored(words.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y").select("shingle", "n"), "mixed")
+    release(labelled.sparkSession)
+    total = mixed.agg(F.sum("n")).first()[0] or 0
+    met = stored(heavy_light_join(words, mixed, ["shingle"], "n", total, "left_semi"), "met")
+    parts = met.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("m"))
+    largest = stored(parts.groupBy("shingle").agg(F.sum("m").alias("n"), F.max_by("label", F.struct("m", "label")).alias("largest")), "largest")
+    marked = stored(heavy_light_join(met, largest, ["shingle"], "n", total).withColumn("small", F.col("label") != F.col("largest")).drop("largest"), "marked")
+    x = marked.filter("small").select("shingle", "node", "label", F.col("size").alias("m"), F.col("place").alias("i"))
+    y = marked.select("shingle", F.col("node").alias("other"), F.col("label").alias("label2"), F.col("small").alias("small2"), F.col("size").alias("n"), F.col("place").alias("j"))
+    room = F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) >= (F.col("m") + F.col("n")) * (least / (1 + least)) - 1e-6
     once = ~F.col("small2") | (F.col("node") > F.col("other"))
     return _ordered(x.join(y, "shingle").filter((F.col("label") != F.col("label2")) & once & room).select("node", "other"))
 
@@ -245,15 +284,19 @@ def _groups(docs: DataFrame, least: float) -> DataFrame:
     groups = stored(connected_components(links), "components")
     release(spark)
     placed = stored(shared.select("key", "node", "size").join(groups, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("label")), "placed")
-    outside, _ = _outside(placed)
-    second = _confirmed(_compared(outside, "picks", least), sets, least)
+    second = _confirmed(_compared(_outside(placed), "picks", least), sets, least)
     # Components that a pair joins are one from here on.
     label = lambda side: placed.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")).distinct()
     joined = second.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
     moved = stored(connected_components(joined).toDF("label", "lower"), "moved")
     placed = stored(placed.join(moved, "label", "left").select("key", "node", "size", F.coalesce("lower", "label").alias("label")), "placed")
     release(spark)
-    third = _confirmed(_open_pairs(placed, sets, least), sets, least)
+    # What no bucket has brought together is found on the shingles of all texts.
+    open_pairs = stored(_open_pairs(_prefixes(docs, nodes, least), placed.select("node", "label").distinct(), least), "open")
+    release(spark)
+    more = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(wanted, "node", "left_anti")
+    more = stored(more.join(nodes, "node").select("node", F.col("least").alias("doc_id"), *H), "more")
+    third = _confirmed(open_pairs, sets.unionByName(_sets(docs, more)), least)
     release(spark)
     if not (second.isEmpty() and third.isEmpty()):
         groups = stored(connected_components(links.unionByName(second).unionByName(third)), "components")

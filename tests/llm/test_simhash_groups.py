@@ -1,4 +1,6 @@
-from quernstone.llm.simhash_groups import drop_near_copies, near_copy_groups, shingle_sets, similarity
+from quernstone.llm.simhash_groups import drop_near_copies, near_copy_groups, shingle_sets, signature, similarity
+from quernstone.llm.text import shingles as shingle_hashes
+from quernstone.llm.text import word_hashes
 
 from .frames import awkward, clashing, empty, words
 
@@ -113,3 +115,17 @@ def test_whole_fingerprints_meet_where_no_part_does(spark):
 def test_bytes_that_are_not_text_and_repeated_rows(spark):
     docs = spark.sql("SELECT 1L AS doc_id, CAST(X'FF61' AS STRING) AS text, 'a' AS lang UNION ALL SELECT 2L, CAST(X'FF61' AS STRING), 'b' UNION ALL SELECT 3L, 'c', 'z' UNION ALL SELECT 3L, 'c', 'y'")
     assert sorted(r.doc_id for r in drop_near_copies(docs).collect()) == [1, 3]
+
+
+def test_similar_texts_that_share_no_bucket_meet(spark):
+    rows = []
+    for k in range(400):
+        base = [f"u{k}w{j}" for j in range(9 + k % 3)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join([*base, f"u{k}end"]))]
+    signed = [signature(shingle_hashes(w, 5)) for w in word_hashes([x.encode() for _, x in rows])]
+    apart = [k for k in range(0, 800, 2) if not set(signed[k][1]) & set(signed[k + 1][1]) and ((signed[k][0] ^ signed[k + 1][0]) & (2**64 - 1)).bit_count() > 3]
+    assert len(apart) > 5
+    # Each of two such texts also has company of its own, so it doesn't look for fingerprints.
+    rows += [(1000 + k, rows[k][1] + " more words that follow here") for k in apart]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.group_id for r in near_copy_groups(docs).collect()} == brute_groups(rows)
