@@ -170,7 +170,8 @@ class Route:
     def __init__(self, shards: int, blocks: int, fan: int = FAN):
         self.shards = shards
         self.direct = shards <= fan
-        self.width = max(fan, int(np.ceil(np.sqrt(shards))))  # shards behind a relay
+        # Shards behind a relay, and blocks before it: their square root, so that a relay holds about what a block does.
+        self.width = int(np.ceil(np.sqrt(shards)))
         self.bunches = blocks // self.width + 1
 
     def first(self, shard: np.ndarray, block: int) -> np.ndarray:
@@ -463,6 +464,10 @@ def _serve(strength: float, last: bool):
         counts = np.bincount(inverse, weights=item(1), minlength=len(ngrams))
         lower = np.zeros(len(ngrams), np.uint16)
         lower[inverse] = item(2)
+        inverse = inverse.astype(np.int32)
+        sizes = [len(p.items[0]) for p in parcels]
+        for p in parcels:  # what was asked is in the arrays above; only the index is needed for the answers
+            p.groups, p.items = [], []
         context, word = ngrams >> 32, ngrams & 0xFFFFFFFF
         del ngrams
         share = strength * share_of(lower)
@@ -483,7 +488,7 @@ def _serve(strength: float, last: bool):
         if not last:
             place[new] = np.maximum.accumulate(place)[new]  # isn't read, and close to the others takes no room
             columns += [counts.astype(np.uint64)[inverse], place[inverse]]
-        cuts = np.cumsum([len(p.items[0]) for p in parcels])[:-1]
+        cuts = np.cumsum(sizes)[:-1]
         return [Parcel(p.index, [], list(x)) for p, *x in zip(parcels, *(np.split(x, cuts) for x in columns), strict=True)], 0
 
     return serve

@@ -125,3 +125,20 @@ def test_empty_and_untrained(spark):
 def test_bytes_that_are_not_text(spark):
     docs = awkward(spark).select("doc_id", "text").unionAll(spark.sql("SELECT 77L AS doc_id, CAST(X'61FF20FE0A62' AS STRING) AS text"))
     assert {r.doc_id: r.n_tokens for r in score_texts(docs, held_out(F.col("doc_id"))).collect()}[77] == 4
+
+
+def test_a_relay_holds_what_a_block_does():
+    import numpy as np
+
+    from quernstone.llm.lm_score import BLOCK_TOKENS, SHARD_TOKENS, Route
+
+    for tokens in (300_000_000, 1_000_000_000, 20_000_000_000):
+        shards, blocks = tokens // SHARD_TOKENS + 1, tokens // BLOCK_TOKENS + 1
+        route = Route(shards, blocks)
+        held: dict[int, float] = {}
+        # Each block sends an equal part of its tokens to each shard; some of the blocks tell the largest relay.
+        some = range(0, blocks, max(1, blocks // 2000))
+        for block in some:
+            for dest, n in zip(*np.unique(route.first(np.arange(shards), block), return_counts=True), strict=True):
+                held[int(dest)] = held.get(int(dest), 0) + n / shards * blocks / len(some)
+        assert np.mean(list(held.values())) < 2 and len(held) > blocks / 4
