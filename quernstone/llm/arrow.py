@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
@@ -19,15 +20,29 @@ BATCH_BYTES = 8 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def _bound(spark: SparkSession, most: int) -> None:
+    now = spark.conf.get(_BATCH_SETTING)
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= most:
+        spark.conf.set(_BATCH_SETTING, str(most))
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, with the session's Arrow batches bounded to BATCH_BYTES; a smaller bound that is set stays."""
-    conf = df.sparkSession.conf
-    now = conf.get(_BATCH_SETTING)
-    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
-        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    _bound(df.sparkSession, BATCH_BYTES)
     return df
 
 
+@contextmanager
+def smaller_batches(spark: SparkSession, most: int):
+    """Meanwhile the session's Arrow batches end with the row that reaches ``most`` bytes, or a smaller bound that is set."""
+    before = spark.conf.get(_BATCH_SETTING)
+    _bound(spark, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def trim() -> None:
     """Give freed memory back to the system."""
     give = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -13,6 +13,8 @@ import tempfile
 import numpy as np
 
 ONE = np.uint64(1)
+#: Numbers that are packed or looked up at once, whole words of them; arrays of a step are only as long.
+SLICE = 1 << 16
 
 
 #: Where the k-th one of a byte is.
@@ -47,29 +49,31 @@ class EliasFano:
     """A monotone sequence. ``store`` places an array in the memory-mapped file and returns the view."""
 
     def __init__(self, values: np.ndarray, store=lambda x: x):
-        values = values.astype(np.uint64)
         n = self.n = len(values)
         top = int(values[-1]) + 1 if n else 1
         self.low_bits = max(0, (top // max(n, 1)).bit_length() - 1)
-        high = (values >> np.uint64(self.low_bits)).astype(np.int64)
         self.top = top >> self.low_bits
         length = n + self.top + 2
         bits = np.zeros((length + 63) // 64 * 64, bool)
-        bits[high + np.arange(n)] = True
+        packed = np.zeros(n * self.low_bits // 64 + 2, np.uint64)
+        for first in range(0, n, SLICE):
+            part = values[first : first + SLICE].astype(np.uint64)
+            index = np.arange(first, first + len(part))
+            bits[(part >> np.uint64(self.low_bits)).astype(np.int64) + index] = True
+            if self.low_bits:
+                low = part & np.uint64((1 << self.low_bits) - 1)
+                at = index * self.low_bits
+                word, shift = at >> 6, (at & 63).astype(np.uint64)
+                # Places rise, so the numbers that share a word are a run; at most one of them goes on in the next word.
+                heads = np.flatnonzero(np.diff(word, prepend=-1))
+                packed[word[heads]] = np.bitwise_or.reduceat(low << shift, heads)
+                spill = shift + np.uint64(self.low_bits) > 64
+                packed[word[spill] + 1] |= low[spill] >> (np.uint64(64) - shift[spill])
         words = np.packbits(bits, bitorder="little").view("<u8")
+        del bits
         counts = np.bitwise_count(words).astype(np.int64)
         ones = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
         self.words, self.ones, self.zeros = store(words), store(ones), store(np.arange(len(words), dtype=np.int64) * 64 - ones)
-        packed = np.zeros(n * self.low_bits // 64 + 2, np.uint64)
-        if self.low_bits:
-            low = values & np.uint64((1 << self.low_bits) - 1)
-            at = np.arange(n, dtype=np.int64) * self.low_bits
-            word, shift = at >> 6, (at & 63).astype(np.uint64)
-            # Places rise, so the numbers that share a word are a run; at most one of them goes on in the next word.
-            heads = np.flatnonzero(np.diff(word, prepend=-1))
-            packed[word[heads]] = np.bitwise_or.reduceat(low << shift, heads)
-            spill = shift + np.uint64(self.low_bits) > 64
-            packed[word[spill] + 1] |= low[spill] >> (np.uint64(64) - shift[spill])
         self.low = store(packed)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -126,15 +130,16 @@ class EliasFano:
 
     def find(self, target: np.ndarray) -> np.ndarray:
         """The first place of the target, -1 where there is none."""
-        target = np.asarray(target, np.uint64)
-        high = (target >> np.uint64(self.low_bits)).astype(np.int64)
-        low = target & np.uint64((1 << self.low_bits) - 1)
-        begin, end = self._sharing(np.minimum(high, self.top))
-        place = self._first_low(low, begin, end)
-        fits = np.flatnonzero((place < end) & (high <= self.top))
         found = np.full(len(target), -1, np.int64)
-        same = fits[self._low(place[fits]) == low[fits]]
-        found[same] = place[same]
+        for first in range(0, len(target), SLICE):
+            part = np.asarray(target[first : first + SLICE], np.uint64)
+            high = (part >> np.uint64(self.low_bits)).astype(np.int64)
+            low = part & np.uint64((1 << self.low_bits) - 1)
+            begin, end = self._sharing(np.minimum(high, self.top))
+            place = self._first_low(low, begin, end)
+            fits = np.flatnonzero((place < end) & (high <= self.top))
+            same = fits[self._low(place[fits]) == low[fits]]
+            found[first + same] = place[same]
         return found
 
 

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quernstone.llm.arrow import frugal, rows_of, small_batches, texts, trim, values
+from quernstone.llm.arrow import frugal, rows_of, small_batches, smaller_batches, texts, trim, values
 from quernstone.llm.elias_fano import NgramTrie, WordLevel, log10_of, quantised, share_of
 from quernstone.llm.text import coded_words, grouped, mixed
 from quernstone.plans.scratch import Bucketed, release, stored
@@ -54,6 +54,8 @@ STRENGTHS = {2: 1000.0, 3: 30.0}
 BLOCK_TOKENS = 500_000
 SHARD_TOKENS = 1_000_000
 FAN = 256
+#: A block is a row of several MB; with this bound on Arrow batches each is sent by itself.
+ROW_BYTES = 1 << 20
 MESSAGE = "dest long, sender long, parcel binary, extra long"
 _MESSAGE = pa.schema([("dest", pa.int64()), ("sender", pa.int64()), ("parcel", pa.binary()), ("extra", pa.int64())])
 
@@ -455,20 +457,26 @@ def _serve(strength: float, last: bool):
         contexts, own = np.unique(group(1).astype(np.int64) << PLACE_BITS | group(0), return_inverse=True)
         total = np.zeros(len(contexts), np.float64)
         total[own] = group(3)
-        words, number = np.unique(item(0), return_inverse=True)
         # Contexts and words by their numbers in the shard are one key.
-        key = np.repeat(own, group(2)) << 32 | number
-        del own, number
+        key = np.repeat(own << 32, group(2))
+        del own
+        for p in parcels:  # each column goes when its array is made; only the index is needed for the answers
+            p.groups = []
+        words, number = np.unique(item(0), return_inverse=True)
+        sizes = [len(p.items[0]) for p in parcels]
+        for p in parcels:
+            p.items[0] = None
+        key |= number
+        del number
         ngrams, inverse = np.unique(key, return_inverse=True)
         del key
+        inverse = inverse.astype(np.int32)
         counts = np.bincount(inverse, weights=item(1), minlength=len(ngrams))
         lower = np.zeros(len(ngrams), np.uint16)
         lower[inverse] = item(2)
-        inverse = inverse.astype(np.int32)
-        sizes = [len(p.items[0]) for p in parcels]
-        for p in parcels:  # what was asked is in the arrays above; only the index is needed for the answers
-            p.groups, p.items = [], []
-        context, word = ngrams >> 32, ngrams & 0xFFFFFFFF
+        for p in parcels:
+            p.items = []
+        context, word = (ngrams >> 32).astype(np.int32), (ngrams & 0xFFFFFFFF).astype(np.int32)
         del ngrams
         share = strength * share_of(lower)
         del lower
@@ -519,11 +527,16 @@ def score_texts(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS,
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
     """
-    spark = small_batches(docs).sparkSession
-    tables = Bucketed(spark, "block")
+    with smaller_batches(small_batches(docs).sparkSession, ROW_BYTES):
+        return _scored(docs, held, block_tokens, shard_tokens, order, fan, strengths or STRENGTHS)
+
+
+def _scored(docs: DataFrame, held: Column, block_tokens: int, shard_tokens: int, order: int, fan: int, strengths: dict[int, float]) -> DataFrame:
+    spark = docs.sparkSession
+    tables = Bucketed(spark, "block", large=True)
     blocks = tables.store(make_blocks(docs.select("doc_id", held.alias("held"), "text"), block_tokens).repartition(tables.buckets, "block"))
     size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_begins").alias("b"), F.count(F.lit(1)).alias("k")).first()
-    scale = Scale(int(size["n"] or 0), 0, int(size["b"] or 0), shard_tokens, order, strengths or STRENGTHS)
+    scale = Scale(int(size["n"] or 0), 0, int(size["b"] or 0), shard_tokens, order, strengths)
     route = Route(scale.shards, size["k"], fan)
     words = tables.store(_by_block(route.exchange(_ask_words(blocks, scale, route), ASK_WORDS, ANSWER_WORDS, _serve_words), 1))
     scale.known = int(words.agg(F.sum("extra1")).first()[0] or 0)

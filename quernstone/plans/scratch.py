@@ -54,17 +54,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 class Bucketed:
-    """Tables of one call, each bucketed by a key in the shared folder, so that joins on it move one side only."""
+    """Tables of one call, each bucketed by a key in the shared folder, so that joins on it move one side only.
 
-    def __init__(self, spark: SparkSession, key: str):
+    ``large`` is for rows of several packed MB. Each is a row group of its own, since writers and readers hold a
+    whole group, and isn't compressed again, since codecs keep buffers outside the heap for their largest page.
+    """
+
+    LARGE = {"compression": "none", "parquet.block.size": str(1 << 20), "parquet.page.size.row.check.min": "1"}
+
+    def __init__(self, spark: SparkSession, key: str, large: bool = False):
         self.spark, self.key, self.names = spark, key, []
+        self.options = self.LARGE if large else {}
         self.folder = scratch_path(spark, "bucketed")
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def store(self, df: DataFrame) -> DataFrame:
         """``df``, which is dealt out by the key already, as a table."""
         name = f"quernstone_{uuid.uuid4().hex}"
-        df.write.bucketBy(self.buckets, self.key).option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name)
+        df.write.bucketBy(self.buckets, self.key).options(path=f"{self.folder}/{name}", **self.options).format("parquet").saveAsTable(name)
         self.names.append(name)
         return self.spark.table(name)
 

@@ -142,3 +142,60 @@ def test_a_relay_holds_what_a_block_does():
             for dest, n in zip(*np.unique(route.first(np.arange(shards), block), return_counts=True), strict=True):
                 held[int(dest)] = held.get(int(dest), 0) + n / shards * blocks / len(some)
         assert np.mean(list(held.values())) < 2 and len(held) > blocks / 4
+
+
+def test_a_shard_holds_little_beside_what_is_asked():
+    import tracemalloc
+
+    from quernstone.llm.lm_score import Parcel, _serve
+
+    rng = np.random.default_rng(5)
+    parcels, n = [], 4000
+    for block in range(200):
+        contexts = np.unique(rng.integers(0, 200_000, n))
+        sizes = rng.integers(1, 3, len(contexts)).astype(np.uint32)
+        items = [rng.integers(0, 50_000, sizes.sum()), rng.integers(0, 3, sizes.sum()).astype(np.uint32), rng.integers(1, 60_000, sizes.sum()).astype(np.uint16)]
+        index = [np.array([block]), np.array([0]), np.array([len(contexts)], np.int32), np.array([sizes.sum()], np.int32)]
+        parcels.append(Parcel(index, [contexts, np.zeros(len(contexts), np.uint32), sizes, np.full(len(contexts), 1000, np.uint64)], items))
+    asked = sum(len(p.items[0]) for p in parcels)
+    tracemalloc.start()
+    try:
+        answers, _ = _serve(30.0, True)(parcels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(p.items[0]) for p in answers) == asked
+    assert peak < 110 * asked  # bytes beside the parcels; when every n-gram was looked up at once they were 176
+
+
+def test_blocks_are_sent_one_by_one_and_the_setting_stays(spark):
+    from quernstone.llm.arrow import smaller_batches
+    from quernstone.llm.lm_score import ROW_BYTES
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    with smaller_batches(spark, ROW_BYTES):
+        rows = spark.range(6, numPartitions=1).select(F.repeat(F.lit("x"), 3 << 19).alias("x"))
+        sizes = rows.mapInArrow(lambda parts: (p.select([]).from_pydict({"n": [p.num_rows]}) for p in parts), "n long").collect()
+    assert [r.n for r in sizes] == [1] * 6
+    assert spark.conf.get(name) == before
+    score_texts(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), F.lit(False)).collect()
+    assert int(spark.conf.get(name).rstrip("b")) > ROW_BYTES
+
+
+def test_large_rows_are_row_groups_of_their_own(spark):
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+
+    from quernstone.plans.scratch import Bucketed
+
+    tables = Bucketed(spark, "block", large=True)
+    try:
+        rows = spark.range(6).select(F.col("id").alias("block"), F.repeat(F.lit("x"), 2 << 20).cast("binary").alias("tokens"))
+        table = tables.store(rows.repartition(1, "block"))
+        groups = [pq.read_metadata(urlparse(f).path) for f in table.inputFiles()]
+        assert sum(g.num_row_groups for g in groups) == 6 and table.count() == 6
+        assert {g.row_group(0).column(1).compression for g in groups} == {"UNCOMPRESSED"}
+    finally:
+        tables.drop()
