@@ -42,7 +42,7 @@ from quernstone.llm.simhash import ring_pairs
 from quernstone.llm.text import shingles, word_hashes
 from quernstone.plans.components import connected_components
 from quernstone.plans.joins import heavy_light_join
-from quernstone.plans.scratch import release, stored
+from quernstone.plans.scratch import release, stored, temporary
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -50,6 +50,8 @@ PARTS = 12
 LEADERS = 2
 #: Pairs that one copy of a shingle set is compared in, when pairs are confirmed.
 PAIRS = 1000
+#: Parts in which the shingles of all texts are dealt out and compared, one after the other.
+SLICES = 4
 #: Counters that shingles are ordered by, a power of two.
 COUNTERS = 1 << 18
 H = ["__h1", "__h2"]
@@ -125,9 +127,9 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def make(part: pa.RecordBatch) -> dict[str, list]:
         return {"shingles": [x.astype("<u8").tobytes() for x in shingle_sets(texts(part, "text"))]}
 
-    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", *identity()).join(wanted, ["doc_id", *H]).select("node", "text")
-    found = stored(mapped(rows, make, [T.StructField("shingles", T.BinaryType())], ("text",)), "sets")
-    return found.dropDuplicates(["node"])
+    with temporary(docs.sparkSession) as keep:
+        rows = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", *identity()).join(wanted, ["doc_id", *H]).select("node", "text").dropDuplicates(["node"])
+        return keep(stored(mapped(rows, make, [T.StructField("shingles", T.BinaryType())], ("text",)), "sets"))
 
 
 def _bucketed(nodes: DataFrame) -> DataFrame:
@@ -248,17 +250,25 @@ def _prefixes(docs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return rows.join(own, ["doc_id", *H]).select("node", "size", "prefix").dropDuplicates(["node"])
 
 
-def _open_pairs(prefixes: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+def _open_pairs(docs: DataFrame, nodes: DataFrame, labels: DataFrame, least: float) -> DataFrame:
     """(a, b): the pairs of texts of different components that can be similar, by a prefix-filtered join.
 
     A shingle that only one component has pairs nothing, and a shingle's largest component isn't paired with itself.
+    All rows of a shingle are in one slice, and slices are taken one after the other, so that few are on disk at once.
     """
-    labelled = stored(prefixes.join(labels, "node", "left").select("node", "size", "prefix", F.coalesce("label", "node").alias("label")), "labelled")
-    words = labelled.select("node", "label", "size", F.posexplode("prefix").alias("place", "shingle"))
-    mixed = stored(words.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y").select("shingle", "n"), "mixed")
-    release(labelled.sparkSession)
-    total = mixed.agg(F.sum("n")).first()[0] or 0
-    met = stored(heavy_light_join(words, mixed, ["shingle"], "n", total, "left_semi"), "met")
+    spark = docs.sparkSession
+    with temporary(spark) as keep:
+        prefixes = _prefixes(docs, nodes, least)
+        labelled = keep(stored(prefixes.join(labels, "node", "left").select("node", "size", "prefix", F.coalesce("label", "node").alias("label")), "labelled"))
+    met, total = None, 0
+    for number in range(SLICES):
+        with temporary(spark) as keep:
+            words = labelled.select("node", "label", "size", F.posexplode("prefix").alias("place", "shingle")).filter(F.pmod(F.xxhash64("shingle"), F.lit(SLICES)) == number)
+            mixed = stored(words.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y").select("shingle", "n"), "mixed")
+            release(spark)
+            rows = mixed.agg(F.sum("n")).first()[0] or 0
+            part = keep(stored(heavy_light_join(words, mixed, ["shingle"], "n", rows, "left_semi"), "met"))
+        met, total = met.unionByName(part) if met else part, total + rows
     parts = met.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("m"))
     largest = stored(parts.groupBy("shingle").agg(F.sum("m").alias("n"), F.max_by("label", F.struct("m", "label")).alias("largest")), "largest")
     marked = stored(heavy_light_join(met, largest, ["shingle"], "n", total).withColumn("small", F.col("label") != F.col("largest")).drop("largest"), "marked")
@@ -272,34 +282,44 @@ def _open_pairs(prefixes: DataFrame, labels: DataFrame, least: float) -> DataFra
 def _groups(docs: DataFrame, least: float) -> DataFrame:
     """(doc_id, h1, h2, group_id, stays) for every document with an id."""
     spark = docs.sparkSession
-    signed = _signed(docs)
+    with temporary(spark) as keep:
+        signed = _signed(docs)
+        # Equal texts are one node.
+        texts = stored(signed.groupBy(*H).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp"), F.first("parts").alias("parts"), F.first("size").alias("size")).withColumn("node", F.monotonically_increasing_id()), "texts")
+        signed = keep(stored(signed.select("doc_id", *H), "ids"))
+        nodes = keep(stored(texts.drop("fp", "parts"), "nodes"))
+        with temporary(spark) as keep_buckets:
+            shared = keep_buckets(_bucketed(texts))
+        keep(shared)
     total = signed.count()
-    # Equal texts are one node.
-    nodes = stored(signed.groupBy(*H).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp"), F.first("parts").alias("parts"), F.first("size").alias("size")).withColumn("node", F.monotonically_increasing_id()), "texts")
-    shared = _bucketed(nodes)
-    release(spark)
     wanted = nodes.select("node", F.col("least").alias("doc_id"), *H).join(shared.select("node").distinct(), "node", "left_semi")
-    sets = _sets(docs, wanted)
-    links = _confirmed(_first_pairs(shared, least), sets, least)
-    groups = stored(connected_components(links), "components")
-    release(spark)
-    placed = stored(shared.select("key", "node", "size").join(groups, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("label")), "placed")
-    second = _confirmed(_compared(_outside(placed), "picks", least), sets, least)
-    # Components that a pair joins are one from here on.
-    label = lambda side: placed.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")).distinct()
-    joined = second.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    moved = stored(connected_components(joined).toDF("label", "lower"), "moved")
-    placed = stored(placed.join(moved, "label", "left").select("key", "node", "size", F.coalesce("lower", "label").alias("label")), "placed")
-    release(spark)
-    # What no bucket has brought together is found on the shingles of all texts.
-    open_pairs = stored(_open_pairs(_prefixes(docs, nodes, least), placed.select("node", "label").distinct(), least), "open")
-    release(spark)
-    more = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(wanted, "node", "left_anti")
-    more = stored(more.join(nodes, "node").select("node", F.col("least").alias("doc_id"), *H), "more")
-    third = _confirmed(open_pairs, sets.unionByName(_sets(docs, more)), least)
-    release(spark)
+    with temporary(spark) as keep_sets:
+        sets = keep_sets(_sets(docs, wanted))
+        with temporary(spark) as keep:
+            links = keep(_confirmed(_first_pairs(shared, least), sets, least))
+        with temporary(spark) as keep:
+            groups = keep(stored(connected_components(links), "components"))
+            placed = keep(stored(shared.select("key", "node", "size").join(groups, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("label")), "placed"))
+        with temporary(spark) as keep:
+            second = keep(_confirmed(_compared(_outside(placed), "picks", least), sets, least))
+        # Components that a pair joins are one from here on.
+        with temporary(spark) as keep:
+            label = lambda side: placed.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")).distinct()
+            joined = second.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+            moved = connected_components(joined).toDF("label", "lower")
+            labels = keep(stored(placed.select("node", "label").distinct().join(moved, "label", "left").select("node", F.coalesce("lower", "label").alias("label")), "labels"))
+        # What no bucket has brought together is found on the shingles of all texts.
+        with temporary(spark) as keep:
+            open_pairs = keep(stored(_open_pairs(docs, nodes, labels, least), "open"))
+        with temporary(spark) as keep:
+            more = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(wanted, "node", "left_anti")
+            more = stored(more.join(nodes, "node").select("node", F.col("least").alias("doc_id"), *H), "more")
+            third = keep(_confirmed(open_pairs, sets.unionByName(_sets(docs, more)), least))
+        for found in (links, groups, second, third):
+            keep_sets(found)
     if not (second.isEmpty() and third.isEmpty()):
-        groups = stored(connected_components(links.unionByName(second).unionByName(third)), "components")
+        with temporary(spark) as keep:
+            groups = keep(stored(connected_components(links.unionByName(second).unionByName(third)), "components"))
     member = stored(nodes.join(groups, "node", "left").select(*H, "least", "n", F.coalesce("component", "node").alias("component")), "members")
     first = F.min(F.struct("least", *H)).alias("first")
     heads = stored(member.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), first), "heads")
@@ -318,7 +338,8 @@ def drop_near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     Rows without an id stay. Of rows that agree in id and text one stays, the one whose other columns have the smallest hash.
     """
-    groups = stored(_groups(docs, least), "groups")
+    with temporary(docs.sparkSession) as keep:
+        groups = keep(stored(_groups(docs, least), "groups"))
     gone = groups.filter("NOT stays").select("doc_id", *H).distinct()
     kept = docs.select("*", *identity()).join(gone, ["doc_id", *H], "left_anti")
     repeated = stored(groups.filter("stays").groupBy("doc_id", *H).count().filter("count > 1").select("doc_id", *H), "repeated")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import gc
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_FOLDER = "/tmp/checkpoints/quernstone"
 
 _made: list[tuple[SparkSession, str]] = []
+#: What the steps in progress have stored, where they are some of ``temporary``.
+_step: ContextVar[list[str] | None] = ContextVar("step", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,10 +53,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (step := _step.get()) is not None:
+        step.append(path)
     df.coalesce(max(1, FILES * spark.sparkContext.defaultParallelism)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession):
+    """What is stored meanwhile goes at the end, and so do its shuffle files, but for the tables that a kept frame reads.
+
+    Gives a function that keeps a frame and returns it. What a step within a step keeps is the outer one's.
+    """
+    outer, own = _step.get(), []
+    kept: list[str] = []
+    token = _step.set(own)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.extend(df.inputFiles())
+        return df
+
+    try:
+        yield keep
+    finally:
+        _step.reset(token)
+        for path in own:
+            folder = f"/{path.rsplit('/', 1)[1]}/"
+            if not any(folder in file for file in kept):
+                drop_path(spark, path)
+            elif outer is not None:
+                outer.append(path)
+        release(spark)
+
+
 class Bucketed:
     """Tables of one call, each bucketed by a key in the shared folder, so that joins on it move one side only.
 

@@ -129,3 +129,35 @@ def test_similar_texts_that_share_no_bucket_meet(spark):
     rows += [(1000 + k, rows[k][1] + " more words that follow here") for k in apart]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.group_id for r in near_copy_groups(docs).collect()} == brute_groups(rows)
+
+
+def test_tables_of_steps_that_are_done_are_deleted(spark):
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    tables = lambda: {p.name for p in folder.glob("quernstone-*")} if folder.exists() else set()
+    text = " ".join(words(200, 3))
+    docs = spark.createDataFrame([(k, text + (f" more{k}" if k % 3 else "")) for k in range(30)] + [(100 + k, " ".join(words(60, 50 + k))) for k in range(20)], "doc_id long, text string")
+    before = tables()
+    kept = drop_near_copies(docs)
+    left = {name.split("-")[1] for name in tables() - before}
+    assert left <= {"groups", "repeated"}
+    assert sorted(r.doc_id for r in kept.collect()) == [0, *range(100, 120)]
+
+
+def test_a_step_keeps_what_a_kept_frame_reads(spark):
+    from quernstone.plans.scratch import stored, temporary
+
+    with temporary(spark) as keep_outer:
+        with temporary(spark) as keep:
+            lost, one = stored(spark.range(3), "lost"), stored(spark.range(4), "one")
+            two = keep(one.join(stored(spark.range(2, 9), "two"), "id"))
+        assert sorted(r.id for r in two.collect()) == [2, 3]
+        inner = stored(spark.range(5), "inner")
+        none = keep_outer(stored(spark.range(0), "none"))
+    assert none.count() == 0
+    for gone in (lost, one, inner):
+        try:
+            assert gone.count() < 0
+        except Exception as error:
+            assert "FILE_NOT_EXIST" in str(error) or "does not exist" in str(error)
