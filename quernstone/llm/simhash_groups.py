@@ -17,7 +17,8 @@ hash, but for those whose lengths rule the similarity out. Then, in buckets that
 with LEADERS members of it. That joins most of a group at a cost in proportion to the bucket. What no bucket has
 brought together, also texts that share none, is found by a prefix- and length-filtered set join over the shingles
 of all texts, rarest first, which no pair of the wanted similarity escapes; it pairs texts of different components
-only. What is rare is told by counters of all shingles by hash; any order of shingles is exact, this one keeps
+only. Most of these pairs are far from similar, and their number grows faster than the texts', so they get no shingle
+sets: sketches of two to four bits a shingle rule them out first, by a bound that no similar pair breaks. What is rare is told by counters of all shingles by hash; any order of shingles is exact, this one keeps
 frequent passages out of the prefixes. Groups are the components of what is confirmed. Many texts that are nearly,
 but not quite, similar enough to each other have to be compared pair by pair.
 
@@ -89,13 +90,28 @@ def part_keys(found: np.ndarray) -> list[int]:
     return keys
 
 
-def signature(found: np.ndarray) -> tuple[int, list[int], int]:
-    """The whole fingerprint and the part keys of a text's shingles, and how many different ones there are."""
+def sketch(found: np.ndarray) -> bytes:
+    """The number of distinct shingles, and whether an odd number of them falls on each of two to four bits a shingle."""
+    bits = max(64, 1 << (2 * len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.array([len(found)], "<u8").tobytes() + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def can_be_similar(a: bytes, b: bytes, least: float) -> bool:
+    """False only if two texts are less similar than ``least``: where sketches differ, a shingle is in one of them only."""
+    short, long = sorted((np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")), key=len)
+    folded = np.bitwise_xor.reduce(long[1:].reshape(-1, len(short) - 1), axis=0)
+    apart = int(np.bitwise_count(folded ^ short[1:]).sum())
+    return apart <= (int(short[0]) + int(long[0])) * (1 - least) / (1 + least) + 1e-6
+
+
+def signature(found: np.ndarray) -> tuple[int, list[int], int, bytes]:
+    """The whole fingerprint and the part keys of a text's shingles, how many different ones there are, and their sketch."""
     if not len(found):
-        return 0, [], 0
+        return 0, [], 0, sketch(found)
     distinct = np.unique(found)
     ones = np.unpackbits(found.astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(found), bitorder="little").view("<i8")[0]), part_keys(distinct), len(distinct)
+    return int(np.packbits(ones * 2 > len(found), bitorder="little").view("<i8")[0]), part_keys(distinct), len(distinct), sketch(distinct)
 
 
 def shingle_sets(raws: list[bytes]) -> list[np.ndarray]:
@@ -111,13 +127,13 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, h1, h2, fp, parts, size) of every document with an id."""
+    """(doc_id, h1, h2, fp, parts, size, sketch) of every document with an id."""
 
     def make(part: pa.RecordBatch) -> dict[str, list]:
         rows = [signature(shingles(w, WORDS)) for w in word_hashes(texts(part, "text"))]
-        return {"fp": [r[0] for r in rows], "parts": [r[1] for r in rows], "size": [r[2] for r in rows]}
+        return {"fp": [r[0] for r in rows], "parts": [r[1] for r in rows], "size": [r[2] for r in rows], "sketch": [r[3] for r in rows]}
 
-    added = [T.StructField("fp", T.LongType()), T.StructField("parts", T.ArrayType(T.LongType())), T.StructField("size", T.LongType())]
+    added = [T.StructField("fp", T.LongType()), T.StructField("parts", T.ArrayType(T.LongType())), T.StructField("size", T.LongType()), T.StructField("sketch", T.BinaryType())]
     return stored(mapped(docs.filter("doc_id IS NOT NULL").select("doc_id", *identity(), "text"), make, added, ("text",)), "signatures")
 
 
@@ -176,25 +192,35 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
 
 
-def _with_shingles(pairs: DataFrame, side: str, sets: DataFrame) -> DataFrame:
-    """The pairs with the shingle set of one side; the set of a text in many pairs is dealt out in copies."""
+def _with_side(pairs: DataFrame, side: str, rows: DataFrame, name: str) -> DataFrame:
+    """The pairs with that column of ``rows`` for one side's node; the row of a text in many pairs is dealt out in copies."""
     counts = pairs.groupBy(F.col(side).alias("node")).agg(F.count(F.lit(1)).alias("n"))
     parts = counts.select("node", F.floor(F.col("n") / PAIRS).cast("int").alias("last"))
-    dealt = sets.join(parts, "node").select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}"), F.explode(F.sequence(F.lit(0), "last")).alias("__salt"))
+    dealt = rows.join(parts, "node").select(F.col("node").alias(side), F.col(name).alias(f"{name}_{side}"), F.explode(F.sequence(F.lit(0), "last")).alias("__salt"))
     few = parts.filter("last > 0").withColumnRenamed("node", side)
     salted = pairs.join(few, side, "left").withColumn("__salt", F.pmod(F.xxhash64("a", "b"), F.coalesce("last", F.lit(0)) + 1).cast("int")).drop("last")
     return salted.join(dealt, [side, "__salt"]).drop("__salt")
 
 
+def _close(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) that their sketches don't rule out."""
+    sides = _with_side(_with_side(pairs, "b", nodes, "sketch"), "a", nodes, "sketch")
+
+    def check(part: pa.RecordBatch) -> dict[str, list]:
+        return {"close": [can_be_similar(x, y, least) for x, y in zip(values(part, "sketch_a"), values(part, "sketch_b"), strict=True)]}
+
+    return stored(mapped(sides, check, [T.StructField("close", T.BooleanType())], ("sketch_a", "sketch_b")).filter("close").select("a", "b"), "close")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs whose similarity is ``least`` or more."""
     pairs = stored(pairs, "pairs")
-    sides = _with_shingles(_with_shingles(pairs, "b", sets), "a", sets)
+    sides = _with_side(_with_side(pairs, "b", sets, "shingles"), "a", sets, "shingles")
 
     def check(part: pa.RecordBatch) -> dict[str, list]:
-        return {"similar": [similarity(x, y) for x, y in zip(values(part, "set_a"), values(part, "set_b"), strict=True)]}
+        return {"similar": [similarity(x, y) for x, y in zip(values(part, "shingles_a"), values(part, "shingles_b"), strict=True)]}
 
-    return stored(mapped(sides, check, [T.StructField("similar", T.DoubleType())], ("set_a", "set_b")).filter(F.col("similar") >= least).select("a", "b"), "links")
+    return stored(mapped(sides, check, [T.StructField("similar", T.DoubleType())], ("shingles_a", "shingles_b")).filter(F.col("similar") >= least).select("a", "b"), "links")
 
 
 def _outside(placed: DataFrame) -> DataFrame:
@@ -285,7 +311,7 @@ def _groups(docs: DataFrame, least: float) -> DataFrame:
     with temporary(spark) as keep:
         signed = _signed(docs)
         # Equal texts are one node.
-        texts = stored(signed.groupBy(*H).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp"), F.first("parts").alias("parts"), F.first("size").alias("size")).withColumn("node", F.monotonically_increasing_id()), "texts")
+        texts = stored(signed.groupBy(*H).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp"), F.first("parts").alias("parts"), F.first("size").alias("size"), F.first("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id()), "texts")
         signed = keep(stored(signed.select("doc_id", *H), "ids"))
         nodes = keep(stored(texts.drop("fp", "parts"), "nodes"))
         with temporary(spark) as keep_buckets:
@@ -312,9 +338,11 @@ def _groups(docs: DataFrame, least: float) -> DataFrame:
         with temporary(spark) as keep:
             open_pairs = keep(stored(_open_pairs(docs, nodes, labels, least), "open"))
         with temporary(spark) as keep:
-            more = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(wanted, "node", "left_anti")
+            close = keep(_close(open_pairs, nodes, least))
+        with temporary(spark) as keep:
+            more = close.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(wanted, "node", "left_anti")
             more = stored(more.join(nodes, "node").select("node", F.col("least").alias("doc_id"), *H), "more")
-            third = keep(_confirmed(open_pairs, sets.unionByName(_sets(docs, more)), least))
+            third = keep(_confirmed(close, sets.unionByName(_sets(docs, more)), least))
         for found in (links, groups, second, third):
             keep_sets(found)
     if not (second.isEmpty() and third.isEmpty()):

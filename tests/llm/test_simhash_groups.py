@@ -1,4 +1,7 @@
-from quernstone.llm.simhash_groups import drop_near_copies, near_copy_groups, shingle_sets, signature, similarity
+import numpy as np
+
+from quernstone.llm import simhash_groups
+from quernstone.llm.simhash_groups import can_be_similar, drop_near_copies, near_copy_groups, shingle_sets, signature, similarity, sketch
 from quernstone.llm.text import shingles as shingle_hashes
 from quernstone.llm.text import word_hashes
 
@@ -161,3 +164,40 @@ def test_a_step_keeps_what_a_kept_frame_reads(spark):
             assert gone.count() < 0
         except Exception as error:
             assert "FILE_NOT_EXIST" in str(error) or "does not exist" in str(error)
+
+
+def test_sketches_rule_out_no_similar_pair():
+    r = np.random.default_rng(5)
+    ruled_out = 0
+    for n in [1, 2, 5, 31, 32, 33, 64, 100, 129, 1000, 5000]:
+        base = r.integers(0, 2**64, 2 * n, np.uint64)
+        for _ in range(40):
+            common, own, others = r.integers(0, n + 1), r.integers(0, n // 2 + 2), r.integers(0, n // 2 + 2)
+            a, b = np.unique(base[: common + own]), np.unique(np.concatenate([base[:common], r.integers(0, 2**64, others, np.uint64)]))
+            if len(a) and len(b):
+                true = similarity(a.tobytes(), b.tobytes())
+                for least in (0.5, 0.8, 0.95, true):
+                    kept = can_be_similar(sketch(a), sketch(b), least)
+                    assert kept or true < least, (n, true, least)
+                    ruled_out += not kept
+    assert ruled_out > 300
+
+
+def test_pairs_far_from_similar_get_no_shingle_sets(spark, monkeypatch):
+    # With few counters the order of shingles says little, as over very many texts, so unlike texts share prefixes.
+    monkeypatch.setattr(simhash_groups, "COUNTERS", 16)
+    asked, confirmed = [], simhash_groups._confirmed
+
+    def counted(pairs, sets, least):
+        asked.append(pairs.count())
+        return confirmed(pairs, sets, least)
+
+    monkeypatch.setattr(simhash_groups, "_confirmed", counted)
+    rows = []
+    for k in range(0, 120, 2):
+        base = [f"u{k}w{j}" for j in range(200)]
+        rows += [(k, " ".join(base)), (k + 1, " ".join([*base[:140], *(f"v{k}w{j}" for j in range(60))]))]
+    rows += [(200 + k, rows[2 * k][1] + " end") for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.group_id for r in near_copy_groups(docs).collect()} == brute_groups(rows)
+    assert len(asked) == 3 and asked[2] == 0
