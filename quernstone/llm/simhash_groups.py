@@ -17,7 +17,7 @@ hash, but for those whose lengths rule the similarity out. Then, in buckets that
 with LEADERS members of it. That joins most of a group at a cost in proportion to the bucket. What no bucket has
 brought together, also texts that share none, is found by a prefix- and length-filtered set join over the shingles
 of all texts, rarest first, which no pair of the wanted similarity escapes; it pairs texts of different components
-only. Most of these pairs are far from similar, and their number grows faster than the texts', so they get no shingle
+only. Most of these pairs are far from similar, so they get no shingle
 sets: sketches of two to four bits a shingle rule them out first, by a bound that no similar pair breaks. What is rare is told by counters of all shingles by hash; any order of shingles is exact, this one keeps
 frequent passages out of the prefixes. Groups are the components of what is confirmed. Many texts that are nearly,
 but not quite, similar enough to each other have to be compared pair by pair.
